@@ -12,7 +12,7 @@ GRID_COEFFICIENTS = (-1.5, -0.5, 0.5, 1.5)
 
 
 def grid_coefficients(spark: SparkSession, coefs=GRID_COEFFICIENTS) -> DataFrame:
-    return spark.createDataFrame([(float(c),) for c in coefs], "coef double")
+    return spark.createDataFrame([(float(c),) for c in coefs], "coef double").coalesce(1)
 
 
 def valid_regions(regions: DataFrame) -> DataFrame:
@@ -40,7 +40,7 @@ def grid_points(regions: DataFrame, coefs: DataFrame, params: Params = DEFAULT)
     )
     dx = coefs.select(F.col("coef").alias("dx"))
     dy = coefs.select(F.col("coef").alias("dy"))
-    lattice = dx.crossJoin(dy).withColumn(
+    lattice = dx.crossJoin(F.broadcast(dy)).withColumn(
         "point_no", F.row_number().over(Window.orderBy("dx", "dy")).cast("long")
     )
     return base.crossJoin(F.broadcast(lattice)).select(

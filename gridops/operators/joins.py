@@ -1,0 +1,22 @@
+"""Size-checked broadcast for dimension joins.
+
+A side is broadcast only after a bounded count proves it small: the check reads
+at most ``max_rows + 1`` rows. Beyond the bound the frame is returned unhinted and
+Spark plans a shuffle join (AQE may still demote it to a broadcast at runtime
+from measured sizes).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_MAX_ROWS = 1_000_000
+
+
+def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+    return F.broadcast(df) if fits(df, max_rows) else df

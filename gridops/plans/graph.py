@@ -12,6 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from gridops.operators import dims, extensions, facts, grid, kpis, staging
+from gridops.operators.joins import sized_broadcast
 from gridops.params import DEFAULT, Params
 from gridops.sources import fixtures
 
@@ -50,15 +51,24 @@ class ModelGraph:
     def stg_daily(self) -> DataFrame:
         return staging.stg_daily(self.raw_daily, self.params)
 
+    @cached_property
+    def grid_points_join(self) -> DataFrame:
+        """The grid as a join side: broadcast when a bounded count proves it small."""
+        return sized_broadcast(self.grid_points)
+
     @cached_property
     def stg_air_quality(self) -> DataFrame:
-        return staging.stg_air_quality(self.raw_air_quality, self.grid_points, self.params)
+        return staging.stg_air_quality(self.raw_air_quality, self.grid_points_join, self.params)
 
     # --- dimensions --------------------------------------------------------------------
     @cached_property
     def dim_grid_point(self) -> DataFrame:
         return dims.dim_grid_point(self.grid_points)
 
+    @cached_property
+    def dim_grid_point_join(self) -> DataFrame:
+        return sized_broadcast(self.dim_grid_point)
+
     @cached_property
     def dim_date(self) -> DataFrame:
         return dims.dim_date(self.stg_hourly, self.stg_daily)
@@ -70,15 +80,15 @@ class ModelGraph:
     # --- facts -------------------------------------------------------------------------
     @cached_property
     def fact_hourly_weather(self) -> DataFrame:
-        return facts.fact_hourly_weather(self.stg_hourly, self.dim_grid_point)
+        return facts.fact_hourly_weather(self.stg_hourly, self.dim_grid_point_join)
 
     @cached_property
     def fact_daily_weather(self) -> DataFrame:
-        return facts.fact_daily_weather(self.stg_daily, self.dim_grid_point)
+        return facts.fact_daily_weather(self.stg_daily, self.dim_grid_point_join)
 
     @cached_property
     def fact_hourly_air_quality(self) -> DataFrame:
-        return facts.fact_hourly_air_quality(self.stg_air_quality, self.dim_grid_point, self.dim_date)
+        return facts.fact_hourly_air_quality(self.stg_air_quality, self.dim_grid_point_join, self.dim_date)
 
     # --- indicators --------------------------------------------------------------------
     @cached_property
