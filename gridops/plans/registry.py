@@ -172,3 +172,17 @@ def _drilldown_point(g: ModelGraph) -> DataFrame:
         .select("grid_point_id", "region_id", "date_id", "hour_id", "solar_score", "wind_score", "kpi_potential_score")
         .orderBy("date_id", "hour_id")
     )
+
+
+def _dq(kind: str):
+    def run(g: ModelGraph) -> DataFrame:
+        from gridops.operators.quality import run_checks
+        from gridops.plans import suite
+
+        return run_checks(suite.tables(g), suite.checks_of(kind))
+
+    return run
+
+
+for _kind in ("not_null", "unique", "range", "value_set", "accepted", "relationship", "unique_combo"):
+    query(f"dq_{_kind}")(_dq(_kind))
