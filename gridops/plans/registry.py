@@ -186,3 +186,80 @@ def _dq(kind: str):
 
 for _kind in ("not_null", "unique", "range", "value_set", "accepted", "relationship", "unique_combo"):
     query(f"dq_{_kind}")(_dq(_kind))
+
+
+# --- ingestion of landed payloads ------------------------------------------------------
+def _landed(g: ModelGraph, payloads: DataFrame, schema, name: str) -> DataFrame:
+    from gridops.session import scratch_path
+    from gridops.sources import payloads as pl
+
+    path = scratch_path(g.spark, name)
+    pl.land(payloads, path)
+    return pl.read_landed(g.spark, path, schema)
+
+
+def _expected(g: ModelGraph, key: str) -> DataFrame:
+    from gridops.operators.joins import sized_broadcast
+
+    return sized_broadcast(g.grid_points.groupBy(key).agg(F.count(F.lit(1)).alias("expected_points")))
+
+
+def _hourly_landing(g: ModelGraph):
+    from gridops.sources import payloads as pl
+
+    latest = staging.latest_reading(g.raw_hourly, staging.HOURLY_KEY, "load_seq").drop("load_seq")
+    landed = _landed(g, pl.hourly_payloads(latest, g.params.timezone), pl.HOURLY_SCHEMA, "landed-hourly")
+    return pl.split_complete(landed, "hourly", pl.HOURLY_VARIABLES, _expected(g, "region_id"), "region_id")
+
+
+def _air_landing(g: ModelGraph):
+    from gridops.sources import payloads as pl
+
+    trimmed = g.raw_air_quality.withColumn("region_name", F.trim("region_name"))
+    latest = staging.latest_reading(trimmed, staging.AIR_KEY, "load_seq").drop("load_seq")
+    p = pl.hourly_payloads(latest, g.params.timezone, pl.AIR_VARIABLES, keyed_by_id=False)
+    landed = _landed(g, p, pl.AIR_SCHEMA, "landed-air")
+    return pl.split_complete(landed, "hourly", pl.AIR_VARIABLES, _expected(g, "region_name"), "region_name")
+
+
+@query("payload_hourly")
+def _payload_hourly(g: ModelGraph) -> DataFrame:
+    from gridops.sources import payloads as pl
+
+    accepted, _ = _hourly_landing(g)
+    return pl.explode_payloads(accepted, "hourly", pl.HOURLY_VARIABLES, g.params.timezone)
+
+
+@query("payload_air")
+def _payload_air(g: ModelGraph) -> DataFrame:
+    from gridops.sources import payloads as pl
+
+    accepted, _ = _air_landing(g)
+    return pl.explode_payloads(accepted, "hourly", pl.AIR_VARIABLES, g.params.timezone)
+
+
+@query("payload_daily")
+def _payload_daily(g: ModelGraph) -> DataFrame:
+    from gridops.sources import payloads as pl
+
+    latest = staging.latest_reading(g.raw_daily, staging.DAILY_KEY, "id_daily").drop("id_daily")
+    landed = _landed(g, pl.daily_payloads(latest, g.params.timezone), pl.DAILY_SCHEMA, "landed-daily")
+    accepted, _ = pl.split_complete(
+        landed, "daily", pl.DAILY_VARIABLES, _expected(g, "region_id"), "region_id", per_day=False
+    )
+    return pl.explode_payloads(accepted, "daily", pl.DAILY_VARIABLES, g.params.timezone, as_date=True)
+
+
+@query("payload_rejects")
+def _payload_rejects(g: ModelGraph) -> DataFrame:
+    from gridops.sources import payloads as pl
+
+    tz = g.params.timezone
+    out = []
+    for source, (_, rejects) in (("hourly", _hourly_landing(g)), ("air_quality", _air_landing(g))):
+        out.append(rejects.select(
+            F.lit(source).alias("source"), "region_name",
+            F.to_date(pl.local_from_epoch(F.col("_day"), tz)).alias("day"),
+            "expected_points", "received_points", "error",
+        ))
+    return out[0].unionByName(out[1])
