@@ -67,3 +67,15 @@ def missing_regions(regions: DataFrame, readings: DataFrame, name_col: str = "re
         )
         .select("total", name_col)
     )
+
+
+def describe_tables(spark, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Column name, type and nullability of each table (schema metadata only)."""
+    rows = [
+        (name, i + 1, f.name, f.dataType.simpleString(), f.nullable)
+        for name, df in tables.items()
+        for i, f in enumerate(df.schema.fields)
+    ]
+    return spark.createDataFrame(
+        rows, "table_name string, ordinal int, column_name string, data_type string, nullable boolean"
+    )

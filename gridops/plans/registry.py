@@ -37,7 +37,14 @@ def _coords(df: DataFrame) -> DataFrame:
 
 @query("scan_regions")
 def _scan_regions(g: ModelGraph) -> DataFrame:
-    return g.regions
+    """Regions written in the seed's CSV layout, then scanned back with the
+    declared schema (header row, quoted commas, case-insensitive names)."""
+    from gridops.session import scratch_path
+    from gridops.sources import seeds
+
+    path = scratch_path(g.spark, "region-seed")
+    seeds.write_region_seed(g.regions, path)
+    return seeds.read_region_seed(g.spark, path)
 
 
 @query("grid_points")
@@ -263,3 +270,38 @@ def _payload_rejects(g: ModelGraph) -> DataFrame:
             "expected_points", "received_points", "error",
         ))
     return out[0].unionByName(out[1])
+
+
+@query("append_ids")
+def _append_ids(g: ModelGraph) -> DataFrame:
+    """Two refreshes landed one after the other: the first day's rows get ids 1..n in
+    load order, the next refresh continues from the first one's max id."""
+    from gridops.operators.ids import append_ids
+    from gridops.sources.fixtures import BASE_DATE
+
+    raw = g.raw_hourly
+    first_day = F.to_date("ts") == F.lit(BASE_DATE).cast("date")
+    first = append_ids(raw.filter(first_day), ["load_seq"], "id_hourly")
+    later = append_ids(raw.filter(~first_day), ["load_seq"], "id_hourly", existing=first)
+    return first.unionByName(later).drop("load_seq")
+
+
+@query("sink_roundtrip")
+def _sink_roundtrip(g: ModelGraph) -> DataFrame:
+    """The grid-stability mart written as a date-partitioned table and read back."""
+    from gridops.session import scratch_path
+    from gridops.sources import sinks
+
+    path = scratch_path(g.spark, "kpi_grid_stability")
+    sinks.write_mart(g.kpi_grid_stability, path)
+    return sinks.read_mart(g.spark, path).drop("date")
+
+
+@query("describe_tables")
+def _describe_tables(g: ModelGraph) -> DataFrame:
+    return profile.describe_tables(g.spark, {
+        "raw_hourly": g.raw_hourly, "raw_daily": g.raw_daily, "raw_air_quality": g.raw_air_quality,
+        "grid_points": g.grid_points, "kpi_generation_potential": g.kpi_generation_potential,
+        "kpi_grid_stability": g.kpi_grid_stability, "kpi_dust_risk": g.kpi_dust_risk,
+        "kpi_maintenance": g.kpi_maintenance,
+    })
