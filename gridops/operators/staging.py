@@ -16,10 +16,10 @@ AIR_KEY = ("region_name", "point_no", "ts")
 
 def stg_hourly(raw: DataFrame, params: Params = DEFAULT, dedupe: bool | None = None) -> DataFrame:
     dedupe = params.dedupe_readings if dedupe is None else dedupe
-    df = latest_reading(raw, HOURLY_KEY, "load_seq") if dedupe else raw
+    df = latest_reading(raw, HOURLY_KEY, "id_hourly") if dedupe else raw
     vis_km = F.col("visibility_m") / F.lit(1000.0)
     return df.select(
-        "ts", "region_id", "region_name", "point_no", "latitude", "longitude",
+        "id_hourly", "ts", "region_id", "region_name", "point_no", "latitude", "longitude",
         "temperature_2m", "cloud_cover_pct", "direct_radiation_w_m2", "shortwave_radiation_w_m2",
         "wind_speed_80m_kmh", "wind_direction_80m_deg", "precipitation_mm", "visibility_m",
         vis_km.alias("visibility_km"),

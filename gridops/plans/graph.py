@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gridops.operators import dims, extensions, facts, grid, kpis, staging
 from gridops.operators.joins import sized_broadcast
 from gridops.params import DEFAULT, Params
-from gridops.sources import fixtures
+from gridops.sources import landing
 
 
 class ModelGraph:
@@ -24,19 +24,19 @@ class ModelGraph:
     # --- landed inputs -----------------------------------------------------------------
     @cached_property
     def regions(self) -> DataFrame:
-        return fixtures.regions(self.spark, self.sf_dir)
+        return landing.landed(self.spark, self.sf_dir, "regions")
 
     @cached_property
     def raw_hourly(self) -> DataFrame:
-        return fixtures.raw_hourly(self.spark, self.sf_dir)
+        return landing.landed(self.spark, self.sf_dir, "raw_hourly")
 
     @cached_property
     def raw_daily(self) -> DataFrame:
-        return fixtures.raw_daily(self.spark, self.sf_dir)
+        return landing.landed(self.spark, self.sf_dir, "raw_daily")
 
     @cached_property
     def raw_air_quality(self) -> DataFrame:
-        return fixtures.raw_air_quality(self.spark, self.sf_dir)
+        return landing.landed(self.spark, self.sf_dir, "raw_air_quality")
 
     # --- staging -----------------------------------------------------------------------
     @cached_property

@@ -64,7 +64,7 @@ def _dim_date(g: ModelGraph) -> DataFrame:
 
 @query("latest_reading")
 def _latest_reading(g: ModelGraph) -> DataFrame:
-    return staging.latest_reading(g.raw_hourly, staging.HOURLY_KEY, "load_seq").drop("load_seq")
+    return staging.latest_reading(g.raw_hourly, staging.HOURLY_KEY, "id_hourly")
 
 
 @query("stg_hourly")
@@ -214,7 +214,7 @@ def _expected(g: ModelGraph, key: str) -> DataFrame:
 def _hourly_landing(g: ModelGraph):
     from gridops.sources import payloads as pl
 
-    latest = staging.latest_reading(g.raw_hourly, staging.HOURLY_KEY, "load_seq").drop("load_seq")
+    latest = staging.latest_reading(g.raw_hourly, staging.HOURLY_KEY, "id_hourly").drop("id_hourly")
     landed = _landed(g, pl.hourly_payloads(latest, g.params.timezone), pl.HOURLY_SCHEMA, "landed-hourly")
     return pl.split_complete(landed, "hourly", pl.HOURLY_VARIABLES, _expected(g, "region_id"), "region_id")
 
@@ -277,9 +277,9 @@ def _append_ids(g: ModelGraph) -> DataFrame:
     """Two refreshes landed one after the other: the first day's rows get ids 1..n in
     load order, the next refresh continues from the first one's max id."""
     from gridops.operators.ids import append_ids
-    from gridops.sources.fixtures import BASE_DATE
+    from gridops.sources.fixtures import BASE_DATE, raw_hourly
 
-    raw = g.raw_hourly
+    raw = raw_hourly(g.spark, g.sf_dir)
     first_day = F.to_date("ts") == F.lit(BASE_DATE).cast("date")
     first = append_ids(raw.filter(first_day), ["load_seq"], "id_hourly")
     later = append_ids(raw.filter(~first_day), ["load_seq"], "id_hourly", existing=first)

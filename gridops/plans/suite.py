@@ -39,6 +39,7 @@ CHECKS: list[Check] = [
     in_range("regions", "area_km2", min=0, strict=True),
     unique("regions", "region_name"),
     unique_combo("raw_hourly", "region_id", "point_no", "ts"),
+    unique("stg_hourly", "id_hourly"),
     relationship("raw_air_quality", "region_name", "regions", "region_name"),
     # staging
     *not_null("grid_points", "region_id", "point_no", "grid_lat", "grid_lon"),
