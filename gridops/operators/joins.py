@@ -18,5 +18,9 @@ def fits(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS) -> DataFrame:
+def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_MAX_ROWS, bound: int | None = None) -> DataFrame:
+    """Broadcast ``df`` if it has at most ``max_rows`` rows. A known upper ``bound``
+    (e.g. regions x lattice points for the grid) settles it without running a job."""
+    if bound is not None and bound <= max_rows:
+        return F.broadcast(df)
     return F.broadcast(df) if fits(df, max_rows) else df

@@ -14,12 +14,32 @@ from pyspark.sql import DataFrame, SparkSession
 from gridops.operators import dims, extensions, facts, grid, kpis, staging
 from gridops.operators.joins import sized_broadcast
 from gridops.params import DEFAULT, Params
+from gridops.session import scratch_path
 from gridops.sources import landing
 
 
+def model(fn):
+    """A model of the graph: lazy by default; with ``materialize=True`` it is written
+    once as parquet under the checkpoint root and read back (like a table
+    materialisation), so later models and checks scan it instead of recomputing."""
+
+    def build(self):
+        df = fn(self)
+        if self.materialize:
+            path = scratch_path(self.spark, f"model-{fn.__name__}")
+            df.write.mode("overwrite").parquet(path)
+            df = self.spark.read.parquet(path)
+        return df
+
+    build.__name__ = fn.__name__
+    build.__doc__ = fn.__doc__
+    return cached_property(build)
+
+
 class ModelGraph:
-    def __init__(self, spark: SparkSession, sf_dir: str, params: Params = DEFAULT):
+    def __init__(self, spark: SparkSession, sf_dir: str, params: Params = DEFAULT, materialize: bool = False):
         self.spark, self.sf_dir, self.params = spark, sf_dir, params
+        self.materialize = materialize
 
     # --- landed inputs -----------------------------------------------------------------
     @cached_property
@@ -39,82 +59,89 @@ class ModelGraph:
         return landing.landed(self.spark, self.sf_dir, "raw_air_quality")
 
     # --- staging -----------------------------------------------------------------------
-    @cached_property
+    @model
     def grid_points(self) -> DataFrame:
         return grid.grid_points(self.regions, grid.grid_coefficients(self.spark), self.params)
 
-    @cached_property
+    @model
     def stg_hourly(self) -> DataFrame:
         return staging.stg_hourly(self.raw_hourly, self.params)
 
-    @cached_property
+    @model
     def stg_daily(self) -> DataFrame:
         return staging.stg_daily(self.raw_daily, self.params)
 
     @cached_property
-    def grid_points_join(self) -> DataFrame:
-        """The grid as a join side: broadcast when a bounded count proves it small."""
-        return sized_broadcast(self.grid_points)
+    def grid_bound(self) -> int:
+        """Upper bound on grid rows: landed regions x lattice points."""
+        return landing.landed_rows(self.spark, self.sf_dir, "regions") * len(grid.GRID_COEFFICIENTS) ** 2
 
     @cached_property
+    def grid_points_join(self) -> DataFrame:
+        """The grid as a join side: broadcast only when its bound proves it small."""
+        return sized_broadcast(self.grid_points, bound=self.grid_bound)
+
+    @model
     def stg_air_quality(self) -> DataFrame:
         return staging.stg_air_quality(self.raw_air_quality, self.grid_points_join, self.params)
 
     # --- dimensions --------------------------------------------------------------------
-    @cached_property
+    @model
     def dim_grid_point(self) -> DataFrame:
         return dims.dim_grid_point(self.grid_points)
 
     @cached_property
     def dim_grid_point_join(self) -> DataFrame:
-        return sized_broadcast(self.dim_grid_point)
+        return sized_broadcast(self.dim_grid_point, bound=self.grid_bound)
 
-    @cached_property
+    @model
     def dim_date(self) -> DataFrame:
-        return dims.dim_date(self.stg_hourly, self.stg_daily)
+        # de-duplication keeps every (point, timestamp) key, so the staged date set equals
+        # the raw one: read dates straight off the landed tables, skipping the dedupe
+        return dims.dim_date(self.raw_hourly, self.raw_daily)
 
-    @cached_property
+    @model
     def dim_hour(self) -> DataFrame:
         return dims.dim_hour(self.spark)
 
     # --- facts -------------------------------------------------------------------------
-    @cached_property
+    @model
     def fact_hourly_weather(self) -> DataFrame:
         return facts.fact_hourly_weather(self.stg_hourly, self.dim_grid_point_join)
 
-    @cached_property
+    @model
     def fact_daily_weather(self) -> DataFrame:
         return facts.fact_daily_weather(self.stg_daily, self.dim_grid_point_join)
 
-    @cached_property
+    @model
     def fact_hourly_air_quality(self) -> DataFrame:
         return facts.fact_hourly_air_quality(self.stg_air_quality, self.dim_grid_point_join, self.dim_date)
 
     # --- indicators --------------------------------------------------------------------
-    @cached_property
+    @model
     def kpi_generation_potential(self) -> DataFrame:
         return kpis.kpi_generation_potential(self.fact_hourly_weather, self.params)
 
-    @cached_property
+    @model
     def kpi_grid_stability(self) -> DataFrame:
         return kpis.kpi_grid_stability(self.fact_hourly_weather, self.dim_hour, self.params)
 
-    @cached_property
+    @model
     def kpi_dust_risk(self) -> DataFrame:
         return kpis.kpi_dust_risk(self.fact_hourly_air_quality, self.params)
 
-    @cached_property
+    @model
     def kpi_maintenance(self) -> DataFrame:
         return kpis.kpi_maintenance(self.fact_hourly_weather, self.fact_hourly_air_quality, self.dim_hour, self.params)
 
-    @cached_property
+    @model
     def maintenance_windows(self) -> DataFrame:
         return extensions.maintenance_windows(self.kpi_maintenance, self.params)
 
-    @cached_property
+    @model
     def capacity_sizing(self) -> DataFrame:
         return extensions.capacity_sizing(self.regions, self.params)
 
-    @cached_property
+    @model
     def solar_coverage(self) -> DataFrame:
         return extensions.solar_coverage(self.fact_hourly_weather, self.params)

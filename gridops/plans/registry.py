@@ -20,9 +20,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(name: str):
+def query(name: str, materialize: bool = False):
     def deco(fn: Callable[[ModelGraph], DataFrame]) -> Callable[[ModelGraph], DataFrame]:
-        QUERIES[name] = lambda spark, sf_dir: fn(ModelGraph(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: fn(ModelGraph(spark, sf_dir, materialize=materialize))
         return fn
 
     return deco
@@ -186,13 +186,15 @@ def _dq(kind: str):
         from gridops.operators.quality import run_checks
         from gridops.plans import suite
 
-        return run_checks(suite.tables(g), suite.checks_of(kind))
+        checks = suite.checks_of(kind)
+        return run_checks(suite.tables(g, suite.tables_used(checks)), checks)
 
     return run
 
 
+# checks run against materialised models (each built once, then scanned per check)
 for _kind in ("not_null", "unique", "range", "value_set", "accepted", "relationship", "unique_combo"):
-    query(f"dq_{_kind}")(_dq(_kind))
+    query(f"dq_{_kind}", materialize=True)(_dq(_kind))
 
 
 # --- ingestion of landed payloads ------------------------------------------------------
@@ -208,7 +210,8 @@ def _landed(g: ModelGraph, payloads: DataFrame, schema, name: str) -> DataFrame:
 def _expected(g: ModelGraph, key: str) -> DataFrame:
     from gridops.operators.joins import sized_broadcast
 
-    return sized_broadcast(g.grid_points.groupBy(key).agg(F.count(F.lit(1)).alias("expected_points")))
+    per_region = g.grid_points.groupBy(key).agg(F.count(F.lit(1)).alias("expected_points"))
+    return sized_broadcast(per_region, bound=g.grid_bound)
 
 
 def _hourly_landing(g: ModelGraph):

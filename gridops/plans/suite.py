@@ -111,27 +111,34 @@ CHECKS: list[Check] = [
 ]
 
 
-def tables(g: ModelGraph) -> dict[str, DataFrame]:
-    """Name -> frame for every table a check can name (all lazy)."""
-    return {
-        "regions": g.regions,
-        "raw_hourly": g.raw_hourly,
-        "raw_air_quality": g.raw_air_quality.withColumn("region_name", F.trim("region_name")),
-        "grid_points": g.grid_points,
-        "stg_hourly": g.stg_hourly,
-        "stg_daily": g.stg_daily,
-        GP: g.dim_grid_point,
-        DD: g.dim_date,
-        DH: g.dim_hour,
-        FHW: g.fact_hourly_weather,
-        FDW: g.fact_daily_weather,
-        FAQ: g.fact_hourly_air_quality,
-        "kpi_generation_potential": g.kpi_generation_potential,
-        "kpi_grid_stability": g.kpi_grid_stability,
-        "kpi_dust_risk": g.kpi_dust_risk,
-        "kpi_maintenance": g.kpi_maintenance,
-        "maintenance_windows": g.maintenance_windows,
-    }
+TABLES = {
+    "regions": lambda g: g.regions,
+    "raw_hourly": lambda g: g.raw_hourly,
+    "raw_air_quality": lambda g: g.raw_air_quality.withColumn("region_name", F.trim("region_name")),
+    "grid_points": lambda g: g.grid_points,
+    "stg_hourly": lambda g: g.stg_hourly,
+    "stg_daily": lambda g: g.stg_daily,
+    GP: lambda g: g.dim_grid_point,
+    DD: lambda g: g.dim_date,
+    DH: lambda g: g.dim_hour,
+    FHW: lambda g: g.fact_hourly_weather,
+    FDW: lambda g: g.fact_daily_weather,
+    FAQ: lambda g: g.fact_hourly_air_quality,
+    "kpi_generation_potential": lambda g: g.kpi_generation_potential,
+    "kpi_grid_stability": lambda g: g.kpi_grid_stability,
+    "kpi_dust_risk": lambda g: g.kpi_dust_risk,
+    "kpi_maintenance": lambda g: g.kpi_maintenance,
+    "maintenance_windows": lambda g: g.maintenance_windows,
+}
+
+
+def tables_used(checks) -> set[str]:
+    return {c.table for c in checks} | {c.to_table for c in checks if c.to_table}
+
+
+def tables(g: ModelGraph, names=None) -> dict[str, DataFrame]:
+    """Name -> frame for the tables a check can name (only ``names`` if given)."""
+    return {k: f(g) for k, f in TABLES.items() if names is None or k in names}
 
 
 def checks_of(kind: str | None = None) -> list[Check]:

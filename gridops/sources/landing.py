@@ -22,7 +22,7 @@ from gridops.session import scratch_path
 from gridops.sources import fixtures
 
 _LOCK = threading.Lock()
-_LANDED: dict[tuple[str, str, str], str] = {}
+_LANDED: dict[tuple[str, str, str], tuple[DataFrame, int]] = {}
 
 
 def _derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,14 +36,26 @@ def _derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     }[name](spark, sf_dir)
 
 
-def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The landed table ``name`` for ``sf_dir``; landed on first use in this application."""
+def _land(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, int]:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     with _LOCK:
-        path = _LANDED.get(key)
-        if path is None:
+        hit = _LANDED.get(key)
+        if hit is None:
             tag = hashlib.sha1(key[1].encode()).hexdigest()[:10]
             path = scratch_path(spark, f"landed-{tag}-{name}")
             _derive(spark, sf_dir, name).write.mode("overwrite").parquet(path)
-            _LANDED[key] = path
-    return spark.read.parquet(path)
+            # a parquet count is answered from footers; kept as the table's proven size
+            frame = spark.read.parquet(path)
+            hit = (frame, frame.count())
+            _LANDED[key] = hit
+    return hit
+
+
+def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The landed table ``name`` for ``sf_dir``; landed on first use in this application."""
+    return _land(spark, sf_dir, name)[0]
+
+
+def landed_rows(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Exact row count of a landed table (measured once, at landing)."""
+    return _land(spark, sf_dir, name)[1]
