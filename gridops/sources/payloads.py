@@ -169,7 +169,9 @@ def explode_payloads(payloads: DataFrame, section: str, variables, tz: str, as_d
     s = F.col(section)
     keys = [c for c in payloads.columns if c != section]
     zipped = F.arrays_zip(_axis(s).alias("_t"), *[s[api].alias(col) for api, col in variables])
-    rows = payloads.select(*keys, F.inline(zipped))
+    # arrays_zip pads short arrays with nulls and keeps going past the axis: only
+    # slots on the axis are readings (mismatched payloads are rejected upstream)
+    rows = payloads.select(*keys, F.inline(zipped)).filter(F.col("_t").isNotNull())
     t = local_from_epoch(F.col("_t"), tz)
     tcol = F.to_date(t).alias("date") if as_date else t.alias("ts")
     return rows.select(tcol, *keys, *[col for _, col in variables])
