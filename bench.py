@@ -29,6 +29,23 @@ def _graph(spark, sf, materialize=False):
     return ModelGraph(spark, sf, materialize=materialize)
 
 
+_BUILT: dict = {}
+
+
+def _build(spark, sf):
+    """Materialise every model (each written once, downstream reads the written
+    upstream); returns a trivial frame so the timing loop stays uniform."""
+    g = _graph(spark, sf, True)
+    _BUILT[sf] = suite.tables(g)
+    return spark.range(1)
+
+
+def _built(spark, sf):
+    if sf not in _BUILT:
+        _build(spark, sf)
+    return _BUILT[sf]
+
+
 BENCH = {
     "kpi_generation_potential": lambda s, sf: QUERIES["kpi_generation_potential"](s, sf),
     "kpi_grid_stability": lambda s, sf: QUERIES["kpi_grid_stability"](s, sf),
@@ -39,9 +56,10 @@ BENCH = {
     "kpi_dust_risk": lambda s, sf: QUERIES["kpi_dust_risk"](s, sf),
     "maintenance_windows": lambda s, sf: QUERIES["maintenance_windows"](s, sf),
     "fact_hourly_weather": lambda s, sf: QUERIES["fact_hourly_weather"](s, sf),
-    # the suite materialises every model once (as a build would), then checks them
-    "quality_suite_folded": lambda s, sf: (lambda g: run_checks(suite.tables(g), suite.CHECKS, fold=True))(_graph(s, sf, True)),
-    "quality_suite_per_check": lambda s, sf: (lambda g: run_checks(suite.tables(g), suite.CHECKS, fold=False))(_graph(s, sf, True)),
+    # build: every model written once as a table; then the suite runs over the built tables
+    "build_models": lambda s, sf: _build(s, sf),
+    "quality_suite_folded": lambda s, sf: run_checks(_built(s, sf), suite.CHECKS, fold=True),
+    "quality_suite_per_check": lambda s, sf: run_checks(_built(s, sf), suite.CHECKS, fold=False),
 }
 
 

@@ -11,8 +11,10 @@ Kinds and what counts as one failure (the usual semantics of such tests):
 * ``relationship``  non-null child rows without a parent key
 
 Row-local kinds (not_null, range, value_set, accepted) of one table are folded
-into a single aggregate, so the table is scanned once for all of them; the
-result is always one summary row per check, zero when the table is clean.
+into a single aggregate, so the table is scanned once for all of them; the key
+checks (unique, unique_combo) of one table share one grouping-sets aggregate,
+i.e. one shuffle. The result is always one summary row per check, zero when the
+table is clean.
 """
 
 from __future__ import annotations
@@ -118,6 +120,37 @@ def _row_local(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return one.select(F.explode(rows).alias("r")).select("r.*")
 
 
+def _key_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """All unique / unique_combo checks of one table in ONE grouping-sets aggregate:
+    one shuffle per table, not one per check. ``grouping_id`` tells the sets apart."""
+    cols = sorted({c for ch in checks for c in ch.columns})
+    sets = list(dict.fromkeys(tuple(ch.columns) for ch in checks))
+
+    def gid(columns) -> int:
+        return sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in columns)
+
+    groups = df.groupingSets([list(s) for s in sets], *cols).agg(
+        F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid")
+    )
+    flags = []
+    for i, ch in enumerate(checks):
+        hit = (F.col("_gid") == gid(ch.columns)) & (F.col("_n") > 1)
+        if ch.kind == "unique":
+            hit = hit & F.col(ch.column).isNotNull()
+        flags.append(F.sum(F.when(hit, 1).otherwise(0)).alias(f"_c{i}"))
+    one = groups.agg(*flags)
+    rows = F.array(*[_summary(c, F.col(f"_c{i}")) for i, c in enumerate(checks)])
+    return one.select(F.explode(rows).alias("r")).select("r.*")
+
+
+def union_all(parts: Sequence[DataFrame]) -> DataFrame:
+    """Union as a balanced tree (each union re-analyses its inputs; a chain is quadratic)."""
+    parts = list(parts)
+    while len(parts) > 1:
+        parts = [parts[i].unionByName(parts[i + 1]) if i + 1 < len(parts) else parts[i] for i in range(0, len(parts), 2)]
+    return parts[0]
+
+
 def _grouped(tables: Mapping[str, DataFrame], c: Check) -> DataFrame:
     df = tables[c.table]
     if c.kind == "unique":
@@ -140,17 +173,23 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check], fold: b
     """
     parts: list[DataFrame] = []
     local = [c for c in checks if c.kind in ROW_LOCAL]
+    keyed = [c for c in checks if c.kind in ("unique", "unique_combo")]
     if fold:
-        by_table: dict[str, list[Check]] = {}
-        for c in local:
-            by_table.setdefault(c.table, []).append(c)
-        parts += [_row_local(tables[t], cs) for t, cs in by_table.items()]
+        for t, cs in _by_table(local).items():
+            parts.append(_row_local(tables[t], cs))
+        for t, cs in _by_table(keyed).items():
+            parts.append(_key_checks(tables[t], cs))
     else:
         parts += [_row_local(tables[c.table], [c]) for c in local]
-    parts += [_grouped(tables, c) for c in checks if c.kind not in ROW_LOCAL]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        parts += [_grouped(tables, c) for c in keyed]
+    parts += [_grouped(tables, c) for c in checks if c.kind == "relationship"]
+    return union_all(parts)
+
+
+def _by_table(checks: Sequence[Check]) -> dict[str, list[Check]]:
+    out: dict[str, list[Check]] = {}
+    for c in checks:
+        out.setdefault(c.table, []).append(c)
     return out
 
 
