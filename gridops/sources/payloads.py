@@ -205,3 +205,24 @@ def split_complete(
     accepted = p.join(stats.filter(good).select(*on), on, "left_semi").drop("_day", "_ok")
     rejects = stats.filter(~good).select(*group, "expected_points", "received_points", error.alias("error"))
     return accepted, rejects
+
+
+# --- guards and dead letters -----------------------------------------------------------
+def require_grid(grid: DataFrame) -> None:
+    """Refuse to ingest against an empty grid (nothing could ever be accepted)."""
+    if grid.isEmpty():
+        raise RuntimeError("the grid is empty: build grid points before ingesting payloads")
+
+
+DEAD_LETTER_COLUMNS = ("id_failure", "region_id", "region_name", "error", "run_ts")
+
+
+def dead_letters(rejects: DataFrame, run_ts: Column, existing: DataFrame | None = None) -> DataFrame:
+    """Rejected regions as failure-log rows: ids continue after the log's max id, in
+    (region, day) order; one schema for every source (id, region, error, run time)."""
+    from gridops.operators.ids import append_ids
+
+    rid = F.col("region_id") if "region_id" in rejects.columns else F.lit(None).cast("long")
+    rows = rejects.select(rid.alias("region_id"), "region_name", "error", F.col("_day"), run_ts.alias("run_ts"))
+    out = append_ids(rows, ["region_name", "_day", "error"], "id_failure", existing=existing)
+    return out.select(*DEAD_LETTER_COLUMNS)

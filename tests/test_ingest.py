@@ -66,3 +66,32 @@ def test_missing_point_rejects_region(spark):
     expected = spark.createDataFrame([(1, 16)], "region_id long, expected_points long")
     ok, bad = pl.split_complete(p, "hourly", pl.HOURLY_VARIABLES, expected, "region_id")
     assert ok.count() == 0 and bad.first().error == "expected 16 responses, got 1"
+
+
+def test_require_grid(spark):
+    import pytest
+
+    with pytest.raises(RuntimeError):
+        pl.require_grid(spark.createDataFrame([], "region_id long"))
+    pl.require_grid(spark.createDataFrame([(1,)], "region_id long"))
+
+
+def test_dead_letters_continue_ids(spark):
+    rejects = spark.createDataFrame(
+        [(2, "B", 0, "expected 16 responses, got 3"), (1, "A", 0, "expected 16 responses, got 15")],
+        "region_id long, region_name string, _day long, error string",
+    )
+    log = spark.createDataFrame([(5, 9, "Z", "x", datetime(2026, 1, 1))], "id_failure long, region_id long, region_name string, error string, run_ts timestamp_ntz")
+    out = pl.dead_letters(rejects, F.lit(datetime(2026, 8, 20, 6)).cast("timestamp_ntz"), existing=log).orderBy("id_failure").collect()
+    assert [(r.id_failure, r.region_name) for r in out] == [(6, "A"), (7, "B")]
+    assert list(out[0].asDict()) == list(pl.DEAD_LETTER_COLUMNS)
+
+
+def test_append_matches_columns_by_name(spark, tmp_path):
+    from gridops.sources import sinks
+
+    path = str(tmp_path / "raw")
+    sinks.append_raw(spark.createDataFrame([(1, "a")], "id long, name string"), path)
+    sinks.append_raw(spark.createDataFrame([("b", 2)], "name string, id long"), path)
+    got = sorted(tuple(r) for r in spark.read.parquet(path).select("id", "name").collect())
+    assert got == [(1, "a"), (2, "b")]
