@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridops.params import DEFAULT, Params
 
-# fixed values: lattice coefficients, in units of half the square root of the area
-GRID_COEFFICIENTS = (-1.5, -0.5, 0.5, 1.5)
-
 
-def grid_coefficients(spark: SparkSession, coefs=GRID_COEFFICIENTS) -> DataFrame:
-    return spark.createDataFrame([(float(c),) for c in coefs], "coef double").coalesce(1)
+def lattice(coefs: Sequence[float]) -> list[tuple[int, float, float]]:
+    """(point_no, dx, dy) for every coefficient pair, numbered in (dx, dy) order,
+    i.e. exactly as a row_number over the pairs ordered by dx then dy."""
+    pairs = sorted((float(dx), float(dy)) for dx in coefs for dy in coefs)
+    return [(i + 1, dx, dy) for i, (dx, dy) in enumerate(pairs)]
 
 
 def valid_regions(regions: DataFrame) -> DataFrame:
@@ -21,14 +23,17 @@ def valid_regions(regions: DataFrame) -> DataFrame:
     )
 
 
-def grid_points(regions: DataFrame, coefs: DataFrame, params: Params = DEFAULT) -> DataFrame:
+def grid_points(regions: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """region_id, region_name, point_no (1..n^2), grid_lat, grid_lon.
 
-    Points are numbered on the n^2-row coefficient product *before* it meets the
-    regions, ordered by (dx, dy) exactly as a per-region row_number would, so the
-    numbering costs no shuffle; the product is bounded by n^2 and broadcast.
+    The n^2 lattice is a literal array exploded on each region row: no join, no
+    shuffle, no window; each region emits its own points where it is read.
     """
     kpd = float(params.km_per_deg_lat)
+    points = F.array(*[
+        F.struct(F.lit(n).cast("long").alias("point_no"), F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
+        for n, dx, dy in lattice(params.grid_coefficients)
+    ])
     base = valid_regions(regions).select(
         "region_id",
         "region_name",
@@ -37,16 +42,12 @@ def grid_points(regions: DataFrame, coefs: DataFrame, params: Params = DEFAULT)
         (F.lit(1.0) / F.lit(kpd)).alias("deg_lat_per_km"),
         (F.lit(1.0) / (F.lit(kpd) * F.cos(F.radians("latitude")))).alias("deg_lon_per_km"),
         (F.sqrt("area_km2") / F.lit(2)).alias("offset_km"),
+        F.explode(points).alias("p"),
     )
-    dx = coefs.select(F.col("coef").alias("dx"))
-    dy = coefs.select(F.col("coef").alias("dy"))
-    lattice = dx.crossJoin(F.broadcast(dy)).withColumn(
-        "point_no", F.row_number().over(Window.orderBy("dx", "dy")).cast("long")
-    )
-    return base.crossJoin(F.broadcast(lattice)).select(
+    return base.select(
         "region_id",
         "region_name",
-        "point_no",
-        (F.col("centroid_lat") + F.col("dx") * F.col("offset_km") * F.col("deg_lat_per_km")).alias("grid_lat"),
-        (F.col("centroid_lon") + F.col("dy") * F.col("offset_km") * F.col("deg_lon_per_km")).alias("grid_lon"),
+        F.col("p.point_no").alias("point_no"),
+        (F.col("centroid_lat") + F.col("p.dx") * F.col("offset_km") * F.col("deg_lat_per_km")).alias("grid_lat"),
+        (F.col("centroid_lon") + F.col("p.dy") * F.col("offset_km") * F.col("deg_lon_per_km")).alias("grid_lon"),
     )

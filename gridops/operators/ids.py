@@ -17,17 +17,11 @@ from pyspark.sql import functions as F
 from gridops.session import checkpoint_root
 
 
-def max_id(existing: DataFrame | None, id_col: str) -> DataFrame:
-    """One row, column ``_base``: max existing id, 0 when there is none."""
+def max_id(existing: DataFrame | None, id_col: str) -> Column:
+    """Max existing id (0 when there is none), as a scalar subquery."""
     if existing is None:
-        return existing_base_zero()
-    return existing.agg(F.coalesce(F.max(id_col).cast("long"), F.lit(0).cast("long")).alias("_base"))
-
-
-def existing_base_zero() -> DataFrame:
-    from pyspark.sql import SparkSession
-
-    return SparkSession.getActiveSession().range(1).select(F.lit(0).cast("long").alias("_base"))
+        return F.lit(0).cast("long")
+    return existing.agg(F.coalesce(F.max(id_col).cast("long"), F.lit(0).cast("long"))).scalar()
 
 
 def append_ids(
@@ -49,7 +43,5 @@ def append_ids(
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     # one row per partition: bounded by the partition count, safe to broadcast
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    out = located.join(F.broadcast(offsets), "_pid").crossJoin(F.broadcast(base))
-    return out.withColumn(id_col, F.col("_base") + F.col("_off") + F.col("_pos") + 1).drop(
-        "_pid", "_pos", "_off", "_base"
-    )
+    out = located.join(F.broadcast(offsets), "_pid")
+    return out.withColumn(id_col, base + F.col("_off") + F.col("_pos") + 1).drop("_pid", "_pos", "_off")

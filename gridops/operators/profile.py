@@ -49,24 +49,17 @@ def missing_regions(regions: DataFrame, readings: DataFrame, name_col: str = "re
     SQL ``NOT IN`` semantics: if the seen set holds a null nothing is reported, and
     a null seed name is reported only when the seen set is empty.
 
-    Built from an equi anti join (hash-partitioned, scales) plus a one-row
-    summary of the seen set, instead of a nested-loop null-aware join.
+    Built from an equi anti join (hash-partitioned, scales) plus two scalar
+    subqueries over the seen set, instead of a nested-loop null-aware join.
     """
     seen = readings.select(F.col(name_col).alias("_seen")).distinct()
-    seen_stats = seen.agg(
-        F.count(F.lit(1)).alias("_n_seen"),
-        F.max(F.col("_seen").isNull().cast("int")).alias("_has_null"),
-    )
+    n_seen = seen.agg(F.count(F.lit(1))).scalar()
+    has_null = seen.agg(F.coalesce(F.max(F.col("_seen").isNull().cast("int")), F.lit(0))).scalar()
     per_name = regions.groupBy(name_col).agg(F.count(name_col).alias("total"))
     unmatched = per_name.join(seen, per_name[name_col] == seen["_seen"], "left_anti")
-    return (
-        unmatched.crossJoin(F.broadcast(seen_stats))
-        .filter(
-            (F.col("_n_seen") == 0)
-            | ((F.coalesce(F.col("_has_null"), F.lit(0)) == 0) & F.col(name_col).isNotNull())
-        )
-        .select("total", name_col)
-    )
+    return unmatched.filter(
+        (n_seen == 0) | ((has_null == 0) & F.col(name_col).isNotNull())
+    ).select("total", name_col)
 
 
 def describe_tables(spark, tables: Mapping[str, DataFrame]) -> DataFrame:

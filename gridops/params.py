@@ -7,8 +7,10 @@ from dataclasses import dataclass
 
 @dataclass(frozen=True)
 class Params:
-    # grid generation
+    # grid generation: lattice coefficients (seed values), in units of half the
+    # square root of the region's area
     km_per_deg_lat: float = 111.32
+    grid_coefficients: tuple[float, ...] = (-1.5, -0.5, 0.5, 1.5)
     # sunshine classification (W/m2; applied to the daily MJ/m2 sum as well, as upstream does)
     radiation_sunny_threshold: float = 300.0
     radiation_cloudy_threshold: float = 150.0

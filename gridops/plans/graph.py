@@ -61,7 +61,7 @@ class ModelGraph:
     # --- staging -----------------------------------------------------------------------
     @model
     def grid_points(self) -> DataFrame:
-        return grid.grid_points(self.regions, grid.grid_coefficients(self.spark), self.params)
+        return grid.grid_points(self.regions, self.params)
 
     @model
     def stg_hourly(self) -> DataFrame:
@@ -74,7 +74,7 @@ class ModelGraph:
     @cached_property
     def grid_bound(self) -> int:
         """Upper bound on grid rows: landed regions x lattice points."""
-        return landing.landed_rows(self.spark, self.sf_dir, "regions") * len(grid.GRID_COEFFICIENTS) ** 2
+        return landing.landed_rows(self.spark, self.sf_dir, "regions") * len(self.params.grid_coefficients) ** 2
 
     @cached_property
     def grid_points_join(self) -> DataFrame:

@@ -1,13 +1,13 @@
 import math
 
-from gridops.operators.grid import grid_coefficients, grid_points
+from gridops.operators.grid import grid_points, lattice
 
 SCHEMA = "region_id long, region_name string, latitude double, longitude double, area_km2 double"
 
 
 def test_grid_offsets_and_numbering(spark):
     regions = spark.createDataFrame([(1, "A", 0.0, 0.0, 4.0)], SCHEMA)
-    g = {r.point_no: r for r in grid_points(regions, grid_coefficients(spark)).collect()}
+    g = {r.point_no: r for r in grid_points(regions).collect()}
     assert sorted(g) == list(range(1, 17))
     step = 1.0 / 111.32  # offset 1 km at the equator
     assert math.isclose(g[1].grid_lat, -1.5 * step) and math.isclose(g[1].grid_lon, -1.5 * step)
@@ -21,6 +21,12 @@ def test_grid_validity_filter(spark):
         [(1, "nolat", None, 0.0, 4.0), (2, "nolon", 0.0, None, 4.0), (3, "noarea", 0.0, 0.0, 0.0), (4, "ok", 14.0, -15.0, 9.0)],
         SCHEMA,
     )
-    g = grid_points(regions, grid_coefficients(spark))
+    g = grid_points(regions)
     assert {r.region_id for r in g.collect()} == {4}
     assert g.count() == 16
+
+
+def test_lattice_numbering_is_row_number_by_dx_dy():
+    lat = lattice((-1.5, -0.5, 0.5, 1.5))
+    assert [n for n, _, _ in lat] == list(range(1, 17))
+    assert lat[0][1:] == (-1.5, -1.5) and lat[1][1:] == (-1.5, -0.5) and lat[4][1:] == (-0.5, -1.5)
