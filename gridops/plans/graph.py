@@ -37,26 +37,53 @@ def model(fn):
 
 
 class ModelGraph:
-    def __init__(self, spark: SparkSession, sf_dir: str, params: Params = DEFAULT, materialize: bool = False):
+    """The model graph over landed inputs.
+
+    ``sf_dir`` names a directory of benchmark tables from which the raw inputs are
+    derived and landed once (tests, benchmark). In production pass ``sources``:
+    the already-landed ``regions``, ``raw_hourly`` (with ``id_hourly``),
+    ``raw_daily`` and ``raw_air_quality`` tables, e.g. ``spark.read.parquet(...)``.
+    """
+
+    RAW = ("regions", "raw_hourly", "raw_daily", "raw_air_quality")
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        sf_dir: str | None = None,
+        params: Params = DEFAULT,
+        materialize: bool = False,
+        sources: dict[str, DataFrame] | None = None,
+        max_regions: int | None = None,
+    ):
+        if sf_dir is None and not sources:
+            raise ValueError("give sf_dir or sources")
         self.spark, self.sf_dir, self.params = spark, sf_dir, params
         self.materialize = materialize
+        self.sources = dict(sources or {})
+        self.max_regions = max_regions
+
+    def _raw(self, name: str) -> DataFrame:
+        if name in self.sources:
+            return self.sources[name]
+        return landing.landed(self.spark, self.sf_dir, name)
 
     # --- landed inputs -----------------------------------------------------------------
     @cached_property
     def regions(self) -> DataFrame:
-        return landing.landed(self.spark, self.sf_dir, "regions")
+        return self._raw("regions")
 
     @cached_property
     def raw_hourly(self) -> DataFrame:
-        return landing.landed(self.spark, self.sf_dir, "raw_hourly")
+        return self._raw("raw_hourly")
 
     @cached_property
     def raw_daily(self) -> DataFrame:
-        return landing.landed(self.spark, self.sf_dir, "raw_daily")
+        return self._raw("raw_daily")
 
     @cached_property
     def raw_air_quality(self) -> DataFrame:
-        return landing.landed(self.spark, self.sf_dir, "raw_air_quality")
+        return self._raw("raw_air_quality")
 
     # --- staging -----------------------------------------------------------------------
     @model
@@ -72,9 +99,17 @@ class ModelGraph:
         return staging.stg_daily(self.raw_daily, self.params)
 
     @cached_property
-    def grid_bound(self) -> int:
-        """Upper bound on grid rows: landed regions x lattice points."""
-        return landing.landed_rows(self.spark, self.sf_dir, "regions") * len(self.params.grid_coefficients) ** 2
+    def grid_bound(self) -> int | None:
+        """Upper bound on grid rows: regions x lattice points. The region count is
+        measured at landing, or declared by the caller (``max_regions``); unknown
+        means the broadcast decision falls back to a bounded count."""
+        if self.max_regions is not None:
+            n = self.max_regions
+        elif "regions" in self.sources:
+            return None
+        else:
+            n = landing.landed_rows(self.spark, self.sf_dir, "regions")
+        return n * len(self.params.grid_coefficients) ** 2
 
     @cached_property
     def grid_points_join(self) -> DataFrame:
