@@ -39,10 +39,8 @@ def _points(dim_gp: DataFrame) -> DataFrame:
 
 
 def _hour_keys(df: DataFrame) -> DataFrame:
-    date = F.to_date("ts")
-    return df.withColumn("date", date).withColumn("date_id", surrogate_key(date)).withColumn(
-        "hour_id", F.hour("ts").cast("long")
-    )
+    # staging already carries the grain columns date = to_date(ts), hour_id = hour(ts)
+    return df.withColumn("date_id", surrogate_key("date"))
 
 
 def fact_hourly_weather(stg_hourly: DataFrame, dim_gp: DataFrame) -> DataFrame:
@@ -50,7 +48,7 @@ def fact_hourly_weather(stg_hourly: DataFrame, dim_gp: DataFrame) -> DataFrame:
     f = f.join(_points(dim_gp), ["region_id", "point_no"], "inner")
     f = _hour_keys(f)
     return f.select(
-        "grid_point_id", "region_id", "region_name", "date", "date_id", "hour_id",
+        "grid_point_id", "region_id", "point_no", "region_name", "date", "date_id", "hour_id",
         *HOURLY_MEASURES, "sunshine_state", "visibility_alert",
     )
 
@@ -70,4 +68,4 @@ def fact_hourly_air_quality(stg_air: DataFrame, dim_gp: DataFrame, dim_date: Dat
     f = _hour_keys(f)
     # a reading on a date the weather never saw is dropped, as the date join does
     f = f.join(F.broadcast(dim_date.select("date")), "date", "left_semi")
-    return f.select("grid_point_id", "region_id", "region_name", "date", "date_id", "hour_id", *AIR_MEASURES)
+    return f.select("grid_point_id", "region_id", "point_no", "region_name", "date", "date_id", "hour_id", *AIR_MEASURES)

@@ -145,8 +145,10 @@ def kpi_maintenance(fact_hw: DataFrame, fact_air: DataFrame, dim_hour: DataFrame
     """Region-hour roll-up of point rows; an hour is ideal when mean wind, total
     rain and mean pm10 are all under their limits (missing air quality counts as
     clean unless ``require_air_quality``). Three-valued: null stays null."""
-    key = ["grid_point_id", "date_id", "hour_id"]
-    w = fact_hw.select(*key, "region_id", "region_name", "date", "wind_speed_80m_kmh", "precipitation_mm")
+    # (region_id, point_no) is the grid point and date the date key: joining on the
+    # staging grain lets both sides keep the partitioning of their de-duplication
+    key = ["region_id", "point_no", "date", "hour_id"]
+    w = fact_hw.select(*key, "region_name", "date_id", "wind_speed_80m_kmh", "precipitation_mm")
     a = fact_air.select(*key, "pm10")
     agg = (
         w.join(a, key, "left")

@@ -12,11 +12,22 @@ from gridops.params import DEFAULT, Params
 HOURLY_KEY = ("region_id", "point_no", "ts")
 DAILY_KEY = ("region_id", "point_no", "date")
 AIR_KEY = ("region_name", "point_no", "ts")
+# The hourly facts' grain. Staging keeps the newest load per grain key, so each
+# hourly staging frame leaves its de-duplicating aggregate hash-partitioned on
+# exactly these columns, and the weather/air fact join reuses that partitioning
+# instead of shuffling the largest table again. For readings stamped on the hour
+# (all landed hourly data) this is the same as keying on the timestamp.
+HOURLY_GRAIN = ("region_id", "point_no", "date", "hour_id")
+
+
+def with_grain(df: DataFrame) -> DataFrame:
+    return df.withColumn("date", F.to_date("ts")).withColumn("hour_id", F.hour("ts").cast("long"))
 
 
 def stg_hourly(raw: DataFrame, params: Params = DEFAULT, dedupe: bool | None = None) -> DataFrame:
     dedupe = params.dedupe_readings if dedupe is None else dedupe
-    df = latest_reading(raw, HOURLY_KEY, "id_hourly") if dedupe else raw
+    df = with_grain(raw)
+    df = latest_reading(df, HOURLY_GRAIN, "id_hourly") if dedupe else df
     vis_km = F.col("visibility_m") / F.lit(1000.0)
     return df.select(
         "id_hourly", "ts", "region_id", "region_name", "point_no", "latitude", "longitude",
@@ -28,6 +39,7 @@ def stg_hourly(raw: DataFrame, params: Params = DEFAULT, dedupe: bool | None = N
             "shortwave_radiation_w_m2", params.radiation_sunny_threshold, params.radiation_cloudy_threshold
         ).alias("sunshine_state"),
         (vis_km <= F.lit(float(params.visibility_alert_km))).alias("visibility_alert"),
+        "date", "hour_id",
     )
 
 
@@ -45,13 +57,13 @@ def stg_daily(raw: DataFrame, params: Params = DEFAULT, dedupe: bool | None = No
 def stg_air_quality(
     raw: DataFrame, grid: DataFrame, params: Params = DEFAULT, dedupe: bool | None = None
 ) -> DataFrame:
-    """Trim the name, keep the newest load per (name, point, ts), and recover the
-    region id by matching (name, point) against the grid; unmatched rows drop."""
+    """Trim the name, recover the region id by matching (name, point) against the
+    grid (unmatched rows drop), and keep the newest load per grain key. Region
+    names are unique in the grid, so this equals de-duplicating by name first."""
     dedupe = params.dedupe_readings if dedupe is None else dedupe
     df = raw.withColumn("region_name", F.trim("region_name"))
-    if dedupe:
-        df = latest_reading(df, AIR_KEY, "load_seq")
     g = grid.select("region_name", "point_no", "region_id")
-    return df.join(g, ["region_name", "point_no"], "inner").select(
-        "ts", "region_name", "point_no", "pm10", "pm2_5", "dust", "region_id"
-    )
+    df = with_grain(df.join(g, ["region_name", "point_no"], "inner"))
+    if dedupe:
+        df = latest_reading(df, HOURLY_GRAIN, "load_seq")
+    return df.select("ts", "region_name", "point_no", "pm10", "pm2_5", "dust", "region_id", "date", "hour_id")

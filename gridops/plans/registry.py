@@ -69,7 +69,7 @@ def _latest_reading(g: ModelGraph) -> DataFrame:
 
 @query("stg_hourly")
 def _stg_hourly(g: ModelGraph) -> DataFrame:
-    return g.stg_hourly
+    return g.stg_hourly.drop("date", "hour_id")
 
 
 @query("stg_daily")
@@ -79,7 +79,7 @@ def _stg_daily(g: ModelGraph) -> DataFrame:
 
 @query("stg_air_quality")
 def _stg_air_quality(g: ModelGraph) -> DataFrame:
-    return g.stg_air_quality
+    return g.stg_air_quality.drop("date", "hour_id")
 
 
 @query("fact_hourly_weather")
