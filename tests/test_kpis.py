@@ -8,15 +8,21 @@ from gridops.operators import extensions, kpis
 from gridops.operators.dims import dim_hour
 from gridops.params import DEFAULT
 
-FACT = ("grid_point_id string, region_id long, region_name string, date date, date_id string, hour_id long, "
+FACT = ("grid_point_id string, region_id long, point_no long, region_name string, date date, date_id string, hour_id long, "
         "temperature_2m double, shortwave_radiation_w_m2 double, wind_speed_80m_kmh double, precipitation_mm double")
-AIR = "grid_point_id string, region_id long, region_name string, date date, date_id string, hour_id long, pm10 double, dust double"
+AIR = ("grid_point_id string, region_id long, point_no long, region_name string, date date, date_id string, "
+       "hour_id long, pm10 double, dust double")
+
+
+def _no(p: str) -> int:
+    """point number of a test point name like 'p3' or 'a'"""
+    return int(p[1:]) if p[1:].isdigit() else ord(p[0])
 D = date(2026, 8, 20)
 
 
 def fact(spark, rows):
     """rows: (point, hour, temperature, G, wind, rain), all in region 1 on one day."""
-    return spark.createDataFrame([(p, 1, "R", D, "d", h, t, g, w, rain) for p, h, t, g, w, rain in rows], FACT)
+    return spark.createDataFrame([(p, 1, _no(p), "R", D, "d", h, t, g, w, rain) for p, h, t, g, w, rain in rows], FACT)
 
 
 def test_solar(spark):
@@ -75,7 +81,7 @@ def test_stability_one_pass_equals_selfjoin(spark):
 
 
 def test_dust(spark):
-    data = [(f"p{i}", 1, "R", D, "d", 3, 0.0, d) for i, d in enumerate([49.9, 50.0, 150.0, 300.0, None])]
+    data = [(f"p{i}", 1, i, "R", D, "d", 3, 0.0, d) for i, d in enumerate([49.9, 50.0, 150.0, 300.0, None])]
     out = kpis.kpi_dust_risk(spark.createDataFrame(data, AIR))
     got = {r.grid_point_id: r.harmattan_risk_score for r in out.collect()}
     assert [got[f"p{i}"] for i in range(5)] == [0, 30, 60, 100, 0]
@@ -90,8 +96,8 @@ def test_dust(spark):
     ([10.0], 0.0, [60.0], False),
 ])
 def test_maintenance(spark, winds, rain, pm10, expected):
-    f = spark.createDataFrame([(f"p{i}", 1, "R", D, "d", 9, 30.0, 0.0, w, rain if i == 0 else 0.0) for i, w in enumerate(winds)], FACT)
-    a = spark.createDataFrame([(f"p{i}", 1, "R", D, "d", 9, v, 0.0) for i, v in enumerate(pm10)], AIR)
+    f = spark.createDataFrame([(f"p{i}", 1, i, "R", D, "d", 9, 30.0, 0.0, w, rain if i == 0 else 0.0) for i, w in enumerate(winds)], FACT)
+    a = spark.createDataFrame([(f"p{i}", 1, i, "R", D, "d", 9, v, 0.0) for i, v in enumerate(pm10)], AIR)
     out = kpis.kpi_maintenance(f, a, dim_hour(spark)).collect()
     assert len(out) == 1 and out[0].is_ideal_hour is expected and out[0].hour == 9
 
@@ -99,7 +105,7 @@ def test_maintenance(spark, winds, rain, pm10, expected):
 def test_maintenance_require_air_quality(spark):
     from dataclasses import replace
 
-    f = spark.createDataFrame([("p", 1, "R", D, "d", 9, 30.0, 0.0, 5.0, 0.0)], FACT)
+    f = spark.createDataFrame([("p", 1, 1, "R", D, "d", 9, 30.0, 0.0, 5.0, 0.0)], FACT)
     a = spark.createDataFrame([], AIR)
     strict = replace(DEFAULT, require_air_quality=True)
     assert kpis.kpi_maintenance(f, a, dim_hour(spark)).first().is_ideal_hour is True

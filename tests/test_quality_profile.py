@@ -2,6 +2,7 @@ from datetime import date, datetime
 
 from gridops.operators import facts, profile, quality as q
 from gridops.operators.dims import dim_date
+from gridops.operators.staging import with_grain
 
 
 def test_checks_find_planted_violations_and_pass_clean(spark):
@@ -51,10 +52,10 @@ def test_air_only_date_is_dropped(spark):
     daily = spark.createDataFrame([(date(2026, 8, 21),)], "date date")
     dd = dim_date(hourly, daily)
     assert sorted(r.date for r in dd.collect()) == [date(2026, 8, 20), date(2026, 8, 21)]
-    air = spark.createDataFrame(
+    air = with_grain(spark.createDataFrame(
         [(datetime(2026, 8, 20, 3), "R", 1, 10.0, 5.0, 20.0, 1), (datetime(2026, 8, 25, 3), "R", 1, 10.0, 5.0, 20.0, 1)],
         "ts timestamp_ntz, region_name string, point_no long, pm10 double, pm2_5 double, dust double, region_id long",
-    )
+    ))
     gp = spark.createDataFrame([("g", 1, 1, "R", 0.0, 0.0)], "grid_point_id string, region_id long, point_no long, region_name string, grid_lat double, grid_lon double")
     out = facts.fact_hourly_air_quality(air, gp, dd).collect()
     assert [(r.date, r.hour_id) for r in out] == [(date(2026, 8, 20), 3)]
