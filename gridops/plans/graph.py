@@ -148,9 +148,21 @@ class ModelGraph:
     def fact_daily_weather(self) -> DataFrame:
         return facts.fact_daily_weather(self.stg_daily, self.dim_grid_point_join)
 
+    @cached_property
+    def date_bound(self) -> int | None:
+        """Upper bound on the date dimension's rows: distinct dates of the landed hourly
+        and daily tables (measured once at landing), plus a possible null date."""
+        if "raw_hourly" in self.sources or "raw_daily" in self.sources:
+            return None
+        return sum(landing.landed_dates(self.spark, self.sf_dir, n) for n in ("raw_hourly", "raw_daily")) + 1
+
+    @cached_property
+    def dim_date_join(self) -> DataFrame:
+        return sized_broadcast(self.dim_date, bound=self.date_bound)
+
     @model
     def fact_hourly_air_quality(self) -> DataFrame:
-        return facts.fact_hourly_air_quality(self.stg_air_quality, self.dim_grid_point_join, self.dim_date)
+        return facts.fact_hourly_air_quality(self.stg_air_quality, self.dim_grid_point_join, self.dim_date_join)
 
     # --- indicators --------------------------------------------------------------------
     @model

@@ -23,6 +23,8 @@ from gridops.sources import fixtures
 
 _LOCK = threading.Lock()
 _LANDED: dict[tuple[str, str, str], tuple[DataFrame, int]] = {}
+_DATES: dict[tuple[str, str, str], int] = {}
+_DATE_OF = {"raw_hourly": "to_date(ts)", "raw_daily": "date", "raw_air_quality": "to_date(ts)"}
 
 
 def _derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -59,3 +61,16 @@ def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def landed_rows(spark: SparkSession, sf_dir: str, name: str) -> int:
     """Exact row count of a landed table (measured once, at landing)."""
     return _land(spark, sf_dir, name)[1]
+
+
+def landed_dates(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Exact number of distinct calendar dates in a landed reading table (measured
+    once; a one-column aggregate), the proven size of any date set drawn from it."""
+    from pyspark.sql import functions as F
+
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    with _LOCK:
+        if key not in _DATES:
+            frame = _land(spark, sf_dir, name)[0]
+            _DATES[key] = frame.select(F.expr(_DATE_OF[name]).alias("d")).distinct().count()
+        return _DATES[key]
