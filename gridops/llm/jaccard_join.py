@@ -10,10 +10,13 @@ d <= t = 1 - percent / 100. Two levels of Voronoi regions with triangle-inequali
    of its first ``|x| - ceil((1 - t) |x|) + 1`` shingles, and any linked pair meets.
 2. Each cell names its smallest member as pivot document; documents that share a pivot
    form its region (a document is sent there once, whatever the number of shared cells).
-   Inside, balls of radius t are drawn around pivots until all members lie in one; only
-   members of a ball within 2 t of another ball's pivot are replicated to that ball and
-   compared with it, and balls already connected are left alone. Regions over
-   ``BLOCK`` members are joined as pairs of blocks, so no task holds a region whole.
+   First only parity bitmaps meet: each shingle flips one bit, so bitmaps of x and y differ
+   in at most |x ^ y| bits, and a member whose bitmap is too far from all others' has no
+   link there. The texts of the others follow. Balls of radius t are drawn around pivots
+   until all members lie in one; only members of a ball within 2 t of another ball's pivot
+   are replicated to that ball and compared with it, and balls already connected are left
+   alone. Regions over ``BLOCK`` members are joined as pairs of blocks, so no task holds a
+   region whole.
 
 Links come out as a spanning forest per region, so copies never become all pairs, and the
 components are exact. Equal sets are one class from the start.
@@ -39,8 +42,7 @@ HEAVY = 4
 #: Members of a region that one task compares at once, at most twice this many.
 BLOCK = 1024
 
-_PARSED = "doc_id long, th long, n long, k1 long, k2 long, prefix array<long>"
-_MEMBERS = "region long, i int, j int, rep long, pivot boolean, items binary"
+_PARSED = "doc_id long, th long, n long, k1 long, k2 long, prefix array<long>, bits binary"
 
 
 def _bucket(hashes: np.ndarray) -> np.ndarray:
@@ -71,13 +73,20 @@ def heavy_buckets(texts: DataFrame, words: int) -> np.ndarray:
     return level
 
 
+def _parity(items: np.ndarray) -> np.ndarray:
+    """The parity bitmap of a set: a power of two of bits, not fewer than the set's size."""
+    n = max(64, 1 << (len(items) - 1).bit_length())
+    odd = np.bincount((items & np.uint64(n - 1)).astype(np.int64), minlength=n) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
 def _parse(words: int, percent: int, levels):
     def run(batches):
         level = levels.value
         for batch in batches:
             ids, th = batch.column(0), batch.column(1)
             for lo, hi, data, offsets in c.chunks(batch.column(2)):
-                n, k1, k2, prefix = [], [], [], []
+                n, k1, k2, prefix, bits = [], [], [], [], []
                 for items in c.shingle_sets(c.Words(data, offsets, lower=True), words):
                     size = len(items)
                     n.append(size)
@@ -87,6 +96,7 @@ def _parse(words: int, percent: int, levels):
                     k = size - (percent * size + 99) // 100 + 1 if size else 0
                     order = np.argsort(level[_bucket(items)], kind="stable")[:k]
                     prefix.append(c.long_array(items[order]))
+                    bits.append(_parity(items).tobytes() if size else b"")
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.slice(lo, hi - lo),
@@ -95,49 +105,104 @@ def _parse(words: int, percent: int, levels):
                         pa.array(c.long_array(np.array(k1, np.uint64))),
                         pa.array(c.long_array(np.array(k2, np.uint64))),
                         c.lists(prefix, pa.int64()),
+                        pa.array(bits, pa.binary()),
                     ],
-                    names=["doc_id", "th", "n", "k1", "k2", "prefix"],
+                    names=["doc_id", "th", "n", "k1", "k2", "prefix", "bits"],
                 )
 
     return run
 
 
-def _spread(words: int):
-    """Sends a document's shingle set to the regions (and blocks) it belongs to."""
+def near_some(sizes: np.ndarray, bits: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which members' bitmaps allow a link with some other member."""
+    near = np.zeros(len(bits), bool)
+    width = np.array([len(x) for x in bits])
+    for w in np.unique(width):  # linked sets have bitmaps of one width or of w and 2 w
+        at = np.flatnonzero((width == w) | (width == 2 * w))
+        if len(at) < 2:
+            continue
+        folded = np.stack([bits[i] if len(bits[i]) == w else bits[i][:w] ^ bits[i][w:] for i in at])
+        size = sizes[at]
+        for r in range(len(at)):
+            apart = np.maximum(np.bitwise_count(folded ^ folded[r]).sum(axis=1, dtype=np.int64), np.abs(size - size[r]))
+            fits = (100 + percent) * apart <= (100 - percent) * (size + size[r])
+            fits[r] = False
+            near[at[r]] |= fits.any()
+    return near
+
+
+def _groups(batches, read):
+    """Regions and block pairs one at a time, from rows sorted by these: (region, members),
+    ``read`` gives the members of a batch and the first four columns are region, i, j, rep."""
+    key, members = None, []
+    for batch in batches:
+        cols = [batch.column(k).to_pylist() for k in range(4)]
+        for now, rep, member in zip(zip(*cols[:3], strict=True), cols[3], read(batch), strict=True):
+            if now != key:
+                if len(members) > 1:
+                    yield key[0], members
+                key, members = now, []
+            if not members or members[-1][0] != rep:
+                members.append((rep, member))
+    if len(members) > 1:
+        yield key[0], members
+
+
+def _two_longs(pairs: list[tuple[int, int]], names: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in pairs], pa.int64()) for k in (0, 1)], names=names)
+
+
+def _hopeful(percent: int):
+    """Members (p, rep) of regions whose bitmaps allow a link there, and the pivots."""
+
+    def read(batch):
+        return list(zip(batch.column(4).to_pylist(), [np.frombuffer(x, np.uint64) for x in batch.column(5).to_pylist()], strict=True))
 
     def run(batches):
-        for batch in batches:
-            rep = batch.column(0).to_pylist()
-            regions = batch.column(2).to_pylist()
-            for lo, hi, data, offsets in c.chunks(batch.column(1)):
+        out: list[tuple[int, int]] = []
+        for p, members in _groups(batches, read):
+            near = near_some(np.array([m[0] for _, m in members]), [m[1] for _, m in members], percent)
+            out += [(p, members[r][0]) for r in np.flatnonzero(near)]
+            if len(out) > 5000:
+                yield _two_longs(out, ["p", "rep"])
+                out = []
+        yield _two_longs(out, ["p", "rep"])
+
+    return run
+
+
+def _join_regions(words: int, percent: int):
+    """Links (a, b) of the regions' members, from their texts."""
+
+    def read(batch):
+        return [x for _, _, data, offsets in c.chunks(batch.column(4)) for x in c.shingle_sets(c.Words(data, offsets, lower=True), words)]
+
+    def run(batches):
+        out: list[tuple[int, int]] = []
+        for _, members in _groups(batches, read):
+            out += region_links([rep for rep, _ in members], [x for _, x in members], percent)
+            if len(out) > 5000:
+                yield _two_longs(out, ["a", "b"])
                 out = []
-                for r, items in enumerate(c.shingle_sets(c.Words(data, offsets, lower=True), words), start=lo):
-                    raw = items.tobytes()
-                    for g in regions[r]:
-                        p, blocks = g["p"], g["blocks"]
-                        mine = int(c.mix(np.array([rep[r]]).astype(np.uint64))[0] % np.uint64(blocks))
-                        if p == rep[r]:  # the pivot joins every pair of blocks
-                            out += [(p, i, j, rep[r], True, raw) for i in range(blocks) for j in range(i, blocks)]
-                        else:
-                            out += [(p, min(mine, b), max(mine, b), rep[r], False, raw) for b in range(blocks)]
-                        if len(out) >= 2000:
-                            yield _batch(out)
-                            out = []
-                if out:
-                    yield _batch(out)
+        yield _two_longs(out, ["a", "b"])
 
     return run
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.binary()]
-    names = ["region", "i", "j", "rep", "pivot", "items"]
-    return pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
+def _placed(members: DataFrame, carried: DataFrame, on: list[str], columns: list[str]) -> DataFrame:
+    """Rows (p, i, j, rep, columns) sorted by region and block pair: each member of a region
+    goes to every pair of blocks that its own block is in."""
+    blocks = members.groupBy("p").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
+    homes = members.join(blocks, "p").withColumn("mine", mine)
+    sent = homes.join(carried, on).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    sent = sent.select("p", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "rep", *columns)
+    return sent.repartition("p", "i", "j").sortWithinPartitions("p", "i", "j", "rep")
 
 
 def region_links(ids: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
-    """A spanning forest of the links among the members of one region; ``ids[0]`` is its
-    first pivot. Exact: see the module's text."""
+    """A spanning forest of the links among the members of one region; the smallest
+    id comes first and is the first pivot. Exact: see the module's text."""
     m = len(ids)
     size = np.array([len(s) for s in sets], np.int64)
     flat, owner = np.concatenate(sets), np.repeat(np.arange(m), size)
@@ -171,61 +236,23 @@ def region_links(ids: list[int], sets: list[np.ndarray], percent: int) -> list[t
         either = size + size[x] - both
         return 1 - both / either, 100 * both >= percent * either
 
-    ball = np.full(m, -1)
+    inside = np.zeros(m, bool)
     away: dict[int, np.ndarray] = {}
     for p in range(m):
-        if ball[p] >= 0:
-            continue
-        away[p], near = against(p)
-        ball[near & (ball < 0)] = p
-        for y in np.flatnonzero(near):
-            join(p, int(y))
-    pivots = list(away)
-    for p in pivots:
-        for q in pivots:
-            if p == q or root(p) == root(q) or away[p][q] > 3 * far + 1e-9:
-                continue
-            for x in np.flatnonzero((ball == p) & (away[q] <= 2 * far + 1e-9)):
-                if root(int(x)) == root(q):
-                    break
-                for y in np.flatnonzero(against(int(x))[1]):
-                    join(int(x), int(y))
+        if not inside[p]:
+            away[p], near = against(p)
+            inside |= near
+            for y in np.flatnonzero(near):
+                join(p, int(y))
+    pivots, distance = list(away), np.stack(list(away.values()))
+    for x in np.flatnonzero(distance.min(axis=0) > 0):  # pivots have met everyone
+        other = np.flatnonzero(distance[:, x] <= 2 * far + 1e-9)
+        if any(root(pivots[q]) != root(int(x)) for q in other):
+            for y in np.flatnonzero(against(int(x))[1]):
+                join(int(x), int(y))
     return forest
 
 
-def _join_regions(percent: int):
-    """Regions from rows sorted by region and block pair, one at a time."""
-
-    def run(batches):
-        key, ids, sets = None, [], []
-        out: list[tuple[int, int]] = []
-
-        def close() -> None:
-            if len(ids) > 1:
-                out.extend(region_links(ids, sets, percent))
-
-        def flush() -> pa.RecordBatch:
-            rows = pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
-            out.clear()
-            return rows
-
-        for batch in batches:
-            cols = [batch.column(k).to_pylist() for k in (0, 1, 2, 3)]
-            for r, now in enumerate(zip(*cols[:3], strict=True)):
-                if now != key:
-                    close()
-                    key, ids, sets = now, [], []
-                if not ids or ids[-1] != cols[3][r]:
-                    ids.append(cols[3][r])
-                    sets.append(np.frombuffer(batch.column(5)[r].as_buffer(), np.uint64).copy())
-            if len(out) > 5000:
-                yield flush()
-        close()
-        yield flush()
-
-    return run
-
-
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, th (the text's hash), n_shingles, component_id (the
     smallest doc_id that links of ``words``-word shingle sets with Jaccard similarity of
@@ -239,26 +266,15 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     classes = c.written(classes, "classes")
     reps = (
         own.join(classes.withColumnRenamed("rep", "doc_id"), ["k1", "k2", "n", "doc_id"], "left_semi")
-        .select(F.col("doc_id").alias("rep"), "th", "n", "prefix")
-    )
-    cell = reps.select("rep", "n", F.posexplode("prefix").alias("at", "key"))
-    pivots = (
-        cell.groupBy("key")
-        .agg(F.count("*").alias("members"), F.min("rep").alias("p"), F.min("n").alias("lo"), F.max("n").alias("hi"), F.min(F.col("n") - F.col("at")).alias("room"))
-        .filter("members > 1")
-        .filter(  # a cell of two: their sizes and the shingles left must allow a link
-            f"members > 2 OR (100 * lo >= {percent} * hi AND (100 + {percent}) * room >= {percent} * (lo + hi))"
-        )
-        .select("key", "p")
+        .select(F.col("doc_id").alias("rep"), "th", "n", "prefix", "bits")
     )
-    pairs = c.written(cell.select("key", "rep").join(pivots, "key").select("p", "rep").distinct(), "regions")
-    blocks = pairs.groupBy("p").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    homes = pairs.join(blocks, "p").groupBy("rep").agg(F.collect_list(F.struct("p", "blocks")).alias("regions"))
-    homes = homes.join(reps.select("rep", "th").distinct(), "rep")
-    sent = rows.withColumnRenamed("doc_id", "rep").join(homes, ["rep", "th"]).select("rep", "text", "regions")
-    sent = sent.mapInArrow(_spread(words), _MEMBERS)
-    sorted_ = sent.repartition("region", "i", "j").sortWithinPartitions("region", "i", "j", F.desc("pivot"), "rep")
-    links = c.written(sorted_.mapInArrow(_join_regions(percent), "a long, b long"), "links")
+    cell = reps.select("rep", F.explode("prefix").alias("key"))
+    pivots = cell.groupBy("key").agg(F.min("rep").alias("p"), F.max("rep").alias("last")).filter("p < last").select("key", "p")
+    pairs = c.written(cell.join(pivots, "key").select("p", "rep").distinct(), "regions")
+    met = _placed(pairs, reps.select("rep", "n", "bits").distinct(), ["rep"], ["n", "bits"])
+    hopeful = c.written(met.mapInArrow(_hopeful(percent), "p long, rep long").distinct(), "hopeful")
+    texts = rows.withColumnRenamed("doc_id", "rep").join(reps.join(hopeful.select("rep").distinct(), "rep").select("rep", "th").distinct(), ["rep", "th"])
+    links = c.written(_placed(hopeful, texts.select("rep", "text"), ["rep"], ["text"]).mapInArrow(_join_regions(words, percent), "a long, b long"), "links")
     found = c.components(links)
     named = classes.join(found, classes["rep"] == found["node"], "left").select("k1", "k2", "n", F.coalesce("component", "rep").alias("component_id"))
     return parsed.join(named, ["k1", "k2", "n"], "left").select(
