@@ -13,11 +13,11 @@ shingle AS (
     FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, CASE WHEN len(w) > 0 THEN 2 ELSE 1 END))) AS i FROM words)),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
 overlap AS (
-    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
     FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
 link AS (
     SELECT x, y FROM overlap JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
-    WHERE 100 * both >= 85 * (p.n + q.n - both)),
+    WHERE 100 * shared >= 85 * (p.n + q.n - shared)),
 edge AS (SELECT x, y FROM link UNION SELECT y, x FROM link),
 reach AS (
     SELECT doc_id AS x, doc_id AS y FROM documents
@@ -27,6 +27,27 @@ FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN reach r ON r.x = d.d
 GROUP BY d.doc_id, s.n
 """
 
+OP4_SUBSTRING_DEDUP = r"""
+WITH
+words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+one AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS at FROM words),
+win AS (SELECT doc_id, at, hash(array_to_string(w[at : at + 49], ' ')) AS h FROM one WHERE at + 49 <= len(w)),
+earliest AS (SELECT h, min(doc_id) AS first FROM win GROUP BY h),
+hit AS (SELECT doc_id, at FROM win JOIN earliest USING (h) WHERE first < doc_id),
+edge AS (
+    SELECT doc_id, at, sum(d) AS d FROM (SELECT doc_id, at, 1 AS d FROM hit UNION ALL SELECT doc_id, at + 50, -1 FROM hit) GROUP BY ALL),
+depth AS (
+    SELECT one.doc_id, one.at, one.w[one.at] AS word, sum(coalesce(edge.d, 0)) OVER (PARTITION BY one.doc_id ORDER BY one.at) AS n
+    FROM one LEFT JOIN edge ON edge.doc_id = one.doc_id AND edge.at = one.at),
+kept AS (
+    SELECT doc_id, count(*) AS n_words, count(*) FILTER (n > 0) AS n_removed,
+           coalesce(string_agg(word, ' ' ORDER BY at) FILTER (n = 0), '') AS text
+    FROM depth GROUP BY doc_id)
+SELECT d.doc_id, coalesce(k.n_words, 0) AS n_words, coalesce(k.n_removed, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
+FROM documents d LEFT JOIN kept k USING (doc_id)
+"""
+
 ORACLES: dict[str, str] = {
+    "op4_substring_dedup": OP4_SUBSTRING_DEDUP,
     "op5_jaccard_join": OP5_JACCARD_JOIN,
 }

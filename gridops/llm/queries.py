@@ -5,22 +5,43 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from gridops.llm import jaccard_join
+from gridops.llm import jaccard_join, mixing, sharding, substring_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", F.crc32("text").alias("text_crc32"))
+    return sharding.shard(docs, n_shards=40, overhead=16, keep=["doc_id", "text_crc32"]).select(
+        "row.doc_id", "size", "row.text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    summary, _ = substring_dedup.dedup_substrings(_table(spark, sf_dir, "documents"), min_words=50)
+    return summary.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = jaccard_join.jaccard_components(_table(spark, sf_dir, "documents"), words=4, percent=85)
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    plan = mixing.mix_plan(_table(spark, sf_dir, "documents"), weights=(5, 2, 1), max_repeats=3, shards=40, keep=["doc_id"])
+    return plan.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_sampled_splitters,
+        op4_substring_dedup,
         op5_jaccard_join,
+        op9_mixing,
     )
 }
