@@ -30,24 +30,39 @@ GROUP BY d.doc_id, s.n
 OP4_SUBSTRING_DEDUP = r"""
 WITH
 words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
-one AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS at FROM words),
-win AS (SELECT doc_id, at, hash(array_to_string(w[at : at + 49], ' ')) AS h FROM one WHERE at + 49 <= len(w)),
+one AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS pos FROM words),
+win AS (SELECT doc_id, pos, hash(array_to_string(w[pos : pos + 49], ' ')) AS h FROM one WHERE pos + 49 <= len(w)),
 earliest AS (SELECT h, min(doc_id) AS first FROM win GROUP BY h),
-hit AS (SELECT doc_id, at FROM win JOIN earliest USING (h) WHERE first < doc_id),
+hit AS (SELECT doc_id, pos FROM win JOIN earliest USING (h) WHERE first < doc_id),
 edge AS (
-    SELECT doc_id, at, sum(d) AS d FROM (SELECT doc_id, at, 1 AS d FROM hit UNION ALL SELECT doc_id, at + 50, -1 FROM hit) GROUP BY ALL),
+    SELECT doc_id, pos, sum(d) AS d FROM (SELECT doc_id, pos, 1 AS d FROM hit UNION ALL SELECT doc_id, pos + 50, -1 FROM hit) GROUP BY ALL),
 depth AS (
-    SELECT one.doc_id, one.at, one.w[one.at] AS word, sum(coalesce(edge.d, 0)) OVER (PARTITION BY one.doc_id ORDER BY one.at) AS n
-    FROM one LEFT JOIN edge ON edge.doc_id = one.doc_id AND edge.at = one.at),
+    SELECT one.doc_id, one.pos, one.w[one.pos] AS word, sum(coalesce(edge.d, 0)) OVER (PARTITION BY one.doc_id ORDER BY one.pos) AS n
+    FROM one LEFT JOIN edge ON edge.doc_id = one.doc_id AND edge.pos = one.pos),
 kept AS (
     SELECT doc_id, count(*) AS n_words, count(*) FILTER (n > 0) AS n_removed,
-           coalesce(string_agg(word, ' ' ORDER BY at) FILTER (n = 0), '') AS text
+           coalesce(string_agg(word, ' ' ORDER BY pos) FILTER (n = 0), '') AS text
     FROM depth GROUP BY doc_id)
 SELECT d.doc_id, coalesce(k.n_words, 0) AS n_words, coalesce(k.n_removed, 0) AS n_removed, sha256(coalesce(k.text, '')) AS kept_sha256
 FROM documents d LEFT JOIN kept k USING (doc_id)
 """
 
+OP10_IMPACT_INDEX = r"""
+WITH
+v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+flat AS (SELECT vec_id, unnest(range(1, len(e) + 1)) AS d, unnest(e) AS x FROM v),
+pair AS (
+    SELECT q.vec_id AS query_id, p.vec_id, CAST(sum(q.x * p.x) AS BIGINT) AS score
+    FROM flat q JOIN flat p ON q.d = p.d AND q.vec_id % 50 = 0 AND q.vec_id <> p.vec_id GROUP BY ALL)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM pair QUALIFY rank <= 5
+"""
+
 ORACLES: dict[str, str] = {
     "op4_substring_dedup": OP4_SUBSTRING_DEDUP,
     "op5_jaccard_join": OP5_JACCARD_JOIN,
+    "op10_impact_index": OP10_IMPACT_INDEX,
 }

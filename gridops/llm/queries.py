@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridops.llm import jaccard_join, mixing, sharding, substring_dedup
+from gridops.llm import jaccard_join, mixing, sharding, substring_dedup, token_counts, topk_search
+
+
+#: The public vocabulary that op8 counts with; read on the driver.
+VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,17 +35,27 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_table(spark, sf_dir, "documents"), token_counts.pieces_of(VOCABULARY))
+
+
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(_table(spark, sf_dir, "documents"), weights=(5, 2, 1), max_repeats=3, shards=40, keep=["doc_id"])
     return plan.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"))
 
 
+def op10_impact_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(_table(spark, sf_dir, "embeddings"), every=50, k=5, scale=256)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sampled_splitters,
         op4_substring_dedup,
         op5_jaccard_join,
+        op8_token_counts,
         op9_mixing,
+        op10_impact_index,
     )
 }

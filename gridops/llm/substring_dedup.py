@@ -5,8 +5,8 @@ repeated in another document are extended to twice their length; windows that st
 go no further, so what is shuffled shrinks from level to level. At the first level it is
 enough to look at the windows that have the smallest hash among the ``half + 1`` half
 windows of some full window (each full window holds one, and equal full windows hold the
-same), about 2 in ``half + 2`` of all. A full window survives only if all such windows
-inside it are repeated. Full windows are then judged exactly; a longer repeated passage is
+same), about 2 in ``half + 2`` of all. A full window survives only if its smallest half
+window is repeated. Full windows are then judged exactly; a longer repeated passage is
 a run of repeated full windows, so no level above can remove more words.
 
 A word goes if a window of ``min_words`` words that covers it also starts in a document
@@ -30,6 +30,9 @@ from gridops.llm import common as c
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
 
+_NONE = np.uint64((1 << 64) - 1)
+
+
 def _sliding(x: np.ndarray, n: int, pick) -> np.ndarray:
     """``pick`` (a ufunc: minimum, maximum) over each ``n`` neighbours, by doubling."""
     if len(x) < n:
@@ -86,7 +89,7 @@ def _parse(min_words: int):
 
 
 def _extend(min_words: int):
-    """Full windows whose half windows are all repeated: (doc_id, th, h, at)."""
+    """Full windows whose smallest half window is repeated: (doc_id, th, h, at)."""
     half = min_words // 2
 
     def run(batches):
@@ -94,17 +97,18 @@ def _extend(min_words: int):
             alive = batch.column(3)
             for lo, hi, data, offsets in c.chunks(batch.column(2)):
                 words = c.Words(data, offsets)
-                at, _ = anchors(words, min_words)
-                lives = np.zeros(len(words.start) + 1, np.int64)
+                lives = np.zeros(len(words.start) + 1, bool)
                 for r in range(lo, hi):
-                    lives[words.first[r - lo] + np.asarray(alive[r].values, np.int64)] = 1
-                held = np.zeros(len(words.start) + 1, np.int64)
-                held[at] = 1
-                n_held, n_live = (np.concatenate([[0], np.cumsum(x)]) for x in (held, lives))
+                    lives[words.first[r - lo] + np.asarray(alive[r].values, np.int64)] = True
+                at, small = words.windows(half)
                 full, h = words.windows(min_words)
-                end = full + min_words - half + 1
-                seen, live = n_held[end] - n_held[full], n_live[end] - n_live[full]
-                keep = (seen == live) & (live > 0)
+                if not len(full):
+                    continue
+                spread = np.full(len(words.start), _NONE)  # half windows by their first word
+                spread[at] = small
+                least = _sliding(spread, min_words - half + 1, np.minimum)
+                least_live = _sliding(np.where(lives[:-1], spread, _NONE), min_words - half + 1, np.minimum)
+                keep = least[full] == least_live[full]
                 full, h = full[keep], h[keep]
                 row = words.row[full]
                 take = pa.array(row + lo)
