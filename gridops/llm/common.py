@@ -19,7 +19,7 @@ from gridops.session import scratch_path
 
 #: Text bytes hashed at once inside a task; bounds the working arrays of a task (a single
 #: longer text is taken alone).
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 WORD_RE = r"[^\x20\x09-\x0D]+"
 
@@ -33,6 +33,13 @@ _P_WORD = 0xC2B2AE3D27D4EB4F | 1
 _POWERS: dict[int, np.ndarray] = {}
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Asks for Arrow batches of a few MB: whole texts are passed to Python, and a batch is
+    held several times over (JVM buffers, Python, both cores of an executor)."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared checkpoint folder and read back: cuts the
     lineage, survives lost executors, and computes what is read twice only once."""
@@ -192,7 +199,3 @@ def components(edges: DataFrame) -> DataFrame:
             break
     stars = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return stars.groupBy("node").agg(F.min("component").alias("component"))
-
-
-def empty_like(spark: SparkSession, df: DataFrame) -> DataFrame:
-    return spark.createDataFrame([], df.schema)

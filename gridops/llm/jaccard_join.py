@@ -258,6 +258,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     smallest doc_id that links of ``words``-word shingle sets with Jaccard similarity of
     ``percent`` / 100 or more reach)."""
     spark = docs.sparkSession
+    c.small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), c.row_hash(F.col("text")).alias("th"), "text")
     levels = spark.sparkContext.broadcast(heavy_buckets(rows.select("text"), words))
     parsed = c.written(rows.mapInArrow(_parse(words, percent, levels), _PARSED), "shingled")

@@ -163,6 +163,7 @@ def dedup_substrings(docs: DataFrame, min_words: int = 50) -> tuple[DataFrame, D
     words joined by one space)."""
     if min_words < 2:
         raise ValueError("min_words must be at least 2")
+    c.small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), c.row_hash(F.col("text")).alias("th"), "text")
     parsed = c.written(
         rows.mapInArrow(_parse(min_words), "doc_id long, th long, n_words long, sha string, seq long, at array<int>, h array<long>"), "halves"

@@ -119,5 +119,6 @@ def _count(pieces):
 def token_counts(docs: DataFrame, pieces: list[str]) -> DataFrame:
     """doc_id, n_words, n_tokens of every document. ``pieces`` is a vocabulary, a fixed list
     that is broadcast."""
+    c.small_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(list(pieces))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_count(held), "doc_id long, n_words long, n_tokens long")
