@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridops.llm import jaccard_join, mixing, sharding, substring_dedup, token_counts, topk_search
+from gridops.llm import decontaminate, html_extract, jaccard_join, language_id, mixing, pii, sharding, substring_dedup, token_counts, topk_search
 
 
 #: The public vocabulary that op8 counts with; read on the driver.
@@ -25,6 +25,17 @@ def op1_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_spans(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    counts = [F.expr(f"cast(size(filter(base, x -> x.kind = {i})) as long)").alias(f"n_{k}") for i, k in enumerate(pii.KINDS)]
+    return found.select("row.doc_id", *counts, F.sha2(pii.listed("base"), 256).alias("base_sha256"), pii.listed("spans").alias("spans"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), share=0.2)
+    return found.select("doc_id", "item_id", "start", "item_words", "distance")
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     summary, _ = substring_dedup.dedup_substrings(_table(spark, sf_dir, "documents"), min_words=50)
     return summary.select("doc_id", "n_words", "n_removed", "kept_sha256")
@@ -35,6 +46,16 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id")
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.main_text(_table(spark, sf_dir, "pages"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = language_id.identify(docs, language_id.train(docs))
+    return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(_table(spark, sf_dir, "documents"), token_counts.pieces_of(VOCABULARY))
 
@@ -52,8 +73,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sampled_splitters,
+        op2_pii,
+        op3_decontamination,
         op4_substring_dedup,
         op5_jaccard_join,
+        op6_html_extraction,
+        op7_language_id,
         op8_token_counts,
         op9_mixing,
         op10_impact_index,
