@@ -1,10 +1,10 @@
 """Dense, monotone row ids in load order, continuing after an existing table's max.
 
-No global single-partition window: the batch is range-sorted, each row takes
-(partition id, position in partition) from ``monotonically_increasing_id``, the
-frame is checkpointed (so both passes below see the very same partitioning, and
-an executor loss cannot reshuffle it), per-partition counts (one row per
-partition) are prefix-summed, and every row adds its partition's offset.
+The batch is range-sorted and written once to the shared folder, each row with its
+partition and its position there (from ``monotonically_increasing_id``), so a lost
+executor cannot renumber it. Per-partition counts (one row per partition) are
+prefix-summed in a window over that small table alone, and every row adds its
+partition's offset when the written table is read.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gridops.session import checkpoint_root
+from gridops.session import scratch_path
 
 
 def max_id(existing: DataFrame | None, id_col: str) -> Column:
@@ -25,23 +25,32 @@ def max_id(existing: DataFrame | None, id_col: str) -> Column:
 
 
 def append_ids(
-    batch: DataFrame, order: Sequence[str | Column], id_col: str, existing: DataFrame | None = None
+    batch: DataFrame,
+    order: Sequence[str | Column],
+    id_col: str,
+    existing: DataFrame | None = None,
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """``batch`` plus ``id_col`` = max(existing ids, or 0) + 1, 2, ... in ``order``.
+    """``batch`` (its columns in ``keep``, by default all) plus ``id_col`` = max(existing
+    ids, or 0) + 1, 2, ... in ``order``. The batch is written here and now.
 
     ``order`` must be a total order over the batch for the ids to be reproducible.
     """
-    checkpoint_root(batch.sparkSession)
+    spark = batch.sparkSession
     base = max_id(existing, id_col)
+    columns = list(keep or batch.columns)
     located = (
         batch.orderBy(*order)
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33))
-        .checkpoint(eager=True)
+        .select(*columns, "_pid", "_pos")
     )
+    path = scratch_path(spark, f"numbered-{id_col}")
+    located.write.parquet(path)
+    located = spark.read.schema(located.schema).parquet(path)
     counts = located.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per partition: bounded by the partition count, safe to broadcast
+    # one row per partition of the batch: bounded by its partition count, safe to broadcast
     offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     out = located.join(F.broadcast(offsets), "_pid")
     return out.withColumn(id_col, base + F.col("_off") + F.col("_pos") + 1).drop("_pid", "_pos", "_off")

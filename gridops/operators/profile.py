@@ -13,12 +13,14 @@ def profile_tables(tables: Mapping[str, tuple[DataFrame, str, str]]) -> DataFram
     ``tables`` maps name -> (frame, column for min, column for max)."""
     rows = None
     for name, (df, lo, hi) in tables.items():
-        r = df.agg(
-            F.count(F.lit(1)).alias("row_count"),
+        # one row per region and point, then a roll-up of these: no Expand of the table
+        per_point = df.groupBy("region_name", "point_no").agg(F.count(F.lit(1)).alias("n"), F.min(lo).alias("lo"), F.max(hi).alias("hi"))
+        r = per_point.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("row_count"),
             F.countDistinct("region_name").alias("distinct_regions"),
             F.countDistinct("point_no").alias("distinct_points"),
-            F.min(lo).cast("double").alias("min_value"),
-            F.max(hi).cast("double").alias("max_value"),
+            F.min("lo").cast("double").alias("min_value"),
+            F.max("hi").cast("double").alias("max_value"),
         ).select(F.lit(name).alias("table_name"), "*")
         rows = r if rows is None else rows.unionByName(r)
     return rows
@@ -60,15 +62,3 @@ def missing_regions(regions: DataFrame, readings: DataFrame, name_col: str = "re
     return unmatched.filter(
         (n_seen == 0) | ((has_null == 0) & F.col(name_col).isNotNull())
     ).select("total", name_col)
-
-
-def describe_tables(spark, tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Column name, type and nullability of each table (schema metadata only)."""
-    rows = [
-        (name, i + 1, f.name, f.dataType.simpleString(), f.nullable)
-        for name, df in tables.items()
-        for i, f in enumerate(df.schema.fields)
-    ]
-    return spark.createDataFrame(
-        rows, "table_name string, ordinal int, column_name string, data_type string, nullable boolean"
-    )

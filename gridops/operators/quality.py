@@ -159,8 +159,10 @@ def _grouped(tables: Mapping[str, DataFrame], c: Check) -> DataFrame:
         bad = df.groupBy(*c.columns).count().filter(F.col("count") > 1)
     elif c.kind == "relationship":
         parent = tables[c.to_table].select(F.col(c.to_column).alias("_parent")).distinct()
-        child = df.select(F.col(c.column).alias("_child")).filter(F.col("_child").isNotNull())
-        bad = child.join(parent, child["_child"] == parent["_parent"], "left_anti")
+        # one row per key and task is shuffled, however many rows hold the key
+        child = df.filter(F.col(c.column).isNotNull()).groupBy(F.col(c.column).alias("_child")).agg(F.count(F.lit(1)).alias("_rows"))
+        orphans = child.join(parent, child["_child"] == parent["_parent"], "left_anti")
+        return orphans.agg(F.sum("_rows").alias("_n")).select(_summary(c, F.col("_n")).alias("r")).select("r.*")
     else:
         raise ValueError(c.kind)
     return bad.agg(F.count(F.lit(1)).alias("_n")).select(_summary(c, F.col("_n")).alias("r")).select("r.*")

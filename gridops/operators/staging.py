@@ -10,14 +10,13 @@ from gridops.operators.dedup import latest_reading
 from gridops.params import DEFAULT, Params
 
 HOURLY_KEY = ("region_id", "point_no", "ts")
+# What latest readings are grouped on: the key, and the region's name, which the id
+# decides. Grouping on the string keeps it out of the aggregation buffer, where it would
+# turn the hash aggregate into a sorting one.
+HOURLY_GROUP = (*HOURLY_KEY, "region_name")
 DAILY_KEY = ("region_id", "point_no", "date")
+DAILY_GROUP = (*DAILY_KEY, "region_name")
 AIR_KEY = ("region_name", "point_no", "ts")
-# The hourly facts' grain. Staging keeps the newest load per grain key, so each
-# hourly staging frame leaves its de-duplicating aggregate hash-partitioned on
-# exactly these columns, and the weather/air fact join reuses that partitioning
-# instead of shuffling the largest table again. For readings stamped on the hour
-# (all landed hourly data) this is the same as keying on the timestamp.
-HOURLY_GRAIN = ("region_id", "point_no", "date", "hour_id")
 
 
 def with_grain(df: DataFrame) -> DataFrame:
@@ -26,8 +25,7 @@ def with_grain(df: DataFrame) -> DataFrame:
 
 def stg_hourly(raw: DataFrame, params: Params = DEFAULT, dedupe: bool | None = None) -> DataFrame:
     dedupe = params.dedupe_readings if dedupe is None else dedupe
-    df = with_grain(raw)
-    df = latest_reading(df, HOURLY_GRAIN, "id_hourly") if dedupe else df
+    df = with_grain(latest_reading(raw, HOURLY_GROUP, "id_hourly") if dedupe else raw)
     vis_km = F.col("visibility_m") / F.lit(1000.0)
     return df.select(
         "id_hourly", "ts", "region_id", "region_name", "point_no", "latitude", "longitude",
@@ -45,7 +43,7 @@ def stg_hourly(raw: DataFrame, params: Params = DEFAULT, dedupe: bool | None = N
 
 def stg_daily(raw: DataFrame, params: Params = DEFAULT, dedupe: bool | None = None) -> DataFrame:
     dedupe = params.dedupe_readings if dedupe is None else dedupe
-    df = latest_reading(raw, DAILY_KEY, "id_daily") if dedupe else raw
+    df = latest_reading(raw, DAILY_GROUP, "id_daily") if dedupe else raw
     sunny = params.daily_sunny_threshold if params.daily_sunny_threshold is not None else params.radiation_sunny_threshold
     cloudy = params.daily_cloudy_threshold if params.daily_cloudy_threshold is not None else params.radiation_cloudy_threshold
     return df.select(
@@ -58,12 +56,14 @@ def stg_air_quality(
     raw: DataFrame, grid: DataFrame, params: Params = DEFAULT, dedupe: bool | None = None
 ) -> DataFrame:
     """Trim the name, recover the region id by matching (name, point) against the
-    grid (unmatched rows drop), and keep the newest load per grain key. Region
-    names are unique in the grid, so this equals de-duplicating by name first."""
+    grid (unmatched rows drop), and keep the newest load per region, point and
+    timestamp. Region names are unique in the grid, so this equals de-duplicating by
+    name first."""
     dedupe = params.dedupe_readings if dedupe is None else dedupe
     df = raw.withColumn("region_name", F.trim("region_name"))
     g = grid.select("region_name", "point_no", "region_id")
-    df = with_grain(df.join(g, ["region_name", "point_no"], "inner"))
+    df = df.join(g, ["region_name", "point_no"], "inner")
     if dedupe:
-        df = latest_reading(df, HOURLY_GRAIN, "load_seq")
+        df = latest_reading(df, HOURLY_GROUP, "load_seq")
+    df = with_grain(df)
     return df.select("ts", "region_name", "point_no", "pm10", "pm2_5", "dust", "region_id", "date", "hour_id")

@@ -1,8 +1,10 @@
 """The model graph: raw -> staging -> dimensions -> facts -> indicators.
 
-Each property is a lazy DataFrame; building the graph runs nothing. Consumers
-select the columns they need and Catalyst prunes everything else down to the
-parquet scan.
+Each property is a lazy DataFrame. With ``sources`` building the graph runs no job;
+with ``sf_dir`` the tables that a model reads are landed first (see
+``sources.landing``). Join sides carry no hints: Spark's byte threshold and AQE
+decide. Consumers select the columns they need and Catalyst prunes everything else
+down to the parquet scan.
 """
 
 from __future__ import annotations
@@ -12,7 +14,6 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 
 from gridops.operators import dims, extensions, facts, grid, kpis, staging
-from gridops.operators.joins import sized_broadcast
 from gridops.params import DEFAULT, Params
 from gridops.session import scratch_path
 from gridops.sources import landing
@@ -54,14 +55,12 @@ class ModelGraph:
         params: Params = DEFAULT,
         materialize: bool = False,
         sources: dict[str, DataFrame] | None = None,
-        max_regions: int | None = None,
     ):
         if sf_dir is None and not sources:
             raise ValueError("give sf_dir or sources")
         self.spark, self.sf_dir, self.params = spark, sf_dir, params
         self.materialize = materialize
         self.sources = dict(sources or {})
-        self.max_regions = max_regions
 
     def _raw(self, name: str) -> DataFrame:
         if name in self.sources:
@@ -77,6 +76,14 @@ class ModelGraph:
     def raw_hourly(self) -> DataFrame:
         return self._raw("raw_hourly")
 
+    @cached_property
+    def hourly_rows(self) -> DataFrame:
+        """The raw hourly readings for readers that do not need ``id_hourly``: the same
+        rows without the sort that numbers them."""
+        if "raw_hourly" in self.sources:
+            return self.sources["raw_hourly"]
+        return landing.unnumbered(self.spark, self.sf_dir)
+
     @cached_property
     def raw_daily(self) -> DataFrame:
         return self._raw("raw_daily")
@@ -98,42 +105,20 @@ class ModelGraph:
     def stg_daily(self) -> DataFrame:
         return staging.stg_daily(self.raw_daily, self.params)
 
-    @cached_property
-    def grid_bound(self) -> int | None:
-        """Upper bound on grid rows: regions x lattice points. The region count is
-        measured at landing, or declared by the caller (``max_regions``); unknown
-        means the broadcast decision falls back to a bounded count."""
-        if self.max_regions is not None:
-            n = self.max_regions
-        elif "regions" in self.sources:
-            return None
-        else:
-            n = landing.landed_rows(self.spark, self.sf_dir, "regions")
-        return n * len(self.params.grid_coefficients) ** 2
-
-    @cached_property
-    def grid_points_join(self) -> DataFrame:
-        """The grid as a join side: broadcast only when its bound proves it small."""
-        return sized_broadcast(self.grid_points, bound=self.grid_bound)
-
     @model
     def stg_air_quality(self) -> DataFrame:
-        return staging.stg_air_quality(self.raw_air_quality, self.grid_points_join, self.params)
+        return staging.stg_air_quality(self.raw_air_quality, self.grid_points, self.params)
 
     # --- dimensions --------------------------------------------------------------------
     @model
     def dim_grid_point(self) -> DataFrame:
         return dims.dim_grid_point(self.grid_points)
 
-    @cached_property
-    def dim_grid_point_join(self) -> DataFrame:
-        return sized_broadcast(self.dim_grid_point, bound=self.grid_bound)
-
     @model
     def dim_date(self) -> DataFrame:
         # de-duplication keeps every (point, timestamp) key, so the staged date set equals
         # the raw one: read dates straight off the landed tables, skipping the dedupe
-        return dims.dim_date(self.raw_hourly, self.raw_daily)
+        return dims.dim_date(self.hourly_rows, self.raw_daily)
 
     @model
     def dim_hour(self) -> DataFrame:
@@ -142,27 +127,15 @@ class ModelGraph:
     # --- facts -------------------------------------------------------------------------
     @model
     def fact_hourly_weather(self) -> DataFrame:
-        return facts.fact_hourly_weather(self.stg_hourly, self.dim_grid_point_join)
+        return facts.fact_hourly_weather(self.stg_hourly, self.dim_grid_point)
 
     @model
     def fact_daily_weather(self) -> DataFrame:
-        return facts.fact_daily_weather(self.stg_daily, self.dim_grid_point_join)
-
-    @cached_property
-    def date_bound(self) -> int | None:
-        """Upper bound on the date dimension's rows: distinct dates of the landed hourly
-        and daily tables (measured once at landing), plus a possible null date."""
-        if "raw_hourly" in self.sources or "raw_daily" in self.sources:
-            return None
-        return sum(landing.landed_dates(self.spark, self.sf_dir, n) for n in ("raw_hourly", "raw_daily")) + 1
-
-    @cached_property
-    def dim_date_join(self) -> DataFrame:
-        return sized_broadcast(self.dim_date, bound=self.date_bound)
+        return facts.fact_daily_weather(self.stg_daily, self.dim_grid_point)
 
     @model
     def fact_hourly_air_quality(self) -> DataFrame:
-        return facts.fact_hourly_air_quality(self.stg_air_quality, self.dim_grid_point_join, self.dim_date_join)
+        return facts.fact_hourly_air_quality(self.stg_air_quality, self.dim_grid_point, self.dim_date)
 
     # --- indicators --------------------------------------------------------------------
     @model

@@ -2,17 +2,16 @@
 back like any landed table.
 
 Landing is where the raw hourly rows receive their load id (``id_hourly``): dense,
-monotone in load order, assigned by ``operators.ids.append_ids`` (range sort +
-per-partition offsets, no single-partition window). Downstream, "newest load wins"
-is then a max over one bigint per key, which Spark runs as a hash aggregate with
-map-side combining. Each table is written as parquet under the checkpoint root
-(the cluster's shared folder) in a fresh directory per application, so the model
-build reads split-able, column-pruned files and never re-derives its inputs.
+monotone in load order, assigned by ``operators.ids.append_ids``, which writes the
+numbered rows once; that table is the landed one. Downstream, "newest load wins" is
+a max over one bigint per key. The other tables are written as parquet under the
+checkpoint root (the cluster's shared folder) in a fresh directory per application.
+Readers that do not need the load id take ``unnumbered``, a projection of the source
+scan without any sort.
 """
 
 from __future__ import annotations
 
-import hashlib
 import threading
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,55 +21,33 @@ from gridops.session import scratch_path
 from gridops.sources import fixtures
 
 _LOCK = threading.Lock()
-_LANDED: dict[tuple[str, str, str], tuple[DataFrame, int]] = {}
-_DATES: dict[tuple[str, str, str], int] = {}
-_DATE_OF = {"raw_hourly": "to_date(ts)", "raw_daily": "date", "raw_air_quality": "to_date(ts)"}
+_LANDED: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def _derive(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    if name == "raw_hourly":
-        raw = fixtures.raw_hourly(spark, sf_dir)
-        return append_ids(raw, ["load_seq"], "id_hourly").select("id_hourly", *[c for c in raw.columns if c != "load_seq"])
-    return {
-        "regions": fixtures.regions,
-        "raw_daily": fixtures.raw_daily,
-        "raw_air_quality": fixtures.raw_air_quality,
-    }[name](spark, sf_dir)
+def unnumbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw hourly readings before they get their load ids."""
+    return fixtures.raw_hourly(spark, sf_dir).drop("load_seq")
 
 
-def _land(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, int]:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
-    with _LOCK:
-        hit = _LANDED.get(key)
-        if hit is None:
-            tag = hashlib.sha1(key[1].encode()).hexdigest()[:10]
-            path = scratch_path(spark, f"landed-{tag}-{name}")
-            _derive(spark, sf_dir, name).write.mode("overwrite").parquet(path)
-            # a parquet count is answered from footers; kept as the table's proven size
-            frame = spark.read.parquet(path)
-            hit = (frame, frame.count())
-            _LANDED[key] = hit
-    return hit
+def _written(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(spark, f"landed-{name}")
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
 
 
-def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The landed table ``name`` for ``sf_dir``; landed on first use in this application."""
-    return _land(spark, sf_dir, name)[0]
-
-
-def landed_rows(spark: SparkSession, sf_dir: str, name: str) -> int:
-    """Exact row count of a landed table (measured once, at landing)."""
-    return _land(spark, sf_dir, name)[1]
-
+def _land(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    if name == "raw_hourly":
+        raw = fixtures.raw_hourly(spark, sf_dir)
+        kept = [c for c in raw.columns if c != "load_seq"]
+        return append_ids(raw, ["load_seq"], "id_hourly", keep=kept).select("id_hourly", *kept)
+    derive = {"regions": fixtures.regions, "raw_daily": fixtures.raw_daily, "raw_air_quality": fixtures.raw_air_quality}
+    return _written(spark, derive[name](spark, sf_dir), name)
 
-def landed_dates(spark: SparkSession, sf_dir: str, name: str) -> int:
-    """Exact number of distinct calendar dates in a landed reading table (measured
-    once; a one-column aggregate), the proven size of any date set drawn from it."""
-    from pyspark.sql import functions as F
 
+def landed(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The landed table ``name`` for ``sf_dir``; landed on first use in this application."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
     with _LOCK:
-        if key not in _DATES:
-            frame = _land(spark, sf_dir, name)[0]
-            _DATES[key] = frame.select(F.expr(_DATE_OF[name]).alias("d")).distinct().count()
-        return _DATES[key]
+        if key not in _LANDED:
+            _LANDED[key] = _land(spark, sf_dir, name)
+        return _LANDED[key]

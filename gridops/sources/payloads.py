@@ -5,9 +5,10 @@ A payload is one API response for one grid point: a regular time axis given as
 right-open, plus one value array per variable. Landing writes them as JSON lines;
 ingestion reads them with an explicit schema, rebuilds the axis with
 ``sequence``, zips the arrays beside it and ``inline``-explodes, all inside the
-executors. A region is accepted only when it delivered exactly one payload per
-expected grid point and every array matches its axis; the rest goes to a
-dead-letter frame.
+executors. A region's run (a local day of an hourly feed, the whole of a daily one) is
+accepted only when every expected grid point delivered exactly one payload, no other point
+did, and every array matches its axis. All else is rejected, silent regions included: a run
+that any region delivered is expected of all.
 """
 
 from __future__ import annotations
@@ -87,56 +88,7 @@ def epoch_from_local(ts: Column, tz: str) -> Column:
     return F.timestamp_diff("SECOND", _epoch(), utc_wall)
 
 
-# --- landing: readings -> payloads (bounded groups: one point-day, or one point) -------
-def _lookup(by_t: Column, field: str):
-    return lambda t: F.try_element_at(by_t, t)[field]
-
-
-def _series(axis_start: Column, slots: Column, step: int, variables) -> Column:
-    """A series struct over ``slots`` slots from ``axis_start``; each array looks its
-    slot's epoch up in the collected (epoch -> values) map, null where none landed."""
-    by_t = F.col("_m")
-    axis = F.sequence(axis_start, axis_start + (slots - 1) * step, F.lit(step).cast("long"))
-    arrays = [F.transform(axis, _lookup(by_t, c)).alias(api) for api, c in variables]
-    return F.struct(
-        axis_start.alias("time"), (axis_start + slots * step).alias("time_end"),
-        F.lit(step).cast("long").alias("interval"), *arrays,
-    )
-
-
-def _with_map(df: DataFrame) -> DataFrame:
-    # build the (epoch -> values) map once per group, not once per lookup
-    return df.withColumn("_m", F.map_from_entries("_l")).drop("_l")
-
-
-def _collect(variables) -> Column:
-    return F.collect_list(F.struct(F.col("_t"), F.struct(*[F.col(c) for _, c in variables]))).alias("_l")
-
-
-def hourly_payloads(readings: DataFrame, tz: str, variables=HOURLY_VARIABLES, keyed_by_id: bool = True) -> DataFrame:
-    """One payload per (point, local day): 24 hourly slots from local midnight.
-    A group holds at most one reading per slot, so it is bounded by 24."""
-    keys = (["region_id"] if keyed_by_id else []) + ["region_name", "point_no", "latitude", "longitude"]
-    df = readings.select(
-        *keys, *[c for _, c in variables],
-        epoch_from_local(F.col("ts"), tz).alias("_t"),
-        epoch_from_local(F.to_date("ts").cast("timestamp_ntz"), tz).alias("_day0"),
-    )
-    g = _with_map(df.groupBy(*keys, "_day0").agg(_collect(variables)))
-    return g.select(*keys, _series(F.col("_day0"), F.lit(24).cast("long"), HOUR, variables).alias("hourly"))
-
-
-def daily_payloads(readings: DataFrame, tz: str) -> DataFrame:
-    """One payload per point: daily slots from its first to its last landed date
-    (bounded by the landed window's length in days)."""
-    keys = ["region_id", "region_name", "point_no", "latitude", "longitude"]
-    df = readings.select(*keys, *[c for _, c in DAILY_VARIABLES],
-                         epoch_from_local(F.col("date").cast("timestamp_ntz"), tz).alias("_t"))
-    g = _with_map(df.groupBy(*keys).agg(F.min("_t").alias("_lo"), F.max("_t").alias("_hi"), _collect(DAILY_VARIABLES)))
-    slots = F.floor((F.col("_hi") - F.col("_lo")) / DAY).cast("long") + 1
-    return g.select(*keys, _series(F.col("_lo"), slots, DAY, DAILY_VARIABLES).alias("daily"))
-
-
+# --- landing -----------------------------------------------------------------------------
 def land(payloads: DataFrame, path: str) -> None:
     payloads.write.mode("overwrite").json(path)
 
@@ -180,31 +132,51 @@ def explode_payloads(payloads: DataFrame, section: str, variables, tz: str, as_d
 def split_complete(
     payloads: DataFrame, section: str, variables, expected: DataFrame, key: str, per_day: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """Accept (key, day) groups with exactly the expected number of point payloads and
-    well-formed arrays; return (accepted payloads, rejects).
+    """(accepted payloads, rejects: one row per key and run).
 
-    ``expected`` holds (key, expected_points); a key it lacks expects none.
+    ``expected`` holds the expected points (key, point_no). Runs are the days that any
+    region delivered; their number is bounded by the refresh window.
     """
     day = F.col(section)["time"] if per_day else F.lit(None).cast("long")
     p = payloads.withColumn("_day", day).withColumn("_ok", arrays_match(section, variables))
-    name_cols = ["region_id", "region_name"] if "region_id" in payloads.columns and key != "region_name" else ["region_name"]
-    group = list(dict.fromkeys([key, *name_cols, "_day"]))
-    stats = p.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("received_points"),
-        F.min(F.col("_ok").cast("int")).alias("_all_ok"),
+    with_id = "region_id" in payloads.columns and key != "region_name"
+    points = p.groupBy(key, "_day", "point_no").agg(
+        F.count(F.lit(1)).alias("_n"), F.min(F.col("_ok").cast("int")).alias("_good"), F.min("region_name").alias("_name")
+    )
+    runs = p.agg(F.collect_set(F.coalesce("_day", F.lit(-1)))).scalar()
+    wanted = expected.select(key, "point_no").distinct().withColumn("_runs", runs)
+    wanted = wanted.select(key, "point_no", F.explode("_runs").alias("_run")).select(key, "point_no", F.nullif("_run", F.lit(-1)).alias("_day"))
+    same = (points[key].eqNullSafe(wanted[key])) & (points["_day"].eqNullSafe(wanted["_day"])) & (points["point_no"].eqNullSafe(wanted["point_no"]))
+    both = points.withColumn("_here", F.lit(1)).join(wanted.withColumn("_want", F.lit(1)), same, "full").select(
+        F.coalesce(points[key], wanted[key]).alias(key), F.coalesce(points["_day"], wanted["_day"]).alias("_day"), "_n", "_good", "_name", "_want"
+    )
+    stats = both.groupBy(key, "_day").agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("received_points"),
+        F.coalesce(F.sum("_want"), F.lit(0)).cast("long").alias("expected_points"),
+        F.coalesce(F.min("_good"), F.lit(1)).alias("_all_ok"),
+        F.max(((F.coalesce("_n", F.lit(0)) != 1) | F.col("_want").isNull()).cast("int")).alias("_odd"),
+        F.min("_name").alias("_seen_name"),
     )
-    stats = stats.join(expected, key, "left").withColumn(
-        "expected_points", F.coalesce("expected_points", F.lit(0)).cast("long")
+    good = (F.col("_odd") == 0) & (F.col("_all_ok") == 1)
+    error = (
+        F.when(
+            F.col("received_points") != F.col("expected_points"),
+            F.format_string("expected %d responses, got %d", F.col("expected_points"), F.col("received_points")),
+        )
+        .when(F.col("_odd") == 1, F.lit("points missing, repeated or unknown"))
+        .otherwise(F.lit("array length does not match the time axis"))
     )
-    good = (F.col("received_points") == F.col("expected_points")) & (F.col("_all_ok") == 1)
-    error = F.when(
-        F.col("received_points") != F.col("expected_points"),
-        F.format_string("expected %d responses, got %d", F.col("expected_points"), F.col("received_points")),
-    ).otherwise(F.lit("array length does not match the time axis"))
-    on = [key, "_day"] if per_day else [key]
-    accepted = p.join(stats.filter(good).select(*on), on, "left_semi").drop("_day", "_ok")
-    rejects = stats.filter(~good).select(*group, "expected_points", "received_points", error.alias("error"))
-    return accepted, rejects
+    accepted = stats.filter(good).select(F.col(key).alias("_key"), F.col("_day").alias("_run"))
+    accepted = p.join(accepted, p[key].eqNullSafe(F.col("_key")) & p["_day"].eqNullSafe(F.col("_run")), "left_semi").drop("_day", "_ok")
+    rejects = stats.filter(~good)
+    if with_id:  # a silent region's name comes from the grid, where it has one
+        names = expected.select(F.col(key).alias("_key"), "region_name").distinct() if "region_name" in expected.columns else None
+        if names is not None:
+            rejects = rejects.join(names, rejects[key] == names["_key"], "left").withColumn("region_name", F.coalesce("_seen_name", "region_name"))
+        else:
+            rejects = rejects.withColumn("region_name", F.col("_seen_name"))
+    columns = list(dict.fromkeys([key, "region_name", "_day"]))
+    return accepted, rejects.select(*columns, "expected_points", "received_points", error.alias("error"))
 
 
 # --- guards and dead letters -----------------------------------------------------------

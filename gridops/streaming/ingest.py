@@ -1,12 +1,11 @@
 """Incremental ingestion of landed payload files with Structured Streaming.
 
-Refreshes overlap (each one re-lands the last days), so the same reading arrives
-more than once. The stream explodes each new payload file inside the executors,
-then drops repeats of a (region, point, timestamp) key with
-``dropDuplicatesWithinWatermark``: state is kept per key only while the event-time
-watermark says a copy can still arrive, so state stays bounded however long the
-stream runs. The first copy wins; a latest-wins table needs a merge per
-micro-batch instead (see ``latest_wins_batch``).
+Refreshes overlap (each one re-lands the last days and replaces forecasts by
+observations), so the same reading arrives more than once and the newest load must win.
+The stream explodes each new payload file inside the executors and appends every reading
+with its load (the file's time and name): no watermark, no state, nothing is dropped as
+late. ``current_readings`` reads the newest copy of each key, by the same pre-aggregated
+maximum as staging; a micro-batch's own repeats are reduced before they are written.
 """
 
 from __future__ import annotations
@@ -19,29 +18,35 @@ from gridops.operators.dedup import latest_reading
 from gridops.sources import payloads as pl
 
 KEY = ["region_id", "point_no", "ts"]
+LOAD = "load_order"
 
 
-def hourly_readings_stream(spark: SparkSession, source_dir: str, tz: str, late: str = "3 days") -> DataFrame:
+def hourly_readings_stream(spark: SparkSession, source_dir: str, tz: str) -> DataFrame:
     raw = spark.readStream.schema(pl.HOURLY_SCHEMA).json(source_dir)
-    rows = pl.explode_payloads(raw, "hourly", pl.HOURLY_VARIABLES, tz)
-    # watermarks run on instants: carry the wall clock as a session-zone timestamp
-    timed = rows.withColumn("_event_time", F.col("ts").cast("timestamp"))
-    return (
-        timed.withWatermark("_event_time", late)
-        .dropDuplicatesWithinWatermark(KEY)
-        .drop("_event_time")
-    )
+    load = F.struct(F.col("_metadata.file_modification_time").alias("time"), F.col("_metadata.file_name").alias("file"))
+    rows = pl.explode_payloads(raw.withColumn(LOAD, load), "hourly", pl.HOURLY_VARIABLES, tz)
+    return rows
+
+
+def latest_wins_batch(batch: DataFrame) -> DataFrame:
+    """A micro-batch reduced to its newest row per key."""
+    return latest_reading(batch, KEY, LOAD)
 
 
 def start_ingest(stream: DataFrame, sink_dir: str, checkpoint_dir: str, once: bool = True) -> StreamingQuery:
-    """Append new readings to a parquet table; the checkpoint (in the shared folder)
-    makes restarts and lost executors replay exactly the unfinished files."""
-    w = stream.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint_dir)
+    """Append new readings to a parquet table, a folder per micro-batch: the checkpoint (in
+    the shared folder) makes a restart replay the unfinished files, and a replayed batch
+    overwrites its own folder."""
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        latest_wins_batch(batch).write.mode("overwrite").parquet(f"{sink_dir}/load={batch_id}")
+
+    w = stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint_dir)
     w = w.trigger(availableNow=True) if once else w.trigger(processingTime="1 minute")
-    return w.start(sink_dir)
+    return w.start()
 
 
-def latest_wins_batch(batch: DataFrame, order_col: str) -> DataFrame:
-    """For ``foreachBatch`` sinks that must keep the newest copy: reduce one
-    micro-batch to its latest row per key before merging it into the table."""
-    return latest_reading(batch, KEY, order_col)
+def current_readings(table: DataFrame) -> DataFrame:
+    """The newest copy of each reading in the ingested table."""
+    newest = latest_reading(table.withColumn(LOAD, F.struct("load", LOAD)), KEY, LOAD)
+    return newest.drop(LOAD, "load")

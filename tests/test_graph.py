@@ -7,7 +7,6 @@ from gridops.sources import landing
 def test_sources_mode_matches_landed_mode(spark):
     landed = ModelGraph(spark, SF_SMALL)
     given = ModelGraph(spark, sources={n: landing.landed(spark, SF_SMALL, n) for n in ModelGraph.RAW})
-    assert given.grid_bound is None
     for name in ("kpi_grid_stability", "kpi_maintenance"):
         a = sorted(tuple(r) for r in getattr(landed, name).collect())
         b = sorted(tuple(r) for r in getattr(given, name).collect())
@@ -20,3 +19,23 @@ def test_materialized_graph_matches_lazy(spark):
     a = sorted(tuple(r) for r in lazy.kpi_generation_potential.collect())
     b = sorted(tuple(r) for r in built.kpi_generation_potential.select(*cols).collect())
     assert a == b
+
+
+def test_building_the_graph_over_given_tables_runs_no_job(spark):
+    given = ModelGraph(spark, sources={n: landing.landed(spark, SF_SMALL, n) for n in ModelGraph.RAW})
+    spark.sparkContext.setJobGroup("graph-build", "building only")
+    for name in ("fact_hourly_weather", "fact_hourly_air_quality", "kpi_maintenance", "maintenance_windows", "dim_date"):
+        getattr(given, name)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("graph-build")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert not jobs
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_latest_readings_are_hash_aggregates(spark):
+    g = ModelGraph(spark, SF_SMALL)
+    for df in (g.stg_hourly, g.stg_daily, g.stg_air_quality):
+        assert "SortAggregate" not in plan_of(df) and "HashAggregate" in plan_of(df)

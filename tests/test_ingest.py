@@ -54,7 +54,7 @@ def test_empty_axis_gives_no_rows_not_an_error(spark):
 
 def test_short_array_rejects_region(spark):
     p = _payload(spark, 0, 3 * 3600, [20.0, 21.0])  # one value short
-    expected = spark.createDataFrame([(1, 1)], "region_id long, expected_points long")
+    expected = spark.createDataFrame([(1, "R", 1)], "region_id long, region_name string, point_no long")
     ok, bad = pl.split_complete(p, "hourly", pl.HOURLY_VARIABLES, expected, "region_id")
     assert ok.count() == 0
     r = bad.first()
@@ -63,7 +63,7 @@ def test_short_array_rejects_region(spark):
 
 def test_missing_point_rejects_region(spark):
     p = _payload(spark, 0, 3 * 3600, [20.0, 21.0, 22.0])
-    expected = spark.createDataFrame([(1, 16)], "region_id long, expected_points long")
+    expected = spark.createDataFrame([(1, "R", k) for k in range(1, 17)], "region_id long, region_name string, point_no long")
     ok, bad = pl.split_complete(p, "hourly", pl.HOURLY_VARIABLES, expected, "region_id")
     assert ok.count() == 0 and bad.first().error == "expected 16 responses, got 1"
 
@@ -95,3 +95,54 @@ def test_append_matches_columns_by_name(spark, tmp_path):
     sinks.append_raw(spark.createDataFrame([("b", 2)], "name string, id long"), path)
     got = sorted(tuple(r) for r in spark.read.parquet(path).select("id", "name").collect())
     assert got == [(1, "a"), (2, "b")]
+
+
+def test_repeated_point_and_silent_region_are_rejected(spark):
+    one = _payload(spark, 0, 3 * 3600, [20.0, 21.0, 22.0])
+    twice = one.union(one)  # point 1 twice, point 2 never; region 2 silent
+    expected = spark.createDataFrame(
+        [(1, "R", 1), (1, "R", 2), (2, "S", 1)], "region_id long, region_name string, point_no long"
+    )
+    ok, bad = pl.split_complete(twice, "hourly", pl.HOURLY_VARIABLES, expected, "region_id")
+    assert ok.count() == 0
+    got = {r.region_name: (r.expected_points, r.received_points, r.error) for r in bad.collect()}
+    assert got == {"R": (2, 2, "points missing, repeated or unknown"), "S": (1, 0, "expected 1 responses, got 0")}
+
+
+def test_half_hours_and_long_days_keep_their_place(spark):
+    from gridops.operators.staging import HOURLY_GROUP
+    from gridops.sources import fixture_payloads as fp
+
+    names = [c for _, c in pl.HOURLY_VARIABLES]
+    schema = "region_id long, region_name string, point_no long, latitude double, longitude double, ts timestamp_ntz, id_hourly long, " + ", ".join(f"{c} double" for c in names)
+
+    def reading(ts, load):
+        return (1, "R", 1, 14.0, -15.0, ts, load, *[float(load)] * len(names))
+
+    df = spark.createDataFrame([reading(datetime(2026, 8, 20, 10), 1), reading(datetime(2026, 8, 20, 10, 30), 2), reading(datetime(2026, 8, 20, 10), 3)], schema)
+    latest = latest_reading(df, HOURLY_GROUP, "id_hourly")
+    assert sorted((r.ts, r.id_hourly) for r in latest.collect()) == [(datetime(2026, 8, 20, 10), 3), (datetime(2026, 8, 20, 10, 30), 2)]
+    back = pl.explode_payloads(fp.hourly_payloads(latest.drop("id_hourly"), "UTC"), "hourly", pl.HOURLY_VARIABLES, "UTC")
+    assert back.count() == 48 and back.filter("temperature_2m IS NOT NULL").count() == 2
+    autumn = spark.createDataFrame([reading(datetime(2026, 10, 25, 12), 1)], schema).drop("id_hourly")  # 25 hours in Paris
+    assert pl.explode_payloads(fp.hourly_payloads(autumn, "Europe/Paris"), "hourly", pl.HOURLY_VARIABLES, "Europe/Paris").count() == 25
+
+
+def test_stream_keeps_every_region_and_the_newest_load(spark, tmp_path):
+    from gridops.streaming import ingest
+
+    src, out, ckpt = (str(tmp_path / x) for x in ("src", "out", "ckpt"))
+
+    def refresh(region, temps, day=0):
+        t0 = day * 86400
+        arrays = {api: [1.0] * 3 for api, _ in pl.HOURLY_VARIABLES}
+        arrays["temperature_2m"] = temps
+        row = (region, f"R{region}", 1, 14.0, -15.0, (t0, t0 + 3 * 3600, 3600, *[arrays[api] for api, _ in pl.HOURLY_VARIABLES]))
+        spark.createDataFrame([row], pl.HOURLY_SCHEMA).coalesce(1).write.mode("append").json(src)
+        ingest.start_ingest(ingest.hourly_readings_stream(spark, src, "UTC"), out, ckpt).awaitTermination()
+
+    refresh(1, [1.0, 2.0, 3.0], day=30)
+    refresh(2, [4.0, 5.0, 6.0])  # a month older than what came before: not late
+    refresh(1, [7.0, 8.0, 9.0], day=30)  # the observation replaces the forecast
+    now = ingest.current_readings(spark.read.parquet(out))
+    assert sorted((r.region_id, r.temperature_2m) for r in now.collect()) == [(1, 7.0), (1, 8.0), (1, 9.0), (2, 4.0), (2, 5.0), (2, 6.0)]

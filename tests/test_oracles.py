@@ -5,8 +5,10 @@ import duckdb
 import pandas as pd
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from conftest import SF_SMALL
+from gridops.plans.oracles import oracle_sql
+from gridops.plans.registry import QUERIES
 
 TABLES = ["supplier", "lineitem", "orders", "events"]
 
@@ -45,12 +47,12 @@ def test_entry_smoke(spark):
 
 @pytest.mark.parametrize("key", sorted(oracle_sql()))
 def test_query_matches_oracle(spark, duck, key):
-    s = queries()[key](spark, SF_SMALL).toPandas()
+    s = QUERIES[key](spark, SF_SMALL).toPandas()
     o = duck.execute(oracle_sql()[key]).df()
     assert sorted(s.columns) == sorted(o.columns)
     assert len(s) == len(o)
     assert _canon(s) == _canon(o)
 
 
-def test_every_query_has_an_oracle_but_describe():
-    assert set(queries()) - set(oracle_sql()) == {"describe_tables"}
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(oracle_sql())
