@@ -9,7 +9,7 @@ under elements whose name or class says that they are not content (menus, header
 notices, adverts, forms, comments, ...) are never content. Among the remaining paths the
 wrapper's main region is the deepest one that still holds most of the varying text.
 
-A page's text is that of its nodes in the main region, without template slots (same text in
+A page's text is that of its nodes in the main region, without template blocks (same text in
 all and at least ``CONSTANT`` sampled pages) and without elements that are no content. A
 page that has no such region, or whose host has no wrapper, is judged by itself in the same
 way, all its text counting as varying.
@@ -240,7 +240,7 @@ def induce(pages: list[str]) -> dict:
     for other in trees[1:]:
         found: list = []
         tree_match(trees[0], other, "", found)
-        for slot in {(path, plain(x)) for path, x, y in found if plain(x) == plain(y)}:
+        for slot in {(path, plain(x)) for path, x, y in found if x.tag in BLOCKS and plain(x) == plain(y)}:  # words inside a block stay
             same[slot] = same.get(slot, 1) + 1
     constant = frozenset(s for s, n in same.items() if n == len(trees) and n >= CONSTANT and s[1])
     masses: dict[str, int] = {}
