@@ -215,7 +215,7 @@ def _predict(model, switch: float):
             mass = np.bincount(row * max(k, 1) + label, weights=letter, minlength=batch.num_rows * max(k, 1)).reshape(batch.num_rows, -1)
             total, top = mass.sum(axis=1), mass.argmax(axis=1)
             turn = np.flatnonzero(np.append(True, (label[1:] != label[:-1]) | (row[1:] != row[:-1]))) if count else np.zeros(0, np.int64)
-            ends = np.append(turn[1:], count)
+            ends = np.append(turn[1:], count)[: len(turn)]
             langs, score, spans = [], [], [[] for _ in range(batch.num_rows)]
             for a, b in zip(turn.tolist(), ends.tolist(), strict=True):
                 if k:
