@@ -17,6 +17,7 @@ from gridops.operators import dims, extensions, facts, grid, kpis, staging
 from gridops.params import DEFAULT, Params
 from gridops.session import scratch_path
 from gridops.sources import landing
+from gridops.sources.schemas import conform
 
 
 def model(fn):
@@ -64,7 +65,7 @@ class ModelGraph:
 
     def _raw(self, name: str) -> DataFrame:
         if name in self.sources:
-            return self.sources[name]
+            return conform(self.sources[name], name)
         return landing.landed(self.spark, self.sf_dir, name)
 
     # --- landed inputs -----------------------------------------------------------------
@@ -81,7 +82,7 @@ class ModelGraph:
         """The raw hourly readings for readers that do not need ``id_hourly``: the same
         rows without the sort that numbers them."""
         if "raw_hourly" in self.sources:
-            return self.sources["raw_hourly"]
+            return self.raw_hourly
         return landing.unnumbered(self.spark, self.sf_dir)
 
     @cached_property

@@ -296,6 +296,41 @@ def _append_ids(g: ModelGraph) -> DataFrame:
     return first.unionByName(later).drop("load_seq")
 
 
+def _ingested(g: ModelGraph) -> tuple[DataFrame, DataFrame]:
+    """Two refreshes of the hourly feed (the first day, then the rest) and one of the air
+    quality feed, taken in one after the other: the hourly raw table and the failure log."""
+    from gridops.plans.ingestion import FAILURES, take_in
+    from gridops.session import scratch_path
+    from gridops.sources import fixture_payloads as fp
+    from gridops.sources import payloads as pl
+    from gridops.sources.fixtures import BASE_DATE
+
+    raw, air, log = (scratch_path(g.spark, n) for n in ("ingested-hourly", "ingested-air", "failures"))
+    tz, now = g.params.timezone, F.lit("2026-08-20 06:00:00").cast("timestamp_ntz")
+    latest = staging.latest_reading(g.raw_hourly, staging.HOURLY_GROUP, "id_hourly").drop("id_hourly")
+    first_day = F.to_date("ts") == F.lit(BASE_DATE).cast("date")
+    grid = g.grid_points.select("region_id", "region_name", "point_no")
+    for n, part in enumerate((latest.filter(first_day), latest.filter(~first_day))):
+        landed = _landed(g, fp.hourly_payloads(part, tz), pl.HOURLY_SCHEMA, f"refresh-{n}")
+        take_in(landed, grid, "hourly", pl.HOURLY_VARIABLES, "region_id", tz, now, raw, log, "id_hourly")
+    trimmed = g.raw_air_quality.withColumn("region_name", F.trim("region_name"))
+    newest = staging.latest_reading(trimmed, staging.AIR_KEY, "load_seq").drop("load_seq")
+    landed = _landed(g, fp.hourly_payloads(newest, tz, pl.AIR_VARIABLES, keyed_by_id=False), pl.AIR_SCHEMA, "refresh-air")
+    take_in(landed, grid, "hourly", pl.AIR_VARIABLES, "region_name", tz, now, air, log, "id_air")
+    return g.spark.read.parquet(raw), g.spark.read.schema(FAILURES).parquet(log)
+
+
+@query("ingest_append")
+def _ingest_append(g: ModelGraph) -> DataFrame:
+    return _ingested(g)[0]
+
+
+@query("dead_letters")
+def _dead_letters(g: ModelGraph) -> DataFrame:
+    # as text: the air quality feed has no region ids
+    return _ingested(g)[1].withColumn("region_id", F.col("region_id").cast("string"))
+
+
 @query("sink_roundtrip")
 def _sink_roundtrip(g: ModelGraph) -> DataFrame:
     """The grid-stability mart written as a date-partitioned table and read back."""

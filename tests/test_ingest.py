@@ -146,3 +146,18 @@ def test_stream_keeps_every_region_and_the_newest_load(spark, tmp_path):
     refresh(1, [7.0, 8.0, 9.0], day=30)  # the observation replaces the forecast
     now = ingest.current_readings(spark.read.parquet(out))
     assert sorted((r.region_id, r.temperature_2m) for r in now.collect()) == [(1, 7.0), (1, 8.0), (1, 9.0), (2, 4.0), (2, 5.0), (2, 6.0)]
+
+
+def test_given_tables_must_have_the_declared_columns(spark):
+    import pytest
+
+    from gridops.sources.schemas import conform
+
+    regions = spark.createDataFrame([(1, "R", 14.0, -15.0, 4)], "region_id int, region_name string, latitude double, longitude double, area_km2 int")
+    assert dict(conform(regions.withColumn("more", F.lit(1)), "regions").dtypes) == {
+        "region_id": "bigint", "region_name": "string", "latitude": "double", "longitude": "double", "area_km2": "double"
+    }
+    with pytest.raises(ValueError, match="lacks the column area_km2"):
+        conform(regions.drop("area_km2"), "regions")
+    with pytest.raises(ValueError, match="declared bigint"):
+        conform(regions.withColumn("region_id", F.lit("1")), "regions")
