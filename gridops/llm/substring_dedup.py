@@ -174,9 +174,10 @@ def dedup_substrings(docs: DataFrame, min_words: int = 50) -> tuple[DataFrame, D
     copies = c.written(
         long_enough.select("doc_id", "th", "sha", "n_words").join(firsts, "sha").filter("doc_id > first").select("doc_id", "th", "n_words").distinct(), "copies"
     )
-    repeated = (
-        known.select("seq", F.explode("h").alias("h")).groupBy("h").agg(F.min("seq").alias("a"), F.max("seq").alias("b")).filter("a <> b").select("h")
-    )
+    # the repeated hashes are written before they are joined: a join of two plain shuffles
+    # can be split where one hash has many rows
+    halves = known.select("seq", F.explode("h").alias("h")).groupBy("h").agg(F.min("seq").alias("a"), F.max("seq").alias("b"))
+    repeated = c.written(halves.filter("a <> b").select("h"), "repeated")
     spots = known.select("doc_id", "th", F.inline(F.arrays_zip("at", "h"))).join(repeated, "h")
     alive = spots.groupBy("doc_id", "th").agg(F.collect_set("at").alias("alive")).join(copies, ["doc_id", "th"], "left_anti")
     level = c.written(
@@ -184,7 +185,8 @@ def dedup_substrings(docs: DataFrame, min_words: int = 50) -> tuple[DataFrame, D
         "level",
     )
     full = level.mapInArrow(_extend(min_words), "doc_id long, th long, h long, at int")
-    shared = full.groupBy("h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("h", "first")
+    fulls = full.groupBy("h").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+    shared = c.written(fulls.filter("first < last").select("h", "first"), "shared")
     cover = full.join(shared, "h").filter("doc_id > first").groupBy("doc_id", "th").agg(F.collect_set("at").alias("cover"))
     cut = c.written(
         level.select("doc_id", "th", "text")
