@@ -6,8 +6,9 @@ one into the other; windows have the item's number of words.
 
 1. Windows. A near window shares at least ``W - 2 - 3 k`` of its three-word grams with the
    item (``k`` edits, ``W`` words; one gram at least; items of one or two words: the item's
-   first word). Grams of all items are marked in a bitmap of fixed size, and only windows
-   with so many marked grams are looked at. This loses nothing.
+   first word). Grams are marked, each with its item's length, in a bitmap of fixed size,
+   and only windows with so many grams marked for their length are looked at. This loses
+   nothing.
 2. Search. A window is embedded by CGK: a walk copies a word and goes on to the next or
    stays, as a random bit of the step and the word says, for ``3 W`` steps, so that near
    sequences come out at a small Hamming distance. ``WALKS`` walks, each sampled
@@ -135,23 +136,34 @@ def _items(batches):
         yield from _embedded(by_size)
 
 
+def _sized_marks(h: np.ndarray, size) -> np.ndarray:
+    """Marks of grams together with the length of the item they are from."""
+    return _marks(c.mix(h + np.uint64(1) * np.asarray(size).astype(np.uint64)))
+
+
 def _item_grams(batches):
+    """Marks of all grams (kind 0), and of grams with their item's length (kind 1)."""
     for batch in batches:
         for _, _, data, offsets in c.chunks(batch.column(0)):
             words = c.Words(data, offsets, lower=True)
             n = np.diff(words.first)
             whole = grams(words)
+            at = np.flatnonzero(whole)
             short = np.flatnonzero((n > 0) & (n < 3))
-            h = np.concatenate([whole[whole != 0], words.hash[words.first[short]]])
-            yield pa.RecordBatch.from_arrays([pa.array(np.unique(_marks(h)))], names=["mark"])
+            h = np.concatenate([whole[at], words.hash[words.first[short]]])
+            size = np.concatenate([n[words.row[at]], n[short]])
+            for kind, marks in enumerate((_marks(h), _sized_marks(h, size))):
+                marks = np.unique(marks)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(marks), kind), pa.int32()), pa.array(marks)], names=["kind", "mark"])
 
 
 def _windows(share: float, marks, sizes):
     """Windows with enough marked grams, for each length of an item, with their keys."""
 
     def run(batches):
-        bitmap = np.zeros(1 << BITMAP_BITS, bool)
-        bitmap[marks.value] = True
+        bitmap, sized = (np.zeros(1 << BITMAP_BITS, bool) for _ in range(2))
+        bitmap[marks.value[0]] = True
+        sized[marks.value[1]] = True
         lengths = np.array(sizes.value, np.int64)
         need, reach = least_grams(lengths, share), np.maximum(lengths - 2, 1)
         for batch in batches:
@@ -165,6 +177,7 @@ def _windows(share: float, marks, sizes):
                 by_size: dict[int, list] = {}
                 for size, least, span in zip(lengths.tolist(), need.tolist(), reach.tolist(), strict=True):
                     at = single if size < 3 else hits
+                    at = at[sized[_sized_marks(words.hash[at] if size < 3 else h[at], size)]]
                     if len(at) < least:
                         continue
                     a, b = at[: len(at) - least + 1], at[least - 1 :]
@@ -211,10 +224,11 @@ def find_items(docs: DataFrame, items: DataFrame, share: float = 0.2) -> DataFra
     known = items.filter("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("long").alias("id"), F.lit(0).cast("long").alias("th"), "text").distinct()
     embedded = c.written(known.mapInArrow(_items, _WINDOWS), "items")
     # not more marks than bits, not more lengths than the longest item's
-    marks = known.select("text").mapInArrow(_item_grams, "mark long").distinct().toPandas()["mark"].to_numpy()
+    marked = known.select("text").mapInArrow(_item_grams, "kind int, mark long").distinct().toPandas()
+    marks = tuple(marked.loc[marked["kind"] == kind, "mark"].to_numpy().astype(np.int32) for kind in (0, 1))
     sizes = [r["size"] for r in embedded.select("size").distinct().orderBy("size").collect()]
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), c.row_hash(F.col("text")).alias("th"), "text").filter("id IS NOT NULL")
-    held = spark.sparkContext.broadcast(marks.astype(np.int32))
+    held = spark.sparkContext.broadcast(marks)
     windows = c.written(rows.mapInArrow(_windows(share, held, spark.sparkContext.broadcast(sizes)), _WINDOWS), "windows")
     side = embedded.select(F.col("id").alias("item_id"), "size", F.explode("keys").alias("key"))
     met = windows.select("id", "th", "start", "size", F.explode("keys").alias("key")).join(side, ["size", "key"])
