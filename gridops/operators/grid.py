@@ -23,18 +23,33 @@ def valid_regions(regions: DataFrame) -> DataFrame:
     )
 
 
-def grid_points(regions: DataFrame, params: Params = DEFAULT) -> DataFrame:
+def _points_of(coefficients: DataFrame):
+    """The lattice of a coefficient table (column coef), from one scalar subquery."""
+    return coefficients.agg(F.sort_array(F.collect_list(F.col("coef").cast("double")))).scalar()
+
+
+_LATTICE = """transform(sequence(0, size(coefs) * size(coefs) - 1), i -> struct(
+    cast(i + 1 as bigint) as point_no, coefs[i div size(coefs)] as dx, coefs[i % size(coefs)] as dy))"""
+
+
+def grid_points(regions: DataFrame, params: Params = DEFAULT, coefficients: DataFrame | None = None) -> DataFrame:
     """region_id, region_name, point_no (1..n^2), grid_lat, grid_lon.
 
-    The n^2 lattice is a literal array exploded on each region row: no join, no
-    shuffle, no window; each region emits its own points where it is read.
+    The n^2 lattice is an array exploded on each region row: no join, no shuffle, no
+    window; each region emits its own points where it is read. It comes from the
+    coefficient seed if one is given, else from the parameters.
     """
     kpd = float(params.km_per_deg_lat)
-    points = F.array(*[
-        F.struct(F.lit(n).cast("long").alias("point_no"), F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
-        for n, dx, dy in lattice(params.grid_coefficients)
-    ])
-    base = valid_regions(regions).select(
+    valid = valid_regions(regions)
+    if coefficients is None:
+        points = F.array(*[
+            F.struct(F.lit(n).cast("long").alias("point_no"), F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
+            for n, dx, dy in lattice(params.grid_coefficients)
+        ])
+    else:
+        valid = valid.withColumn("coefs", _points_of(coefficients))
+        points = F.expr(_LATTICE)
+    base = valid.select(
         "region_id",
         "region_name",
         F.col("latitude").alias("centroid_lat"),

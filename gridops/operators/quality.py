@@ -193,10 +193,3 @@ def _by_table(checks: Sequence[Check]) -> dict[str, list[Check]]:
     for c in checks:
         out.setdefault(c.table, []).append(c)
     return out
-
-
-def failing_rows(df: DataFrame, c: Check) -> DataFrame:
-    """The offending rows of a row-local check (for inspection)."""
-    if c.kind == "accepted":
-        return df.filter(~F.col(c.column).isin(*c.values))
-    return df.filter(_fail_expr(c))

@@ -44,7 +44,8 @@ class ModelGraph:
     ``sf_dir`` names a directory of benchmark tables from which the raw inputs are
     derived and landed once (tests, benchmark). In production pass ``sources``:
     the already-landed ``regions``, ``raw_hourly`` (with ``id_hourly``),
-    ``raw_daily`` and ``raw_air_quality`` tables, e.g. ``spark.read.parquet(...)``.
+    ``raw_daily`` and ``raw_air_quality`` tables, e.g. ``spark.read.parquet(...)``, and
+    if wanted the ``coefficients`` seed of the lattice (``seeds.read_coefficients``).
     """
 
     RAW = ("regions", "raw_hourly", "raw_daily", "raw_air_quality")
@@ -96,7 +97,7 @@ class ModelGraph:
     # --- staging -----------------------------------------------------------------------
     @model
     def grid_points(self) -> DataFrame:
-        return grid.grid_points(self.regions, self.params)
+        return grid.grid_points(self.regions, self.params, self.sources.get("coefficients"))
 
     @model
     def stg_hourly(self) -> DataFrame:

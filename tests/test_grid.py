@@ -30,3 +30,15 @@ def test_lattice_numbering_is_row_number_by_dx_dy():
     lat = lattice((-1.5, -0.5, 0.5, 1.5))
     assert [n for n, _, _ in lat] == list(range(1, 17))
     assert lat[0][1:] == (-1.5, -1.5) and lat[1][1:] == (-1.5, -0.5) and lat[4][1:] == (-0.5, -1.5)
+
+
+def test_lattice_from_the_coefficient_seed(spark, tmp_path):
+    from gridops.operators.grid import grid_points
+    from gridops.sources.seeds import read_coefficients
+
+    path = tmp_path / "coefs.csv"
+    path.write_text("coef\n1.5\n-0.5\n-1.5\n0.5\n")
+    regions = spark.createDataFrame([(1, "R", 14.0, -15.0, 4.0), (2, "S", None, -15.0, 4.0)], "region_id long, region_name string, latitude double, longitude double, area_km2 double")
+    seeded = grid_points(regions, coefficients=read_coefficients(spark, str(path)))
+    assert sorted(map(tuple, seeded.collect())) == sorted(map(tuple, grid_points(regions).collect()))
+    assert seeded.count() == 16
