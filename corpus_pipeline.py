@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gridops.llm import common, decontaminate, jaccard_join, language_id, mixing, sharding
 
-#: A text of which less than this share is in one language is rejected.
-LEAST_SCORE = 0.5
+#: A text of which less than this share is in one language is rejected: mixtures of three or
+#: more languages. Texts in two languages, or with a foreign licence line, stay.
+LEAST_SCORE = 0.4
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID: texts without letters, and those that no language holds half of, go."""
+    """Language ID: texts without letters, and those that no language holds enough of, go."""
     return language_id.keep_identified(docs, language_id.train(docs), LEAST_SCORE)
 
 
