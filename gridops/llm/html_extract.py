@@ -1,7 +1,7 @@
 """Main text of web pages by wrapper induction.
 
-For each host a few pages of different text are picked by a hash (``sample`` at most, a
-bound of the method: a wrapper is a small template). Their DOM trees are aligned two by two
+For each host a few pages of different main text are picked by a hash (``sample`` at most,
+a bound of the method: a wrapper is a small template; copies count once). Their DOM trees are aligned two by two
 by simple tree matching, a dynamic program over the children of equally named nodes. Nodes
 matched in other pages are the wrapper's slots: slots that hold the same text everywhere
 are template, the others vary. Each slot is known by its path of tags and classes. Slots
@@ -10,9 +10,11 @@ notices, adverts, forms, comments, ...) are never content. Among the remaining p
 wrapper's main region is the deepest one that still holds most of the varying text.
 
 A page's text is that of its nodes in the main region, without template blocks (same text in
-all and at least ``CONSTANT`` sampled pages) and without elements that are no content. A
-page that has no such region, or whose host has no wrapper, is judged by itself in the same
-way, all its text counting as varying.
+all and at least ``CONSTANT`` sampled pages) and without elements that are no content. If
+the element with the most constant text has more of it than all that varies, it holds an
+article that all pages carry and is no template. A page of which nothing is left there, or
+whose host has no wrapper, is judged by itself in the same way; text is template only as
+long as a page has other text.
 
 References are decoded; white space inside a block becomes one space, blocks are joined by
 one space. Nothing is dropped for its length. A null or empty page gives an empty text; a
@@ -32,6 +34,8 @@ from gridops.llm import common as c
 
 #: Pages that must agree before a slot inside the main region counts as template.
 CONSTANT = 5
+#: Pages that are looked at for each one sampled, as copies of one main text count once.
+CANDIDATES = 4
 #: Share of a region's text that one child must hold for the region to shrink to it.
 MAIN_SHARE = 0.8
 #: Children of one node that simple tree matching aligns by its dynamic program; longer
@@ -132,13 +136,13 @@ def _pieces(node: Node, skip=frozenset(), path: str = "") -> list[str]:
     """A node's text in page order, block boundaries as white space, without elements that
     are no content and without (path, text) pairs in ``skip``. Not recursive: pages may nest
     without end."""
-    out, todo = [], [(node, path, 0)]
+    out, todo, paths = [], [(node, path, 0)], {p for p, _ in skip}
     while todo:
         now, at, k = todo.pop()
         if isinstance(now, str):
             out.append(now)
             continue
-        if k == 0 and skip and (at, plain(now)) in skip:
+        if k == 0 and at in paths and (at, plain(now)) in skip:
             out.append(" ")
             continue
         block = now.tag in BLOCKS
@@ -220,12 +224,14 @@ _FINE = frozenset("p h1 h2 h3 h4 h5 h6 b i em strong a span ul ol li dl dt dd bl
 def _masses(root: Node, constant: frozenset) -> dict[str, int]:
     """Letters of varying text at or below each path."""
     out: dict[str, int] = {}
-
+    paths = {p for p, _ in constant}
     todo = [(root, "", [""])]
     while todo:
         node, path, above = todo.pop()
+        if path in paths and (path, plain(node)) in constant:
+            continue
         own = sum(len(x.strip()) for x in node.children if isinstance(x, str))
-        if own and (path, plain(node)) not in constant:
+        if own:
             for p in above:
                 out[p] = out.get(p, 0) + own
         for p, x in _below(node, path):
@@ -233,9 +239,58 @@ def _masses(root: Node, constant: frozenset) -> dict[str, int]:
     return out
 
 
-def induce(pages: list[str]) -> dict:
-    """The wrapper of sampled pages: its main path and its constant slots (path, text)."""
-    trees = [parse(x) for x in pages]
+def _own_text(root: Node) -> str:
+    """A page's main text, judged by itself."""
+    path = main_path(_masses(root, frozenset()))
+    return " ".join(plain(x) for _, x in _at(root, path))
+
+
+def _distinct(pages: list[str], sample: int) -> list[Node]:
+    """The first ``sample`` pages of different main text; copies of one text count once."""
+    trees: dict[str, Node] = {}
+    for page in pages:
+        if len(trees) == sample:
+            break
+        root = parse(page)
+        trees.setdefault(_own_text(root), root)
+    return list(trees.values())
+
+
+def _holder(path: str) -> str:
+    """The path of the element that holds the text a path is part of."""
+    keys = path.split("/")
+    while len(keys) > 1 and keys[-1].split(".")[0] in _FINE:
+        keys.pop()
+    return "/".join(keys)
+
+
+def _without_article(trees: list[Node], constant: frozenset) -> frozenset:
+    """``constant`` without the slots that hold an article all pages carry: those at, below
+    and above the element with the most constant text, if that is more than all text that
+    varies."""
+    held: dict[str, int] = {}
+    varying = 0
+    paths = {p for p, _ in constant}
+    for tree in trees:
+        todo = [(tree, "", False)]
+        while todo:
+            node, path, inside = todo.pop()
+            inside = inside or (path in paths and (path, plain(node)) in constant)
+            own = sum(len(x.strip()) for x in node.children if isinstance(x, str))
+            if inside and own:
+                held[_holder(path)] = held.get(_holder(path), 0) + own
+            elif own:
+                varying += own
+            todo.extend((x, p, inside) for p, x in _below(node, path))
+    if not held or max(held.values()) <= varying:
+        return constant
+    at = max(sorted(held), key=lambda p: held[p])
+    return frozenset(s for s in constant if not (s[0] + "/").startswith(at + "/") and not (at + "/").startswith(s[0] + "/"))
+
+
+def induce(pages: list[str], sample: int = 8) -> dict:
+    """The wrapper of a host's pages: its main path and its constant slots (path, text)."""
+    trees = _distinct(pages, sample)
     same: dict[tuple[str, str], int] = {}
     for other in trees[1:]:
         found: list = []
@@ -243,6 +298,7 @@ def induce(pages: list[str]) -> dict:
         for slot in {(path, plain(x)) for path, x, y in found if x.tag in BLOCKS and plain(x) == plain(y)}:  # words inside a block stay
             same[slot] = same.get(slot, 1) + 1
     constant = frozenset(s for s, n in same.items() if n == len(trees) and n >= CONSTANT and s[1])
+    constant = _without_article(trees, constant)
     masses: dict[str, int] = {}
     for tree in trees:
         for p, n in _masses(tree, constant).items():
@@ -263,18 +319,27 @@ def extract(html: str, wrapper: dict | None) -> str:
     root = parse(html)
     constant = wrapper["constant"] if wrapper else frozenset()
     nodes = _at(root, wrapper["main"]) if wrapper else []
-    if not any(plain(x) for _, x in nodes):
-        nodes = _at(root, main_path(_masses(root, frozenset())))
+    text = _text(nodes, constant)
+    if not text:  # nothing is left there: the page is judged by itself
+        text = _text(_at(root, main_path(_masses(root, constant))), constant)
+    return text or _text(_at(root, main_path(_masses(root, frozenset()))), frozenset())
+
+
+def _text(nodes: list[tuple[str, Node]], constant: frozenset) -> str:
     return " ".join(" ".join("".join(_pieces(x, constant, p)) for p, x in nodes).split())
 
 
-def _induce(batches):
+def _induce(sample: int):
     """Wrappers from sampled pages, a host's pages in one row."""
-    for batch in batches:
-        made = [induce(pages) for pages in batch.column(1).to_pylist()]
-        constant = [[{"path": p, "text": t} for p, t in sorted(m["constant"])] for m in made]
-        kind = pa.list_(pa.struct([("path", pa.string()), ("text", pa.string())]))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([m["main"] for m in made], pa.string()), pa.array(constant, kind)], names=["host", "main", "constant"])
+
+    def run(batches):
+        for batch in batches:
+            made = [induce(pages, sample) for pages in batch.column(1).to_pylist()]
+            constant = [[{"path": p, "text": t} for p, t in sorted(m["constant"])] for m in made]
+            kind = pa.list_(pa.struct([("path", pa.string()), ("text", pa.string())]))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([m["main"] for m in made], pa.string()), pa.array(constant, kind)], names=["host", "main", "constant"])
+
+    return run
 
 
 def _extract(batches):
@@ -289,11 +354,11 @@ def _extract(batches):
 def wrappers(pages: DataFrame, sample: int = 8) -> DataFrame:
     """host, main path, constant slots: a row per host."""
     hosts = pages.filter("html IS NOT NULL AND html <> ''").select(_host().alias("host"), "html", F.xxhash64("html").alias("h"))
-    # at most ``sample`` pages of a host leave a task; equal pages count once
+    # some more than ``sample`` pages of a host leave a task, as copies of one text count once
     order = Window.partitionBy("host").orderBy("h")
-    picked = hosts.withColumn("n", F.dense_rank().over(order)).filter(F.col("n") <= sample)
+    picked = hosts.withColumn("n", F.dense_rank().over(order)).filter(F.col("n") <= CANDIDATES * sample)
     picked = picked.groupBy("host", "n").agg(F.first("html").alias("html")).groupBy("host").agg(F.sort_array(F.collect_list("html")).alias("pages"))
-    return picked.mapInArrow(_induce, "host string, main string, constant array<struct<path:string,text:string>>")
+    return picked.mapInArrow(_induce(sample), "host string, main string, constant array<struct<path:string,text:string>>")
 
 
 def _host():

@@ -243,3 +243,20 @@ def test_empty_tables(spark, docs):
     assert sharding.shard(none, 40).count() == 0
     assert mixing.mix_plan(none).count() == 0
     assert pii.find_spans(none).count() == 0
+
+
+def copied(n, extra=""):
+    body = "".join(f"<p>Sentence {k} of an article that many pages carry word for word.</p>" for k in range(4))
+    return f"<html><body><div class='wrap'><div class='text'><h1>One title</h1>{body}</div><div class='strip'>Offer number {n}{extra}</div></div></body></html>"
+
+
+def test_article_that_all_pages_of_a_host_carry_stays():
+    pages = [copied("x" * (k + 1)) for k in range(9)]
+    wrapper = html_extract.induce(pages)
+    for page in pages:
+        assert "Sentence 0 of" in html_extract.extract(page, wrapper) and "Sentence 3 of" in html_extract.extract(page, wrapper)
+    # whatever the wrapper says, a page's text is not template down to nothing
+    page = "<html><body><p>All there is</p></body></html>"
+    assert html_extract.extract(page, {"main": "/html/body", "constant": frozenset({("/html/body/p", "All there is")})}) == "All there is"
+    # copies of one text count once among the sampled pages
+    assert len(html_extract._distinct(["<p>a</p>", "<div><p>a</p></div>", "<p>b</p><nav>x</nav>", "<p>b</p>"], 8)) == 2
