@@ -1,16 +1,17 @@
 """Main text of web pages by wrapper induction.
 
 For each host a few pages of different main text are picked by a hash (``sample`` at most,
-a bound of the method: a wrapper is a small template; copies count once). Their DOM trees are aligned two by two
-by simple tree matching, a dynamic program over the children of equally named nodes. Nodes
-matched in other pages are the wrapper's slots: slots that hold the same text everywhere
-are template, the others vary. Each slot is known by its path of tags and classes. Slots
+a bound of the method: a wrapper is a small template; copies count once). Their DOM trees are aligned
+with the one most like the others by simple tree matching, a dynamic program over the
+children of equally named nodes. Matched nodes are the wrapper's slots: slots that hold the
+same text in most pages, from two up, are template, the others vary; of paragraphs and the
+like that stand among varying ones, all sampled pages but one and at least ``CONSTANT`` must
+agree. Each slot is known by its path of tags and classes. Slots
 under elements whose name or class says that they are not content (menus, headers, footers,
 notices, adverts, forms, comments, ...) are never content. Among the remaining paths the
 wrapper's main region is the deepest one that still holds most of the varying text.
 
-A page's text is that of its nodes in the main region, without template blocks (same text in
-all and at least ``CONSTANT`` sampled pages) and without elements that are no content. If
+A page's text is that of its nodes in the main region, without template blocks and without elements that are no content. If
 the element with the most constant text has more of it than all that varies, it holds an
 article that all pages carry and is no template. A page of which nothing is left there, or
 whose host has no wrapper, is judged by itself in the same way; text is template only as
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from gridops.llm import common as c
 
-#: Pages that must agree before a slot inside the main region counts as template.
+#: Pages that must agree before a paragraph among varying ones counts as template.
 CONSTANT = 5
 #: Pages that are looked at for each one sampled, as copies of one main text count once.
 CANDIDATES = 4
@@ -288,16 +289,45 @@ def _without_article(trees: list[Node], constant: frozenset) -> frozenset:
     return frozenset(s for s in constant if not (s[0] + "/").startswith(at + "/") and not (at + "/").startswith(s[0] + "/"))
 
 
+def _slots(root: Node) -> set[tuple[str, str]]:
+    """(path, text) of a page's blocks."""
+    out, todo = set(), [("", root)]
+    while todo:
+        path, node = todo.pop()
+        if node.tag in BLOCKS and (text := plain(node)):  # words inside a block stay
+            out.add((path, text))
+        if path.count("/") <= ALIGN:
+            todo.extend(_below(node, path))
+    return out
+
+
+def _agreed(trees: list[Node]) -> frozenset:
+    """The slots of equal text in most pages, two at least. A paragraph, heading or item
+    with others at its path may be an article's own: there all pages but one must agree,
+    ``CONSTANT`` at least."""
+    slots = [_slots(tree) for tree in trees]
+    paths = [{p for p, _ in x} for x in slots]
+    alike = [sum(len(a & b) / max(1, len(a | b)) for b in paths) for a in paths]
+    base = alike.index(max(alike)) if trees else 0  # the page most like the others
+    same: dict[tuple[str, str], int] = {}
+    for k, other in enumerate(trees):
+        found: list = []
+        if k != base:
+            tree_match(trees[base], other, "", found)
+            matched = {(path, plain(y)) for path, _, y in found if y.tag in BLOCKS}
+        else:
+            matched = slots[k]
+        for slot in matched:
+            same[slot] = same.get(slot, 0) + 1
+    most = {s for s, n in same.items() if n >= 2 and 2 * n > len(trees) and s[1]}
+    mixed = {s[0] for x in slots for s in x - most if s[0].rpartition("/")[2].split(".")[0] in _FINE}
+    return frozenset(s for s in most if s[0] not in mixed or same[s] >= max(CONSTANT, len(trees) - 1))
+
+
 def induce(pages: list[str], sample: int = 8) -> dict:
     """The wrapper of a host's pages: its main path and its constant slots (path, text)."""
     trees = _distinct(pages, sample)
-    same: dict[tuple[str, str], int] = {}
-    for other in trees[1:]:
-        found: list = []
-        tree_match(trees[0], other, "", found)
-        for slot in {(path, plain(x)) for path, x, y in found if x.tag in BLOCKS and plain(x) == plain(y)}:  # words inside a block stay
-            same[slot] = same.get(slot, 1) + 1
-    constant = frozenset(s for s, n in same.items() if n == len(trees) and n >= CONSTANT and s[1])
+    constant = _agreed(trees)
     constant = _without_article(trees, constant)
     masses: dict[str, int] = {}
     for tree in trees:

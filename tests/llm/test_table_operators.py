@@ -260,3 +260,20 @@ def test_article_that_all_pages_of_a_host_carry_stays():
     assert html_extract.extract(page, {"main": "/html/body", "constant": frozenset({("/html/body/p", "All there is")})}) == "All there is"
     # copies of one text count once among the sampled pages
     assert len(html_extract._distinct(["<p>a</p>", "<div><p>a</p></div>", "<p>b</p><nav>x</nav>", "<p>b</p>"], 8)) == 2
+
+
+def plain_page(n, odd=False):
+    words = " ".join(f"word{n}x{k}" for k in range(40))
+    tail = "Made with care by the web team of this house"
+    return f"<html><body><div class='a1'>{'Odd' if odd else 'Our shop, our town, our news'}</div><div class='a2'><p>Text {words}</p><p>Shared line</p></div><div class='a3'><p>{tail}</p></div></body></html>"
+
+
+@pytest.mark.parametrize("n", [2, 3, 4, 5, 8])
+def test_template_of_few_pages_and_with_an_odd_one(n):
+    pages = [plain_page(k) for k in range(n)]
+    for given in [pages] + [[*pages[:k], plain_page(99, odd=True), *pages[k:]] for k in (0, n)] * (n > 2) + [["<p>one odd page</p>", *pages]] * (n > 2):
+        wrapper = html_extract.induce(given)
+        for page in pages:
+            text = html_extract.extract(page, wrapper)
+            assert "Text word" in text and "web team" not in text and "our town" not in text
+            assert ("Shared line" in text) == (sum("Shared line" in x for x in given) < 5)  # a paragraph among others
