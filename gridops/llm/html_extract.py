@@ -8,13 +8,15 @@ same text in most pages, from two up, are template, the others vary; of paragrap
 like that stand among varying ones, all sampled pages but one and at least ``CONSTANT`` must
 agree. Each slot is known by its path of tags and classes. Slots
 under elements whose name or class says that they are not content (menus, headers, footers,
-notices, adverts, forms, comments, ...) are never content. Among the remaining paths the
-wrapper's main region is the deepest one that still holds most of the varying text.
+notices, adverts, forms, comments, ...) are no content, but a class or id does not hide an
+element that holds most of a page's text. Among the remaining paths the wrapper's main
+region is the ``article`` or ``main`` element with most of the varying text, or else the
+smallest element that holds all of it.
 
 A page's text is that of its nodes in the main region, without template blocks and without elements that are no content. If
 the element with the most constant text has more of it than all that varies, it holds an
-article that all pages carry and is no template. A page of which nothing is left there, or
-whose host has no wrapper, is judged by itself in the same way; text is template only as
+article that all pages carry and is no template. A page that has much text elsewhere, or whose
+host has no wrapper, is judged by itself in the same way; text is template only as
 long as a page has other text.
 
 References are decoded; white space inside a block becomes one space, blocks are joined by
@@ -37,7 +39,8 @@ from gridops.llm import common as c
 CONSTANT = 5
 #: Pages that are looked at for each one sampled, as copies of one main text count once.
 CANDIDATES = 4
-#: Share of a region's text that one child must hold for the region to shrink to it.
+#: Share of the text that an article or main element must hold to be the region, and that
+#: a page must have in its host's region for it to be taken from there.
 MAIN_SHARE = 0.8
 #: Children of one node that simple tree matching aligns by its dynamic program; longer
 #: lists are aligned in order of names, so the work stays in proportion to the page.
@@ -59,6 +62,8 @@ NOT_CONTENT_CLASSES = frozenset(
     " sidebar side aside footer foot header masthead topbar toolbar share sharing social comment comments disqus reply replies"
     " related recommended widget pagination pager search form copyright skip".split()
 )
+#: Elements that their names never make no content.
+WHOLE = frozenset("#root html body main article".split())
 _DIGITS = re.compile(r"[0-9]+")
 
 #: An open element that a new one of these closes.
@@ -69,7 +74,7 @@ _CLOSES = {
 
 
 class Node:
-    __slots__ = ("tag", "key", "children", "content")
+    __slots__ = ("tag", "key", "children", "content", "named")
 
     def __init__(self, tag: str, attrs=()):
         self.tag = tag
@@ -78,7 +83,9 @@ class Node:
         self.key = ".".join([tag, *[_DIGITS.sub("0", name) for name in names]])  # post-17 and post-18 are one slot
         parts = {part for name in names for part in name.replace("_", "-").split("-")}
         hidden = "hidden" in given or (given.get("aria-hidden") or "").lower() == "true"
-        self.content = not (tag in NOT_CONTENT or hidden or parts & NOT_CONTENT_CLASSES)
+        self.content = not (tag in NOT_CONTENT or hidden)
+        #: By name no content, which parse() follows unless most of the page's text is in it.
+        self.named = self.content and tag not in WHOLE and bool(parts & NOT_CONTENT_CLASSES)
         self.children: list = []  # nodes and strings
 
 
@@ -130,9 +137,37 @@ def parse(html: str) -> Node:
     builder = _Builder()
     builder.feed(html)
     builder.close()
+    _leave_out(builder.root)
     return builder.root
 
 
+def _leave_out(root: Node) -> None:
+    """Elements whose names say that they are no content become such, but for those that
+    hold most of the page's text. Where an article or main element has text outside all of
+    them, an element without one (long comments) is left out whatever it holds."""
+    order: list[tuple[Node, int, bool]] = []  # node, place of its parent, inside a named one
+    todo = [(root, -1, False)]
+    while todo:
+        node, parent, inside = todo.pop()
+        at = len(order)
+        order.append((node, parent, inside or node.named))
+        todo.extend((x, at, inside or node.named) for x in node.children if isinstance(x, Node) and x.content)
+    if not any(node.named for node, *_ in order):
+        return
+    size, article, outside = [0] * len(order), [False] * len(order), False
+    for k in range(len(order) - 1, -1, -1):
+        node, parent, inside = order[k]
+        size[k] += sum(len(x.strip()) for x in node.children if isinstance(x, str))
+        article[k] |= node.tag in ("article", "main") and size[k] > 0
+        outside |= article[k] and not inside
+        if parent >= 0:
+            size[parent] += size[k]
+            article[parent] |= article[k]
+    for k, (node, _, _) in enumerate(order):
+        if node.named and (2 * size[k] <= size[0] or outside and not article[k]):
+            node.content = False
+
+
 def _pieces(node: Node, skip=frozenset(), path: str = "") -> list[str]:
     """A node's text in page order, block boundaries as white space, without elements that
     are no content and without (path, text) pairs in ``skip``. Not recursive: pages may nest
@@ -206,14 +241,19 @@ def tree_match(a: Node, b: Node, path: str, found: list[tuple[str, Node, Node]])
 
 
 def main_path(masses: dict[str, int]) -> str:
-    """From the top, the child path that holds most of the text, as long as one does."""
+    """The outermost ``article`` or ``main`` path that holds most of the text; else from the
+    top the child path that holds all of it, as long as one does, so that no text is lost."""
+    tag = lambda path: path.rpartition("/")[2].split(".")[0]
+    whole = [p for p, n in masses.items() if tag(p) in ("article", "main") and n >= MAIN_SHARE * masses[""]]
+    if whole:
+        return min(whole, key=lambda p: (p.count("/"), p))
+    below: dict[str, list[str]] = {}
+    for p in masses:
+        below.setdefault(p.rpartition("/")[0], []).append(p)
     at = ""
     while True:
-        below = {p: n for p, n in masses.items() if p.rpartition("/")[0] == at and p}
-        if not below:
-            return at
-        best = max(sorted(below), key=lambda p: below[p])
-        if below[best] < MAIN_SHARE * masses.get(at, below[best]) or best.rpartition("/")[2].split(".")[0] in _FINE:
+        best = max(sorted(p for p in below.get(at, ()) if p), key=lambda p: masses[p], default="")
+        if not best or masses[best] < masses[at] or tag(best) in _FINE:
             return at
         at = best
 
@@ -350,8 +390,10 @@ def extract(html: str, wrapper: dict | None) -> str:
     constant = wrapper["constant"] if wrapper else frozenset()
     nodes = _at(root, wrapper["main"]) if wrapper else []
     text = _text(nodes, constant)
-    if not text:  # nothing is left there: the page is judged by itself
-        text = _text(_at(root, main_path(_masses(root, constant))), constant)
+    masses = _masses(root, constant)
+    held = masses.get(wrapper["main"], 0) if wrapper else 0
+    if not text or held < MAIN_SHARE * masses.get("", 0):  # another layout: the page is judged by itself
+        text = _text(_at(root, main_path(masses)), constant)
     return text or _text(_at(root, main_path(_masses(root, frozenset()))), frozenset())
 
 

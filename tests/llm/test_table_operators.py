@@ -277,3 +277,19 @@ def test_template_of_few_pages_and_with_an_odd_one(n):
             text = html_extract.extract(page, wrapper)
             assert "Text word" in text and "web team" not in text and "our town" not in text
             assert ("Shared line" in text) == (sum("Shared line" in x for x in given) < 5)  # a paragraph among others
+
+
+def test_no_part_of_an_article_is_cut():
+    body = " ".join(f"word{k}" for k in range(100))
+    whole = f"Title Lead of it {body}"
+    inner = f"<h1>Title</h1><div class=lead>Lead of it</div><div class=body><p>{body}</p></div>"
+    for page in (
+        f"<body><article>{inner}</article></body>", f"<body><div class=w>{inner}</div></body>", f"<body class='no-sidebar'>{inner}</body>",
+        f"<body><nav>x</nav><article id='social-policy'>{inner}</article></body>", f"<body><div class='share-price-report'>{inner}</div><div class=share>Tell others</div></body>",
+        f"<body><main class='widget'>{inner}</main><div class='comments'>{'So good. ' * 200}</div></body>",
+    ):
+        assert html_extract.extract(page, None) == whole
+    # a host's other layout keeps what stands outside the common path
+    wrapper = html_extract.induce([f"<body><div class=a><p>{k} {body}</p></div></body>" for k in range(6)])
+    assert wrapper["main"].endswith("div.a")
+    assert html_extract.extract(f"<body><div class=a><p>Teaser</p></div><div class=b><p>{body}</p></div></body>", wrapper) == f"Teaser {body}"
