@@ -5,11 +5,14 @@ exceeds ``max_repeats`` times its source, and what is cut off goes to the others
 (closed form: targets are ``min(cap, level * weight)``, the level found by a prefix sum
 over sources in order of cap / weight). A source's documents, in a pseudo-random order and
 repeated end to end, are one stream of words cut into blocks of one common length; its
-target is an exact quota of blocks. The tree starts with the multiset of all quotas and
+target is a quota of blocks, the last one a part: of it the documents are taken whose middle
+lies before the target, so a source comes within half a document of its target however many
+sources there are. If the target ends in the first document, that one is taken with the
+chance that keeps the mean. The tree starts with the multiset of all quotas and
 deals each node's blocks to its two halves of the output shards by drawing exactly the
 left half's share without replacement, so the sources' counts in each half follow the
 multivariate hypergeometric law; every shard gets blocks in proportion, at most one apart.
-There are ``shards * blocks_per_shard`` blocks (one more per source from rounding) at any
+There are ``shards * blocks_per_shard`` blocks, and at most one more per source, at any
 input size, so the tree is small. Documents find their place in the stream by two prefix
 sums (buckets of a source, rows of a bucket), so a source that holds most rows is never in
 one task. A shard's order is a pseudo-random key per drawn copy.
@@ -92,8 +95,8 @@ def mix_plan(
     sources = targets(sums.groupBy("key").agg(F.min("source").alias("source"), F.sum("words").alias("source_size")), weights, max_repeats)
     length = F.greatest(F.lit(1.0), F.col("total") / (shards * blocks_per_shard))
     sources = sources.withColumn("length", length)
-    # a source taken to its cap is taken whole, its last block being a part
-    quota = F.when(F.col("target") >= F.col("cap"), F.ceil(F.col("cap") / F.col("length"))).otherwise(F.round(F.col("target") / F.col("length")))
+    # a source's last block is a part: which documents of it are taken, their words say
+    quota = F.ceil(F.col("target") / F.col("length"))
     sources = c.written(sources.withColumn("quota", quota.cast("long")), "mix-sources")
     dealt = splitting_tree(sources.select("key", "quota"), shards, seed).groupBy("key")
     dealt = dealt.agg(F.sort_array(F.collect_list(F.struct("block", "shard"))).alias("dealt"))
@@ -101,16 +104,19 @@ def mix_plan(
     earlier = Window.partitionBy("key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     places = sums.select("key", "bucket", "words", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("offset")).join(sources.drop("source"), "key")
     # the part of the source's block list that a bucket's rows can fall into, for each repeat
-    part = f"""transform(sequence(0, {max_repeats - 1}), e -> struct(
-        cast(floor((e * source_size + offset) / length) as int) as first,
-        slice(dealt, cast(floor((e * source_size + offset) / length) as int) + 1,
-              cast(floor((e * source_size + offset + words) / length) - floor((e * source_size + offset) / length) as int) + 1) as shards))"""
-    places = places.select("key", "bucket", "offset", "source_size", "target", "length", "quota", F.expr(part).alias("parts"))
+    first = "cast(greatest(0, least(quota - 1, floor((e * source_size + offset) / length))) as int)"
+    part = f"""transform(sequence(0, {max_repeats - 1}), e -> struct({first} as first,
+        slice(dealt, {first} + 1, cast(floor((e * source_size + offset + words) / length) as int) - {first} + 1) as shards))"""
+    places = places.select("key", "bucket", "offset", "source_size", "target", "cap", "length", "quota", F.expr(part).alias("parts"))
     inner = Window.partitionBy("key", "bucket").orderBy("at", "size").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("before", F.coalesce(F.sum("size").over(inner), F.lit(0))).join(places, ["key", "bucket"])
-    block = f"""transform(sequence(0, {max_repeats - 1}), e -> struct(e as repeat,
-        cast(floor((e * source_size + offset + before + size / 2) / length) as int) as block))"""
-    draws = f"""transform(filter({block}, x -> x.block < quota), x -> struct(x.repeat as repeat, x.block as block,
+    # a source taken to its cap is taken whole; else the document at the target's end is taken
+    # if its middle is before it, or, if it is the first, with the chance that keeps the mean
+    chance = f"pmod(xxhash64(key, {seed}, 'rest'), 1048576) / 1048576D * size < target"
+    block = f"""transform(sequence(0, {max_repeats - 1}), e -> struct(e as repeat, e * source_size + offset + before as start,
+        cast(least(quota - 1, floor((e * source_size + offset + before + size / 2) / length)) as int) as block))"""
+    taken = f"quota > 0 and case when target >= cap then true when x.start = 0 and size > target then {chance} else x.start + size / 2 < target end"
+    draws = f"""transform(filter({block}, x -> {taken}), x -> struct(x.repeat as repeat, x.block as block,
         try_element_at(parts[x.repeat].shards, x.block - parts[x.repeat].first + 1) as shard, xxhash64(at, x.repeat, {seed}) as place))"""
     return rows.select("row", "size", "source_size", "target", F.expr(draws).alias("draws"))
 

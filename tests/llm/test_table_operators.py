@@ -293,3 +293,21 @@ def test_no_part_of_an_article_is_cut():
     wrapper = html_extract.induce([f"<body><div class=a><p>{k} {body}</p></div></body>" for k in range(6)])
     assert wrapper["main"].endswith("div.a")
     assert html_extract.extract(f"<body><div class=a><p>Teaser</p></div><div class=b><p>{body}</p></div></body>", wrapper) == f"Teaser {body}"
+
+
+def test_many_sources_come_to_their_targets(spark):
+    # far more sources than blocks: no source's quota is rounded away
+    rows = [(s * 100 + i, " ".join(["w"] * 5), "en", f"s{s:03}", 0) for s in range(90) for i in range(24)]
+    taken, target = collections.Counter(), {}
+    for r in mixing.mix_plan(spark.createDataFrame(rows, DOCS), shards=4, blocks_per_shard=4).collect():
+        taken[r.row.source] += r.size * len(r.draws)
+        target[r.row.source] = r.target
+        assert all(0 <= d["shard"] < 4 for d in r.draws)
+    assert len(target) == 90 and all(abs(taken[s] - target[s]) <= 2.5 + 1e-6 for s in target)
+    # sources of one document, larger than the targets of some: right on average
+    rows = [(s, "a b c d e f g h", "en", f"s{s:03}", 0) for s in range(600)]
+    plan = mixing.mix_plan(spark.createDataFrame(rows, DOCS), shards=4, blocks_per_shard=4).collect()
+    least = min(r.target for r in plan)
+    light = [r for r in plan if r.target == least]
+    got = sum(r.size * len(r.draws) for r in light)
+    assert len(light) == 200 and least < 4 and 0.7 < got / (200 * least) < 1.3
