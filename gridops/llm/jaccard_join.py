@@ -23,7 +23,8 @@ components are exact. Equal sets are one class from the start.
 
 Nulls and texts without words have an empty set and link with nothing; a null id takes no
 part (its component is null). Repeated rows and rows of one id with other texts are told
-apart by the text's hash; every input row gives one output row.
+apart by the text's hash, and links and components are between classes, so each text of an
+id has its own component; every input row gives one output row.
 """
 
 from __future__ import annotations
@@ -202,7 +203,7 @@ def _placed(members: DataFrame, carried: DataFrame, on: list[str], columns: list
 
 def region_links(ids: list[int], sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
     """A spanning forest of the links among the members of one region; the smallest
-    id comes first and is the first pivot. Exact: see the module's text."""
+    class key comes first and is the first pivot. Exact: see the module's text."""
     m = len(ids)
     size = np.array([len(s) for s in sets], np.int64)
     flat, owner = np.concatenate(sets), np.repeat(np.arange(m), size)
@@ -256,38 +257,46 @@ def region_links(ids: list[int], sets: list[np.ndarray], percent: int) -> list[t
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """One row per document: doc_id, th (the text's hash), n_shingles, component_id (the
     smallest doc_id that links of ``words``-word shingle sets with Jaccard similarity of
-    ``percent`` / 100 or more reach)."""
+    ``percent`` / 100 or more reach), component_th (the hash of the text that names the
+    component, the smallest of that id there)."""
     spark = docs.sparkSession
     c.small_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), c.row_hash(F.col("text")).alias("th"), "text")
     levels = spark.sparkContext.broadcast(heavy_buckets(rows.select("text"), words))
     parsed = c.written(rows.mapInArrow(_parse(words, percent, levels), _PARSED), "shingled")
     own = parsed.filter("n > 0 AND doc_id IS NOT NULL")
-    classes = own.groupBy("k1", "k2", "n").agg(F.min("doc_id").alias("rep"))
-    classes = c.written(classes, "classes")
-    reps = (
-        own.join(classes.withColumnRenamed("rep", "doc_id"), ["k1", "k2", "n", "doc_id"], "left_semi")
-        .select(F.col("doc_id").alias("rep"), "th", "n", "prefix", "bits")
-    )
+    # a class is known by a hash of its key, as one id may have rows in several classes
+    classes = own.groupBy("k1", "k2", "n").agg(F.min(F.struct("doc_id", "th")).alias("head"))
+    classes = c.written(classes.select("k1", "k2", "n", F.xxhash64("k1", "k2", "n").alias("rep"), "head"), "classes")
+    heads = classes.select("k1", "k2", "n", "rep", F.col("head.doc_id").alias("doc_id"), F.col("head.th").alias("th"))
+    reps = own.join(heads, ["k1", "k2", "n", "doc_id", "th"]).select("rep", "doc_id", "th", "n", "prefix", "bits")
     cell = reps.select("rep", F.explode("prefix").alias("key"))
     pivots = cell.groupBy("key").agg(F.min("rep").alias("p"), F.max("rep").alias("last")).filter("p < last").select("key", "p")
     pairs = c.written(cell.join(pivots, "key").select("p", "rep").distinct(), "regions")
     met = _placed(pairs, reps.select("rep", "n", "bits").distinct(), ["rep"], ["n", "bits"])
     hopeful = c.written(met.mapInArrow(_hopeful(percent), "p long, rep long").distinct(), "hopeful")
-    texts = rows.withColumnRenamed("doc_id", "rep").join(reps.join(hopeful.select("rep").distinct(), "rep").select("rep", "th").distinct(), ["rep", "th"])
+    texts = rows.join(heads.join(hopeful.select("rep").distinct(), "rep").select("rep", "doc_id", "th"), ["doc_id", "th"])
     links = c.written(_placed(hopeful, texts.select("rep", "text"), ["rep"], ["text"]).mapInArrow(_join_regions(words, percent), "a long, b long"), "links")
     found = c.components(links)
-    named = classes.join(found, classes["rep"] == found["node"], "left").select("k1", "k2", "n", F.coalesce("component", "rep").alias("component_id"))
+    found = c.written(found, "components")
+    nodes = found.union(found.select("component", "component").distinct())
+    joined = c.written(classes.join(nodes, classes["rep"] == nodes["node"]).select("rep", "component", "head"), "joined")
+    least = joined.groupBy("component").agg(F.min("head").alias("least"))
+    linked = joined.join(least, "component").select("rep", "least")
+    named = classes.join(linked, "rep", "left").select("k1", "k2", "n", F.coalesce("least", "head").alias("head"))
+    worded = F.col("doc_id").isNotNull() & (F.col("n") > 0)
     return parsed.join(named, ["k1", "k2", "n"], "left").select(
-        "doc_id", "th", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
-    ).withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.col("component_id")))
+        "doc_id", "th", F.col("n").alias("n_shingles"),
+        F.when(worded, F.col("head.doc_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(worded, F.col("head.th")).alias("component_th"),
+    )
 
 
 def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The documents without near copies: of each component the row whose id names it (one
     of equal rows); documents without words, or without an id, stay as they are."""
     found = jaccard_components(docs, words, percent)
-    keep = found.filter("n_shingles > 0 AND doc_id = component_id").select("doc_id", "th").distinct()
+    keep = found.filter("n_shingles > 0 AND doc_id = component_id AND th = component_th").select("doc_id", "th").distinct()
     tagged = docs.withColumn("__th", c.row_hash(F.col("text")))
     worded = tagged.join(keep.select(F.col("doc_id").alias("__id"), F.col("th").alias("__kth")), (F.col("doc_id") == F.col("__id")) & (F.col("__th") == F.col("__kth")))
     one = worded.dropDuplicates(["__id", "__kth"]).select(*docs.columns)

@@ -286,3 +286,23 @@ def test_empty_tables(spark):
     assert decontaminate.drop_contaminated(some, items).count() == 2
     assert language_id.identify(none, language_id.train(none)).count() == 0
     assert token_counts.token_counts(none, ["a"]).count() == 0
+
+
+def test_texts_of_one_id_have_their_own_links(spark, corpus):
+    rng = random.Random(11)
+    texts = [[f"{k}v{rng.randint(0, 999)}" for _ in range(100)] for k in range(3)]
+    near = lambda k, edit: " ".join([*texts[k][:-1], edit])
+    # the smallest id of two groups, and near copies under one id
+    rows = [*corpus, (-4, near(0, "a")), (-4, near(1, "a")), (700, near(0, "b")), (701, near(1, "b")), (702, near(0, "c")), (-5, near(2, "a")), (-5, near(2, "b"))]
+    named = [r for r in dict.fromkeys(rows) if r[0] is not None]
+    found = brute_components([(k, t) for k, (_, t) in enumerate(named)], 5, 80)
+    group = {k: root for k, _, root in found}
+    least = {root: min(named[k][0] for k in group if group[k] == root) for root in group.values()}
+    at = {r: least[group[k]] for k, r in enumerate(named)}
+    want = sorted((i, len(shingles(t, 5)), at.get((i, t))) for i, t in rows if i is not None)
+    df = frame(spark, rows)
+    got = jaccard_join.jaccard_components(df, 5, 80).filter("doc_id IS NOT NULL").select("doc_id", "n_shingles", "component_id")
+    assert sorted(tuple(r) for r in got.collect()) == want
+    kept = jaccard_join.drop_near_copies(df, 5, 80).collect()
+    assert [r.doc_id for r in kept if r.doc_id in (-4, -5, 700, 701, 702)].count(-4) == 2
+    assert sum(r.doc_id == -5 for r in kept) == 1 and not {700, 701, 702} & {r.doc_id for r in kept}
