@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridops.llm import decontaminate, html_extract, jaccard_join, language_id, mixing, pii, sharding, substring_dedup, token_counts, topk_search
+from gridops.llm import decontaminate, html_extract, jaccard_join, language_id, mixing, pii, prefix_trie, sharding, source_divergence, substring_dedup, token_counts, topk_search, url_filter
 
 
 #: The public vocabulary that op8 counts with; read on the driver.
@@ -69,6 +69,24 @@ def op10_impact_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(_table(spark, sf_dir, "embeddings"), every=50, k=5, scale=256)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(_table(spark, sf_dir, "conversations"), group=5, longest=9)
+
+
+#: The URL list: (host, path, verdict).
+URL_LIST = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+def op12_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = spark.createDataFrame(URL_LIST, url_filter.LIST)
+    found = url_filter.judge(_table(spark, sf_dir, "pages"), listed, keep=["page_id"])
+    return found.select("row.page_id", "host", "path", "rule", "verdict", "how")
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence.divergences(_table(spark, sf_dir, "documents"), min_docs=3, top_terms=200)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -82,5 +100,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_counts,
         op9_mixing,
         op10_impact_index,
+        op11_prefix_trie,
+        op12_url_rules,
+        op13_source_divergence,
     )
 }
