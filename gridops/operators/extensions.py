@@ -7,22 +7,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridops.functions.columns import round_half_away
+from gridops.operators import runs
 from gridops.operators.grid import valid_regions
-from gridops.operators.islands import with_islands
 from gridops.params import DEFAULT, Params
 
 
 def maintenance_windows(kpi_maint: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    """Contiguous runs of ideal hours per (region, date). A false or unknown hour
-    breaks a window. ``meets_min_length`` flags windows long enough to schedule."""
-    ideal = kpi_maint.filter(F.col("is_ideal_hour"))
-    runs = with_islands(ideal, ["region_id", "date_id"], "hour", "window_grp", "window_length_hours")
-    return runs.groupBy("region_id", "region_name", "date", "date_id", "window_grp").agg(
-        F.min("hour").alias("window_start_hour"),
-        F.max("hour").alias("window_end_hour"),
-        F.count(F.lit(1)).alias("window_length_hours"),
-    ).select(
-        "region_id", "region_name", "date", "date_id", "window_start_hour", "window_end_hour",
+    """Contiguous runs of ideal hours per (region, date), read off the day's hours as bits. A
+    false or unknown hour breaks a window. ``meets_min_length`` flags windows long enough to schedule."""
+    day = ["region_id", "region_name", "date", "date_id"]
+    days = kpi_maint.filter(F.col("is_ideal_hour")).groupBy(*day).agg(runs.packed("hour").alias("_ideal"))
+    windows = days.select(*day, "_ideal", F.explode(runs.starts("_ideal")).alias("window_start_hour"))
+    windows = windows.withColumn("window_length_hours", runs.upward("_ideal", "window_start_hour"))
+    return windows.select(
+        *day, "window_start_hour",
+        (F.col("window_start_hour") + F.col("window_length_hours") - 1).alias("window_end_hour"),
         "window_length_hours",
         (F.col("window_length_hours") >= params.maintenance_min_window_hours).alias("meets_min_length"),
     )

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridops.functions.columns import clamp, round_half_away
+from gridops.operators import runs
 from gridops.operators.islands import with_islands
 from gridops.params import DEFAULT, Params
 
@@ -54,28 +55,50 @@ def kpi_generation_potential(fact_hw: DataFrame, params: Params = DEFAULT) -> Da
     )
 
 
+def _drop(radiation: Column, params: Params) -> Column:
+    cs = params.clear_sky_peak_radiation_w_m2
+    return clamp((F.lit(cs) - radiation) / F.lit(cs) * F.lit(100))
+
+
+def _risk(radiation: Column, params: Params) -> Column:
+    return F.when(_drop(radiation, params) > F.lit(float(params.grid_risk_threshold_pct)), 1).otherwise(0)
+
+
+def _with_risk(hours: DataFrame, params: Params) -> DataFrame:
+    g = F.col("shortwave_radiation_w_m2")
+    return hours.withColumns({
+        "clear_sky_reference_w_m2": F.lit(params.clear_sky_peak_radiation_w_m2).cast("int"),
+        "pct_drop_from_clear_sky": _drop(g, params),
+        "grid_stability_risk": _risk(g, params),
+    })
+
+
 def _peak_hours(fact_hw: DataFrame, dim_hour: DataFrame, params: Params) -> DataFrame:
     # filter hour_id on the fact itself (it equals the hour by construction), so the
     # predicate sits below every join and exchange
     f = fact_hw.filter(F.col("hour_id").between(params.peak_hour_start, params.peak_hour_end))
     f = f.join(F.broadcast(dim_hour.select("hour_id", "hour")), "hour_id")
-    cs = params.clear_sky_peak_radiation_w_m2
-    drop = clamp((F.lit(cs) - F.col("shortwave_radiation_w_m2")) / F.lit(cs) * F.lit(100))
-    return f.select(
-        "grid_point_id", "region_id", "region_name", "date", "date_id", "hour_id", "hour",
-        "shortwave_radiation_w_m2",
-        F.lit(cs).cast("int").alias("clear_sky_reference_w_m2"),
-        drop.alias("pct_drop_from_clear_sky"),
-    ).withColumn(
-        "grid_stability_risk",
-        F.when(F.col("pct_drop_from_clear_sky") > F.lit(float(params.grid_risk_threshold_pct)), 1).otherwise(0),
-    )
+    return _with_risk(f.select("grid_point_id", "region_id", "region_name", "date", "date_id", "hour_id", "hour", "shortwave_radiation_w_m2"), params)
 
 
 def risk_islands(fact_hw: DataFrame, dim_hour: DataFrame, params: Params = DEFAULT) -> DataFrame:
-    """Peak-window rows with their run id and run length, per (point, date, risk)."""
-    flagged = _peak_hours(fact_hw, dim_hour, params)
-    return with_islands(flagged, ["grid_point_id", "date_id", "grid_stability_risk"], "hour", "risk_grp", "consecutive_hours")
+    """Peak-window rows with their run id and run length, per (point, date, risk).
+
+    A point-day is one group of a hash aggregate: its peak hours' radiation in a column each
+    and the hours seen as bits. Its rows, risky hours and runs are read off that, and nothing
+    is sorted. One reading per point and hour (of copies the one of the highest radiation)."""
+    day = ["grid_point_id", "region_id", "region_name", "date", "date_id"]
+    hours = range(params.peak_hour_start, params.peak_hour_end + 1)
+    peak = fact_hw.filter(F.col("hour_id").between(hours.start, hours.stop - 1))
+    at = {h: F.max(F.when(F.col("hour_id") == h, F.col("shortwave_radiation_w_m2"))) for h in hours}
+    days = peak.groupBy(*day).agg(runs.packed("hour_id").alias("_seen"), *[x.alias(f"_g{h}") for h, x in at.items()])
+    risky = sum((F.when(_risk(F.col(f"_g{h}"), params) == 1, F.lit(1 << h)).otherwise(F.lit(0)) for h in hours), F.lit(0).cast("long"))
+    slots = F.array(*[F.struct(F.lit(h).cast("long").alias("hour_id"), F.col(f"_g{h}").alias("shortwave_radiation_w_m2")) for h in hours])
+    rows = days.withColumn("_risky", risky).select(*day, "_seen", "_risky", F.inline(slots)).filter("getbit(_seen, cast(hour_id as int)) = 1")
+    rows = _with_risk(rows.join(F.broadcast(dim_hour.select("hour_id", "hour")), "hour_id"), params)
+    rows = rows.withColumn("_run", F.expr("if(grid_stability_risk = 1, _risky, _seen & ~_risky)"))
+    island, run = F.col("hour") - runs.rank("_run", "hour"), runs.length("_run", "hour")
+    return rows.withColumns({"risk_grp": island.cast("long"), "consecutive_hours": run}).drop("_seen", "_risky", "_run")
 
 
 def _stability_output(df: DataFrame, activation) -> DataFrame:
@@ -92,23 +115,23 @@ def _stability_output(df: DataFrame, activation) -> DataFrame:
 def kpi_grid_stability(fact_hw: DataFrame, dim_hour: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """Risk = drop from clear sky above the threshold; activation = the hour lies in
     a risky run of at least ``grid_risk_persistence_hours`` consecutive peak hours.
-    One pass: two windows over one exchange, no self-join."""
-    isl = risk_islands(fact_hw, dim_hour, params)
+    One pass: one hash aggregate, no sort and no self-join."""
+    found = risk_islands(fact_hw, dim_hour, params)
     act = F.when(
         (F.col("grid_stability_risk") == 1) & (F.col("consecutive_hours") >= params.grid_risk_persistence_hours), 1
     ).otherwise(0)
-    return _stability_output(isl, act)
+    return _stability_output(found, act)
 
 
 def risk_hours_exists(fact_hw: DataFrame, dim_hour: DataFrame, params: Params = DEFAULT) -> DataFrame:
     """The activation flag in its existence form: flag = 1 iff the (point, date, hour)
     appears among risky hours of a long-enough run (left join on the key set)."""
     flagged = _peak_hours(fact_hw, dim_hour, params)
-    runs = with_islands(
+    islands = with_islands(
         flagged.filter(F.col("grid_stability_risk") == 1), ["grid_point_id", "date_id"], "hour", "risk_grp", "consecutive_hours"
     )
     hits = (
-        runs.filter(F.col("consecutive_hours") >= params.grid_risk_persistence_hours)
+        islands.filter(F.col("consecutive_hours") >= params.grid_risk_persistence_hours)
         .select("grid_point_id", "date_id", "hour_id", F.lit(1).alias("hit"))
     )
     out = flagged.join(hits, ["grid_point_id", "date_id", "hour_id"], "left")

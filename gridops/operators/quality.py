@@ -80,7 +80,8 @@ def relationship(table: str, col: str, to_table: str, to_column: str) -> Check:
     return Check("relationship", table, (col,), to_table=to_table, to_column=to_column)
 
 
-def _fail_expr(c: Check) -> Column:
+def fails(c: Check) -> Column:
+    """Whether a row fails a not_null, range or value_set check (null: it does not)."""
     x = F.col(c.column)
     if c.kind == "not_null":
         return x.isNull()
@@ -114,15 +115,16 @@ def _row_local(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
             x = F.col(c.column)
             aggs.append(F.countDistinct(F.when(~x.isin(*c.values), x)).alias(f"_c{i}"))
         else:
-            aggs.append(F.sum(F.when(_fail_expr(c), 1).otherwise(0)).alias(f"_c{i}"))
+            aggs.append(F.sum(F.when(fails(c), 1).otherwise(0)).alias(f"_c{i}"))
     one = df.agg(*aggs)
     rows = F.array(*[_summary(c, F.col(f"_c{i}")) for i, c in enumerate(checks)])
     return one.select(F.explode(rows).alias("r")).select("r.*")
 
 
-def _key_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """All unique / unique_combo checks of one table in ONE grouping-sets aggregate:
-    one shuffle per table, not one per check. ``grouping_id`` tells the sets apart."""
+def key_groups(df: DataFrame, checks: Sequence[Check]) -> tuple[DataFrame, list[Column]]:
+    """The groups of all unique / unique_combo checks of one table from ONE grouping-sets
+    aggregate (one shuffle per table, not one per check), with ``_n`` rows each, and for each
+    check whether a group is one of its failures. ``grouping_id`` tells the sets apart."""
     cols = sorted({c for ch in checks for c in ch.columns})
     sets = list(dict.fromkeys(tuple(ch.columns) for ch in checks))
 
@@ -132,13 +134,17 @@ def _key_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     groups = df.groupingSets([list(s) for s in sets], *cols).agg(
         F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid")
     )
-    flags = []
-    for i, ch in enumerate(checks):
+    hits = []
+    for ch in checks:
         hit = (F.col("_gid") == gid(ch.columns)) & (F.col("_n") > 1)
-        if ch.kind == "unique":
-            hit = hit & F.col(ch.column).isNotNull()
-        flags.append(F.sum(F.when(hit, 1).otherwise(0)).alias(f"_c{i}"))
-    one = groups.agg(*flags)
+        hits.append(hit & F.col(ch.column).isNotNull() if ch.kind == "unique" else hit)
+    return groups, hits
+
+
+def _key_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """The summaries of all unique / unique_combo checks of one table."""
+    groups, hits = key_groups(df, checks)
+    one = groups.agg(*[F.sum(F.when(hit, 1).otherwise(0)).alias(f"_c{i}") for i, hit in enumerate(hits)])
     rows = F.array(*[_summary(c, F.col(f"_c{i}")) for i, c in enumerate(checks)])
     return one.select(F.explode(rows).alias("r")).select("r.*")
 
@@ -177,9 +183,9 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check], fold: b
     local = [c for c in checks if c.kind in ROW_LOCAL]
     keyed = [c for c in checks if c.kind in ("unique", "unique_combo")]
     if fold:
-        for t, cs in _by_table(local).items():
+        for t, cs in by_table(local).items():
             parts.append(_row_local(tables[t], cs))
-        for t, cs in _by_table(keyed).items():
+        for t, cs in by_table(keyed).items():
             parts.append(_key_checks(tables[t], cs))
     else:
         parts += [_row_local(tables[c.table], [c]) for c in local]
@@ -188,7 +194,7 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check], fold: b
     return union_all(parts)
 
 
-def _by_table(checks: Sequence[Check]) -> dict[str, list[Check]]:
+def by_table(checks: Sequence[Check]) -> dict[str, list[Check]]:
     out: dict[str, list[Check]] = {}
     for c in checks:
         out.setdefault(c.table, []).append(c)

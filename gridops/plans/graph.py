@@ -16,19 +16,30 @@ from pyspark.sql import DataFrame, SparkSession
 from gridops.operators import dims, extensions, facts, grid, kpis, staging
 from gridops.params import DEFAULT, Params
 from gridops.session import scratch_path
-from gridops.sources import landing
+from gridops.sources import landing, sinks
 from gridops.sources.schemas import conform
 
 
-def model(fn):
+#: What the weather and air facts are joined on, and bucketed by where they are built.
+JOIN_KEY = ("region_id", "point_no", "date", "hour_id")
+MODELS: list[str] = []
+
+
+def model(fn=None, *, bucket_by: tuple[str, ...] = ()):
     """A model of the graph: lazy by default; with ``materialize=True`` it is written
     once as parquet under the checkpoint root and read back (like a table
-    materialisation), so later models and checks scan it instead of recomputing."""
+    materialisation), so later models and checks scan it instead of recomputing.
+    With ``bucket_by`` it is then a table bucketed by these columns."""
+    if fn is None:
+        return lambda f: model(f, bucket_by=bucket_by)
+    MODELS.append(fn.__name__)
 
     def build(self):
         df = fn(self)
         if self.materialize:
             path = scratch_path(self.spark, f"model-{fn.__name__}")
+            if bucket_by and self.buckets:
+                return sinks.write_bucketed(df, path.rsplit("/", 1)[1].replace("-", "_"), path, bucket_by, self.buckets)
             df.write.mode("overwrite").parquet(path)
             df = self.spark.read.parquet(path)
         return df
@@ -46,6 +57,9 @@ class ModelGraph:
     the already-landed ``regions``, ``raw_hourly`` (with ``id_hourly``),
     ``raw_daily`` and ``raw_air_quality`` tables, e.g. ``spark.read.parquet(...)``, and
     if wanted the ``coefficients`` seed of the lattice (``seeds.read_coefficients``).
+
+    ``materialize`` writes every model once. With ``buckets`` the two hourly facts become
+    tables of so many buckets of their join key, which join without an exchange.
     """
 
     RAW = ("regions", "raw_hourly", "raw_daily", "raw_air_quality")
@@ -57,11 +71,12 @@ class ModelGraph:
         params: Params = DEFAULT,
         materialize: bool = False,
         sources: dict[str, DataFrame] | None = None,
+        buckets: int = 0,
     ):
         if sf_dir is None and not sources:
             raise ValueError("give sf_dir or sources")
         self.spark, self.sf_dir, self.params = spark, sf_dir, params
-        self.materialize = materialize
+        self.materialize, self.buckets = materialize, buckets
         self.sources = dict(sources or {})
 
     def _raw(self, name: str) -> DataFrame:
@@ -127,7 +142,7 @@ class ModelGraph:
         return dims.dim_hour(self.spark)
 
     # --- facts -------------------------------------------------------------------------
-    @model
+    @model(bucket_by=JOIN_KEY)
     def fact_hourly_weather(self) -> DataFrame:
         return facts.fact_hourly_weather(self.stg_hourly, self.dim_grid_point)
 
@@ -135,7 +150,7 @@ class ModelGraph:
     def fact_daily_weather(self) -> DataFrame:
         return facts.fact_daily_weather(self.stg_daily, self.dim_grid_point)
 
-    @model
+    @model(bucket_by=JOIN_KEY)
     def fact_hourly_air_quality(self) -> DataFrame:
         return facts.fact_hourly_air_quality(self.stg_air_quality, self.dim_grid_point, self.dim_date)
 
@@ -167,3 +182,12 @@ class ModelGraph:
     @model
     def solar_coverage(self) -> DataFrame:
         return extensions.solar_coverage(self.fact_hourly_weather, self.params)
+
+    # --- SQL access --------------------------------------------------------------------
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Every raw table and model as a temporary view named ``prefix`` + its name, so that
+        analyses can be written as SQL. A lazy model's view is its query."""
+        names = [*self.RAW, *MODELS]
+        for name in names:
+            getattr(self, name).createOrReplaceTempView(prefix + name)
+        return [prefix + n for n in names]

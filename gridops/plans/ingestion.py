@@ -1,46 +1,69 @@
-"""Ingestion end to end: landed payloads -> accepted or rejected runs -> ids -> raw table,
-rejects -> failure log. One call takes in one refresh of one feed."""
+"""Ingestion end to end: landed payloads -> accepted or rejected runs -> ids -> raw tables,
+rejects -> failure log, committed together as one load.
+
+A load that fails anywhere leaves nothing that is read (``sources.loads``); taken in again it
+gives the same rows and ids once, and a load that was committed is left alone.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from gridops.operators.ids import append_ids
 from gridops.sources import payloads as pl
-from gridops.sources import sinks
+from gridops.sources.loads import Loads
+from gridops.sources.schemas import LANDED, LANDED_IDS
 
-FAILURES = "id_failure long, region_id long, region_name string, error string, run_ts timestamp_ntz"
+#: Raw table of each feed.
+TABLES = {"hourly": "raw_hourly", "daily": "raw_daily", "air_quality": "raw_air"}
 
 
-def _existing(spark: SparkSession, path: str, schema) -> DataFrame | None:
-    """The table so far, if a refresh has been taken in before."""
-    jvm = spark.sparkContext._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    there = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
-    return spark.read.schema(schema).parquet(path) if there else None
+def raw_tables(spark: SparkSession, root: str) -> Loads:
+    """The raw tables and logs under ``root``, created if absent."""
+    return Loads(spark, root, LANDED, LANDED_IDS)
 
 
 def take_in(
-    payloads: DataFrame,
+    loads: Loads,
+    load: int,
+    feeds: Sequence[pl.Feed],
     grid: DataFrame,
-    section: str,
-    variables,
-    key: str,
     tz: str,
     run_ts: Column,
-    raw_path: str,
-    log_path: str,
-    id_col: str,
-    as_date: bool = False,
-) -> None:
-    """Append a refresh: accepted readings get ids that continue after the raw table's, in
-    order of region, point and time; rejected runs get ids that continue after the log's."""
-    spark = payloads.sparkSession
+    key: str = "region_id",
+    whole_regions: bool = False,
+    broken: DataFrame | None = None,
+) -> bool:
+    """One refresh of one or more feeds; False if it was taken in before.
+
+    With ``whole_regions`` a region is accepted or rejected once, over all feeds, with one
+    failure row; else every run of every feed by itself. Accepted readings get ids that
+    continue after the raw table's, in order of region, point and time; failures get ids
+    that continue after the log's. ``broken`` (``payloads.read_checked``) is kept beside.
+    """
+    if loads.committed(load):
+        return False
     pl.require_grid(grid)
-    accepted, rejects = pl.split_complete(payloads, section, variables, grid, key, per_day=not as_date)
-    rows = pl.explode_payloads(accepted, section, variables, tz, as_date=as_date)
-    before = _existing(spark, raw_path, f"{id_col} long")
-    numbered = append_ids(rows, [key, "point_no", "date" if as_date else "ts"], id_col, existing=before)
-    sinks.append_raw(numbered.select(id_col, *rows.columns), raw_path)
-    failed = pl.dead_letters(rejects, run_ts, existing=_existing(spark, log_path, FAILURES))
-    sinks.append_raw(failed, log_path)
+    accepted, rejects = _judged(feeds, grid, key, whole_regions)
+    for feed in feeds:
+        rows = pl.explode_payloads(accepted[feed.name], feed.section, feed.variables, tz, as_date=feed.as_date)
+        table = TABLES[feed.name]
+        order = [key, "point_no", "date" if feed.as_date else "ts"]
+        loads.put(load, table, append_ids(rows, order, LANDED_IDS[table], existing=loads.ids_of(table)))
+    loads.put(load, "extraction_failures", pl.dead_letters(rejects, run_ts, existing=loads.ids_of("extraction_failures")))
+    if broken is not None:
+        loads.put(load, "broken_payloads", broken.withColumn("run_ts", run_ts))
+    loads.commit(load)
+    return True
+
+
+def _judged(feeds: Sequence[pl.Feed], grid: DataFrame, key: str, whole_regions: bool) -> tuple[Mapping[str, DataFrame], DataFrame]:
+    if whole_regions:
+        return pl.split_regions(feeds, grid, key)
+    accepted, rejects = {}, None
+    for feed in feeds:
+        accepted[feed.name], bad = pl.split_complete(feed.payloads, feed.section, feed.variables, grid, key, per_day=not feed.as_date)
+        rejects = bad if rejects is None else rejects.unionByName(bad)
+    return accepted, rejects

@@ -156,6 +156,24 @@ def _profile_tables(g: ModelGraph) -> DataFrame:
     )
 
 
+@query("profile_merged")
+def _profile_merged(g: ModelGraph) -> DataFrame:
+    """The same profile from the mergeable states of three loads."""
+    from gridops.operators.profile_state import Profiles
+    from gridops.session import scratch_path
+
+    kept = Profiles(g.spark, scratch_path(g.spark, "profiles"))
+    tables = {
+        "raw_hourly": (g.raw_hourly, "id_hourly", "temperature_2m", "temperature_2m"),
+        "raw_daily": (g.raw_daily, "id_daily", "temp_min_2m", "temp_max_2m"),
+        "raw_air_quality": (g.raw_air_quality, "load_seq", "dust", "dust"),
+    }
+    for load in range(3):
+        for name, (df, order, lo, hi) in tables.items():
+            kept.add(load, name, df.filter(F.pmod(F.col(order), F.lit(3)) == load), lo, hi)
+    return kept.profile()
+
+
 @query("duplicate_keys")
 def _duplicate_keys(g: ModelGraph) -> DataFrame:
     stg_all = staging.stg_air_quality(g.raw_air_quality, g.grid_points, g.params, dedupe=False)
@@ -202,6 +220,36 @@ for _kind in ("not_null", "unique", "range", "value_set", "accepted", "relations
     query(f"dq_{_kind}", materialize=True)(_dq(_kind))
 
 
+@query("dq_failures", materialize=True)
+def _dq_failures(g: ModelGraph) -> DataFrame:
+    """The rows, values and keys behind every summary of the suite."""
+    from gridops.operators.failures import failing_rows
+    from gridops.plans import suite
+
+    return failing_rows(suite.tables(g, suite.tables_used(suite.CHECKS)), suite.CHECKS, suite.KEYS)
+
+
+def _quarantined(g: ModelGraph) -> tuple[DataFrame, DataFrame]:
+    from gridops.operators.failures import quarantine
+    from gridops.operators.quality import ROW_LOCAL
+    from gridops.plans import suite
+
+    return quarantine(g.stg_hourly, [c for c in suite.CHECKS if c.table == "stg_hourly" and c.kind in ROW_LOCAL])
+
+
+@query("dq_clean_hourly")
+def _dq_clean_hourly(g: ModelGraph) -> DataFrame:
+    """Staged hourly readings that pass every row-level check."""
+    return _quarantined(g)[0].drop("date", "hour_id")
+
+
+@query("dq_quarantine_hourly")
+def _dq_quarantine_hourly(g: ModelGraph) -> DataFrame:
+    """The other ones, with the checks they fail."""
+    bad = _quarantined(g)[1]
+    return bad.select("id_hourly", "ts", "region_id", "point_no", F.array_join("failed", ",").alias("failed"))
+
+
 # --- ingestion of landed payloads ------------------------------------------------------
 def _landed(g: ModelGraph, payloads: DataFrame, schema, name: str) -> DataFrame:
     from gridops.session import scratch_path
@@ -296,39 +344,108 @@ def _append_ids(g: ModelGraph) -> DataFrame:
     return first.unionByName(later).drop("load_seq")
 
 
-def _ingested(g: ModelGraph) -> tuple[DataFrame, DataFrame]:
-    """Two refreshes of the hourly feed (the first day, then the rest) and one of the air
-    quality feed, taken in one after the other: the hourly raw table and the failure log."""
-    from gridops.plans.ingestion import FAILURES, take_in
-    from gridops.session import scratch_path
+def _grid(g: ModelGraph) -> DataFrame:
+    return g.grid_points.select("region_id", "region_name", "point_no")
+
+
+def _newest(g: ModelGraph) -> dict[str, DataFrame]:
+    """The newest copy of each reading, by feed."""
+    trimmed = g.raw_air_quality.withColumn("region_name", F.trim("region_name"))
+    return {
+        "hourly": staging.latest_reading(g.raw_hourly, staging.HOURLY_GROUP, "id_hourly").drop("id_hourly"),
+        "daily": staging.latest_reading(g.raw_daily, staging.DAILY_KEY, "id_daily").drop("id_daily"),
+        "air_quality": staging.latest_reading(trimmed, staging.AIR_KEY, "load_seq").drop("load_seq"),
+    }
+
+
+def _feed(g: ModelGraph, name: str, readings: DataFrame):
+    """Readings landed as payload files and read again, as a feed of a refresh."""
     from gridops.sources import fixture_payloads as fp
     from gridops.sources import payloads as pl
+
+    tz = g.params.timezone
+    if name == "daily":
+        landed = _landed(g, fp.daily_payloads(readings, tz), pl.DAILY_SCHEMA, "refresh-daily")
+        return pl.Feed(name, landed, "daily", pl.DAILY_VARIABLES, as_date=True)
+    if name == "air_quality":
+        landed = _landed(g, fp.hourly_payloads(readings, tz, pl.AIR_VARIABLES, keyed_by_id=False), pl.AIR_SCHEMA, "refresh-air")
+        return pl.Feed(name, landed, "hourly", pl.AIR_VARIABLES)
+    landed = _landed(g, fp.hourly_payloads(readings, tz), pl.HOURLY_SCHEMA, "refresh-hourly")
+    return pl.Feed(name, landed, "hourly", pl.HOURLY_VARIABLES)
+
+
+def _run_ts():
+    return F.lit("2026-08-20 06:00:00").cast("timestamp_ntz")
+
+
+def _ingested(g: ModelGraph):
+    """Two refreshes of the hourly feed (the first day, then the rest) and one of the air
+    quality feed, taken in one after the other: the raw tables and the failure log."""
+    from gridops.plans.ingestion import raw_tables, take_in
+    from gridops.session import scratch_path
     from gridops.sources.fixtures import BASE_DATE
 
-    raw, air, log = (scratch_path(g.spark, n) for n in ("ingested-hourly", "ingested-air", "failures"))
-    tz, now = g.params.timezone, F.lit("2026-08-20 06:00:00").cast("timestamp_ntz")
-    latest = staging.latest_reading(g.raw_hourly, staging.HOURLY_GROUP, "id_hourly").drop("id_hourly")
-    first_day = F.to_date("ts") == F.lit(BASE_DATE).cast("date")
-    grid = g.grid_points.select("region_id", "region_name", "point_no")
-    for n, part in enumerate((latest.filter(first_day), latest.filter(~first_day))):
-        landed = _landed(g, fp.hourly_payloads(part, tz), pl.HOURLY_SCHEMA, f"refresh-{n}")
-        take_in(landed, grid, "hourly", pl.HOURLY_VARIABLES, "region_id", tz, now, raw, log, "id_hourly")
-    trimmed = g.raw_air_quality.withColumn("region_name", F.trim("region_name"))
-    newest = staging.latest_reading(trimmed, staging.AIR_KEY, "load_seq").drop("load_seq")
-    landed = _landed(g, fp.hourly_payloads(newest, tz, pl.AIR_VARIABLES, keyed_by_id=False), pl.AIR_SCHEMA, "refresh-air")
-    take_in(landed, grid, "hourly", pl.AIR_VARIABLES, "region_name", tz, now, air, log, "id_air")
-    return g.spark.read.parquet(raw), g.spark.read.schema(FAILURES).parquet(log)
+    loads, newest = raw_tables(g.spark, scratch_path(g.spark, "ingested")), _newest(g)
+    # a reading without a time belongs to the later refresh, not to neither
+    first_day = F.coalesce(F.to_date("ts") == F.lit(BASE_DATE).cast("date"), F.lit(False))
+    for load, part in enumerate((first_day, ~first_day), 1):
+        take_in(loads, load, [_feed(g, "hourly", newest["hourly"].filter(part))], _grid(g), g.params.timezone, _run_ts())
+    take_in(loads, 3, [_feed(g, "air_quality", newest["air_quality"])], _grid(g), g.params.timezone, _run_ts(), key="region_name")
+    return loads
 
 
 @query("ingest_append")
 def _ingest_append(g: ModelGraph) -> DataFrame:
-    return _ingested(g)[0]
+    return _ingested(g).table("raw_hourly").drop("load")
 
 
 @query("dead_letters")
 def _dead_letters(g: ModelGraph) -> DataFrame:
     # as text: the air quality feed has no region ids
-    return _ingested(g)[1].withColumn("region_id", F.col("region_id").cast("string"))
+    return _ingested(g).table("extraction_failures").drop("load").withColumn("region_id", F.col("region_id").cast("string"))
+
+
+@query("ingest_region_atomic")
+def _ingest_region_atomic(g: ModelGraph) -> DataFrame:
+    """One refresh of the hourly and the daily feed, each region accepted or rejected with
+    all it sent: the rows of both raw tables and of the failure log. The refresh is taken in
+    twice; the second time changes nothing."""
+    from gridops.plans.ingestion import raw_tables, take_in
+    from gridops.session import scratch_path
+
+    loads, newest = raw_tables(g.spark, scratch_path(g.spark, "ingested-regions")), _newest(g)
+    feeds = [_feed(g, n, newest[n]) for n in ("hourly", "daily")]
+    for _ in range(2):
+        take_in(loads, 1, feeds, _grid(g), g.params.timezone, _run_ts(), whole_regions=True)
+    no = F.lit(None)
+    hourly = loads.table("raw_hourly").select(F.lit("hourly").alias("source"), F.col("id_hourly").alias("id"), "region_id", "region_name", "point_no", F.col("ts").alias("at"), F.col("temperature_2m").alias("value"), no.cast("string").alias("error"))
+    daily = loads.table("raw_daily").select(F.lit("daily"), "id_daily", "region_id", "region_name", "point_no", F.col("date").cast("timestamp_ntz"), "temp_max_2m", no.cast("string"))
+    failed = loads.table("extraction_failures").select(F.lit("failure"), "id_failure", "region_id", "region_name", F.lit(0).cast("long"), "run_ts", no.cast("double"), "error")
+    return hourly.union(daily).union(failed)
+
+
+@query("broken_payloads")
+def _broken_payloads(g: ModelGraph) -> DataFrame:
+    """The hourly payloads with the line of one point of every region cut short: the broken
+    lines kept, and the region's run rejected for want of that point."""
+    from gridops.plans.ingestion import raw_tables, take_in
+    from gridops.session import scratch_path
+    from gridops.sources import fixture_payloads as fp
+    from gridops.sources import payloads as pl
+
+    payloads = fp.hourly_payloads(_newest(g)["hourly"], g.params.timezone)
+    line = F.to_json(F.struct("*"))
+    cut = F.when(F.col("point_no") == F.col("region_id") % 16 + 1, F.substring(line, F.lit(1), (F.length(line) / 2).cast("int"))).otherwise(line)
+    path = scratch_path(g.spark, "refresh-broken")
+    payloads.select(cut.alias("value")).write.text(path)
+    good, broken = pl.read_checked(g.spark, path, pl.HOURLY_SCHEMA)
+    loads = raw_tables(g.spark, scratch_path(g.spark, "ingested-broken"))
+    feed = pl.Feed("hourly", good, "hourly", pl.HOURLY_VARIABLES)
+    take_in(loads, 1, [feed], _grid(g), g.params.timezone, _run_ts(), broken=broken)
+    kept = loads.table("broken_payloads").groupBy("region_id", "error").agg(F.count(F.lit(1)).alias("n"))
+    failed = loads.table("extraction_failures").groupBy("region_id", "error").agg(F.count(F.lit(1)).alias("n"))
+    accepted = loads.table("raw_hourly").groupBy("region_id", F.lit("accepted").alias("error")).agg(F.count(F.lit(1)).alias("n"))
+    return kept.union(failed).union(accepted)
 
 
 @query("sink_roundtrip")
@@ -361,6 +478,67 @@ def _stream_hourly(g: ModelGraph) -> DataFrame:
     return ingest.current_readings(g.spark.read.parquet(out))
 
 
+# --- marts kept load by load, bucketed facts, clustered files, SQL over the models ------
+def _incremental(g: ModelGraph, marts: tuple[str, ...]):
+    """The raw tables in three overlapping loads, taken in one after the other."""
+    from gridops.plans.incremental import STATE, Marts
+    from gridops.session import scratch_path
+
+    built = Marts(g.spark, scratch_path(g.spark, "incremental"), g.regions, g.params, marts)
+    for part in range(3):
+        built.apply({n: getattr(g, n).filter(F.pmod(F.col(order), F.lit(3)) == part) for n, (_, order, _) in STATE.items()})
+    return built
+
+
+@query("incremental_marts")
+def _incremental_marts(g: ModelGraph) -> DataFrame:
+    """The daily fact and the maintenance indicator after three loads; the same rows as of
+    one full build."""
+    built = _incremental(g, ("fact_daily_weather", "kpi_maintenance"))
+    hours = built.mart("kpi_maintenance").select(
+        F.lit("kpi_maintenance").alias("mart"), F.col("region_id").cast("string").alias("place"), "date_id", "hour_id",
+        F.col("avg_wind_speed_80m_kmh").alias("a"), F.col("total_precipitation_mm").alias("b"), F.col("is_ideal_hour").alias("flag"),
+    )
+    days = built.mart("fact_daily_weather").select(
+        F.lit("fact_daily_weather"), "grid_point_id", "date_id", F.lit(-1).cast("long"), "temp_max_2m", "rain_sum_mm", F.lit(None).cast("boolean")
+    )
+    return hours.union(days)
+
+
+@query("kpi_maintenance_built")
+def _kpi_maintenance_built(g: ModelGraph) -> DataFrame:
+    """The maintenance indicator from built facts, bucketed by their join key."""
+    buckets = int(g.spark.conf.get("spark.sql.shuffle.partitions"))
+    built = ModelGraph(g.spark, g.sf_dir, params=g.params, materialize=True, buckets=buckets)
+    return kpis.kpi_maintenance(built.fact_hourly_weather, built.fact_hourly_air_quality, built.dim_hour, g.params).drop("date")
+
+
+@query("drilldown_mart")
+def _drilldown_mart(g: ModelGraph) -> DataFrame:
+    """One point of the generation mart, read from clustered files."""
+    from gridops.session import scratch_path
+    from gridops.sources import sinks
+
+    path = scratch_path(g.spark, "mart-generation")
+    sinks.write_mart(g.kpi_generation_potential, path)
+    k = sinks.read_mart(g.spark, path).filter(F.col("grid_point_id") == surrogate_key(F.lit(1), F.lit(1)))
+    return k.select("grid_point_id", "region_id", "date_id", "hour_id", "solar_score", "wind_score", "kpi_potential_score").orderBy("date_id", "hour_id")
+
+
+def _analysis(name: str):
+    def run(g: ModelGraph) -> DataFrame:
+        from gridops.plans import analyses
+
+        # staging without duplicates has none to show
+        return analyses.run(_copies(g) if name == "sql_duplicates" else g, name, prefix="gridops_")
+
+    return run
+
+
+for _name in ("sql_coverage", "sql_missing_regions", "sql_point_generation", "sql_point_stability", "sql_duplicates", "sql_fanout"):
+    query(_name)(_analysis(_name))
+
+
 # --- the models without de-duplication: copies multiply, as in the raw tables ----------
 def _copies(g: ModelGraph) -> ModelGraph:
     from dataclasses import replace

@@ -132,6 +132,25 @@ TABLES = {
 }
 
 
+#: What tells the rows of a table apart, in reports of failing rows.
+_POINT_HOUR = ("grid_point_id", "date_id", "hour_id")
+KEYS = {
+    "regions": ("region_id",),
+    "raw_hourly": ("id_hourly",),
+    "raw_air_quality": ("load_seq",),
+    "grid_points": ("region_id", "point_no"),
+    "stg_hourly": ("id_hourly",),
+    "stg_daily": ("id_daily",),
+    GP: ("grid_point_id",), DD: ("date_id",), DH: ("hour_id",),
+    FHW: _POINT_HOUR, FDW: ("grid_point_id", "date_id"), FAQ: _POINT_HOUR,
+    "kpi_generation_potential": _POINT_HOUR,
+    "kpi_grid_stability": _POINT_HOUR,
+    "kpi_dust_risk": _POINT_HOUR,
+    "kpi_maintenance": ("region_id", "date_id", "hour_id"),
+    "maintenance_windows": ("region_id", "date_id", "window_start_hour"),
+}
+
+
 def tables_used(checks) -> set[str]:
     return {c.table for c in checks} | {c.to_table for c in checks if c.to_table}
 

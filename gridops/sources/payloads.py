@@ -14,11 +14,14 @@ that any region delivered is expected of all.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridops.session import scratch_path
+
 # fixed values: payload variable name -> landed column name
 HOURLY_VARIABLES = (
     ("temperature_2m", "temperature_2m"),
@@ -97,6 +100,23 @@ def read_landed(spark, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).json(path)
 
 
+#: Column that keeps the text of a line that is no payload.
+BROKEN = "_broken"
+
+
+def read_checked(spark, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """(payloads, broken lines: region_id if the text still tells it, payload, error). A line
+    is broken if it is no JSON object or does not fit the schema; none is lost. Lines are
+    parsed whole, whatever columns are read later, so both sides agree on them."""
+    whole = T.StructType([*schema.fields, T.StructField(BROKEN, T.StringType())])
+    lines = spark.read.text(path).filter(F.trim("value") != "")
+    lines = lines.select("value", F.from_json("value", whole, {"columnNameOfCorruptRecord": BROKEN}).alias("p"))
+    bad = F.coalesce(F.col(f"p.{BROKEN}").isNotNull(), F.lit(True))
+    region = F.regexp_extract("value", r'"region_id"\s*:\s*([0-9]{1,18})[,}\s]', 1)
+    broken = lines.filter(bad).select(region.try_cast("long").alias("region_id"), F.col("value").alias("payload"), F.lit("malformed payload").alias("error"))
+    return lines.filter(~bad).select("p.*").drop(BROKEN), broken
+
+
 # --- ingestion: payloads -> readings ---------------------------------------------------
 def _axis(s: Column) -> Column:
     """Left-closed, right-open axis; an empty or inverted range gives an empty axis
@@ -129,17 +149,17 @@ def explode_payloads(payloads: DataFrame, section: str, variables, tz: str, as_d
     return rows.select(tcol, *keys, *[col for _, col in variables])
 
 
-def split_complete(
+def run_stats(
     payloads: DataFrame, section: str, variables, expected: DataFrame, key: str, per_day: bool = True
 ) -> tuple[DataFrame, DataFrame]:
-    """(accepted payloads, rejects: one row per key and run).
+    """(the payloads with their run ``_day``, a row per key and run: points expected and
+    received, and ``error``, null where the run is complete).
 
     ``expected`` holds the expected points (key, point_no). Runs are the days that any
     region delivered; their number is bounded by the refresh window.
     """
     day = F.col(section)["time"] if per_day else F.lit(None).cast("long")
     p = payloads.withColumn("_day", day).withColumn("_ok", arrays_match(section, variables))
-    with_id = "region_id" in payloads.columns and key != "region_name"
     points = p.groupBy(key, "_day", "point_no").agg(
         F.count(F.lit(1)).alias("_n"), F.min(F.col("_ok").cast("int")).alias("_good"), F.min("region_name").alias("_name")
     )
@@ -157,26 +177,74 @@ def split_complete(
         F.max(((F.coalesce("_n", F.lit(0)) != 1) | F.col("_want").isNull()).cast("int")).alias("_odd"),
         F.min("_name").alias("_seen_name"),
     )
-    good = (F.col("_odd") == 0) & (F.col("_all_ok") == 1)
     error = (
         F.when(
             F.col("received_points") != F.col("expected_points"),
             F.format_string("expected %d responses, got %d", F.col("expected_points"), F.col("received_points")),
         )
         .when(F.col("_odd") == 1, F.lit("points missing, repeated or unknown"))
-        .otherwise(F.lit("array length does not match the time axis"))
+        .when(F.col("_all_ok") == 0, F.lit("array length does not match the time axis"))
     )
-    accepted = stats.filter(good).select(F.col(key).alias("_key"), F.col("_day").alias("_run"))
-    accepted = p.join(accepted, p[key].eqNullSafe(F.col("_key")) & p["_day"].eqNullSafe(F.col("_run")), "left_semi").drop("_day", "_ok")
-    rejects = stats.filter(~good)
-    if with_id:  # a silent region's name comes from the grid, where it has one
-        names = expected.select(F.col(key).alias("_key"), "region_name").distinct() if "region_name" in expected.columns else None
-        if names is not None:
-            rejects = rejects.join(names, rejects[key] == names["_key"], "left").withColumn("region_name", F.coalesce("_seen_name", "region_name"))
-        else:
-            rejects = rejects.withColumn("region_name", F.col("_seen_name"))
+    return p.drop("_ok"), stats.withColumn("error", error).drop("_all_ok", "_odd")
+
+
+def _named(rejects: DataFrame, expected: DataFrame, key: str) -> DataFrame:
+    """``region_name`` of rejects by id; a silent region's comes from the grid, if it has one."""
+    if "region_name" not in expected.columns:
+        return rejects.withColumn("region_name", F.col("_seen_name"))
+    names = expected.select(F.col(key).alias("_key"), "region_name").distinct()
+    return rejects.join(names, rejects[key] == names["_key"], "left").withColumn("region_name", F.coalesce("_seen_name", "region_name"))
+
+
+def split_complete(
+    payloads: DataFrame, section: str, variables, expected: DataFrame, key: str, per_day: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """(accepted payloads, rejects: one row per key and run), each run judged by itself."""
+    p, stats = run_stats(payloads, section, variables, expected, key, per_day)
+    accepted = stats.filter("error is null").select(F.col(key).alias("_key"), F.col("_day").alias("_run"))
+    accepted = p.join(accepted, p[key].eqNullSafe(F.col("_key")) & p["_day"].eqNullSafe(F.col("_run")), "left_semi").drop("_day")
+    rejects = stats.filter("error is not null")
+    if "region_id" in payloads.columns and key != "region_name":
+        rejects = _named(rejects, expected, key)
     columns = list(dict.fromkeys([key, "region_name", "_day"]))
-    return accepted, rejects.select(*columns, "expected_points", "received_points", error.alias("error"))
+    return accepted, rejects.select(*columns, "expected_points", "received_points", "error")
+
+
+@dataclass(frozen=True)
+class Feed:
+    """A feed of a refresh: its payloads, and how they are taken apart."""
+
+    name: str
+    payloads: DataFrame
+    section: str
+    variables: tuple
+    as_date: bool = False
+
+
+def split_regions(feeds: Sequence[Feed], expected: DataFrame, key: str = "region_id") -> tuple[dict[str, DataFrame], DataFrame]:
+    """(accepted payloads by feed, rejects: one row per region) of one refresh: a region is
+    accepted only if all its runs of all feeds are complete, and rejected with all it sent
+    otherwise. The error is that of the first feed in order, and its first run. The verdict
+    is a table of one row per region; every feed is split by it."""
+    judged, parts = [], {}
+    for i, feed in enumerate(feeds):
+        parts[feed.name], stats = run_stats(feed.payloads, feed.section, feed.variables, expected, key, per_day=not feed.as_date)
+        at = F.when(F.col("error").isNotNull(), F.struct(F.lit(i).alias("feed"), "_day", "expected_points", "received_points", F.concat(F.lit(f"{feed.name}: "), "error").alias("error")))
+        judged.append(stats.select(key, "_seen_name", at.alias("failed")))
+    verdicts = judged[0]
+    for more in judged[1:]:
+        verdicts = verdicts.unionByName(more)
+    verdicts = verdicts.groupBy(key).agg(F.min("failed").alias("failed"), F.min("_seen_name").alias("_seen_name"))
+    # decided once, and read by every feed and by the log
+    path = scratch_path(verdicts.sparkSession, "verdicts")
+    verdicts.write.parquet(path)
+    verdicts = verdicts.sparkSession.read.schema(verdicts.schema).parquet(path)
+    good = verdicts.filter("failed is null").select(F.col(key).alias("_key"))
+    accepted = {n: p.join(good, p[key].eqNullSafe(F.col("_key")), "left_semi").drop("_day") for n, p in parts.items()}
+    rejects = verdicts.filter("failed is not null").select(key, "_seen_name", "failed.*")
+    rejects = rejects if key == "region_name" else _named(rejects, expected, key)
+    columns = list(dict.fromkeys([key, "region_name"]))
+    return accepted, rejects.select(*columns, "_day", "expected_points", "received_points", "error")
 
 
 # --- guards and dead letters -----------------------------------------------------------

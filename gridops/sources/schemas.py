@@ -25,6 +25,22 @@ RAW_SCHEMAS = {
     "raw_air_quality": _schema(("ts", T.TimestampNTZType()), *_PLACE, ("load_seq", T.LongType()), variables=AIR_VARIABLES),
 }
 
+#: The tables that ingestion appends to, created if absent (``sources.loads``), and the
+#: running id of each.
+LANDED = {
+    "raw_hourly": RAW_SCHEMAS["raw_hourly"],
+    "raw_daily": RAW_SCHEMAS["raw_daily"],
+    "raw_air": _schema(("id_air", T.LongType()), ("ts", T.TimestampNTZType()), *_PLACE, variables=AIR_VARIABLES),
+    "extraction_failures": _schema(
+        ("id_failure", T.LongType()), ("region_id", T.LongType()), ("region_name", T.StringType()),
+        ("error", T.StringType()), ("run_ts", T.TimestampNTZType()),
+    ),
+    "broken_payloads": _schema(
+        ("region_id", T.LongType()), ("payload", T.StringType()), ("error", T.StringType()), ("run_ts", T.TimestampNTZType()),
+    ),
+}
+LANDED_IDS = {"raw_hourly": "id_hourly", "raw_daily": "id_daily", "raw_air": "id_air", "extraction_failures": "id_failure"}
+
 
 def conform(df: DataFrame, name: str) -> DataFrame:
     """``df`` with the declared columns and types of raw table ``name``; other columns are

@@ -1,17 +1,60 @@
-"""Sinks: marts are rebuilt whole (overwrite), partitioned by date; raw tables append."""
+"""Sinks: marts are rebuilt whole (overwrite) or date by date, partitioned by date; facts can
+be bucketed for joins; raw tables append."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterable, Sequence
+from datetime import date
+
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 
+from gridops.session import scratch_path
 
-def write_mart(df: DataFrame, path: str, partition_by: str = "date", cluster_by: str = "grid_point_id", files: int = 8) -> None:
-    """Full rebuild, a folder for each date, so that date filters prune whole folders. Rows
-    are first dealt by date and one of ``files`` buckets of ``cluster_by``: a date has at
-    most that many files, whatever the number of tasks, and a large date is not one task."""
+
+def exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def _dealt(df: DataFrame, partition_by: str, cluster_by: str, files: int) -> DataFrameWriter:
+    """Rows dealt by date and one of ``files`` buckets of ``cluster_by``, so a date has at most
+    that many files, whatever the number of tasks, and a large date is not one task; sorted
+    by ``cluster_by`` in a file and with a bloom filter on it, so that a reader of one value
+    opens few pages of few files."""
     bucket = F.pmod(F.xxhash64(cluster_by), F.lit(files))
-    df.repartition(partition_by, bucket).write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    dealt = df.repartition(partition_by, bucket).sortWithinPartitions(partition_by, cluster_by)
+    return dealt.write.option(f"parquet.bloom.filter.enabled#{cluster_by}", "true").mode("overwrite").partitionBy(partition_by)
+
+
+def write_mart(df: DataFrame, path: str, partition_by: str = "date", cluster_by: str = "grid_point_id", files: int = 8) -> None:
+    """Full rebuild, a folder for each date, so that date filters prune whole folders."""
+    _dealt(df, partition_by, cluster_by, files).parquet(path)
+
+
+def replace_dates(
+    spark: SparkSession, df: DataFrame, path: str, column: str, days: Iterable[date | None], cluster_by: str | None = None, files: int = 8
+) -> None:
+    """Replaces the folders of ``days`` by the rows of ``df``, which has rows of these dates
+    only, and leaves all others alone. A date left without rows gets an empty file."""
+    cluster_by = cluster_by or next(x for x in ("grid_point_id", "region_id", "region_name") if x in df.columns)
+    staged = scratch_path(spark, "replaced")
+    _dealt(df, column, cluster_by, files).parquet(staged)
+    rows = spark.read.schema(df.schema).parquet(staged)
+    here = {r[0] for r in rows.select(column).distinct().collect()}
+    _dealt(rows, column, cluster_by, files).option("partitionOverwriteMode", "dynamic").parquet(path)
+    for day in set(days) - here:
+        folder = f"{path}/{column}={'__HIVE_DEFAULT_PARTITION__' if day is None else day}"
+        rows.drop(column).limit(0).write.mode("overwrite").parquet(folder)
+
+
+def write_bucketed(df: DataFrame, name: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """The table ``name`` at ``path``, bucketed and sorted by ``keys``, one file a bucket: two
+    tables bucketed alike join on the keys without an exchange."""
+    dealt = df.repartition(buckets, *keys)
+    dealt.write.mode("overwrite").format("parquet").bucketBy(buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name)
+    return df.sparkSession.table(name)
 
 
 def append_raw(df: DataFrame, path: str) -> None:
