@@ -1,30 +1,34 @@
-"""Benchmark items in documents: windows within an edit distance of an item.
-
-Texts are words, lower-cased A-Z. Item and window are near if at most
-``share * words of the item`` (rounded down) word insertions, deletions or replacements turn
-one into the other; windows have the item's number of words.
-
-1. Windows. A near window shares at least ``W - 2 - 3 k`` of its three-word grams with the
-   item (``k`` edits, ``W`` words; one gram at least; items of one or two words: the item's
-   first word). Grams are marked, each with its item's length, in a bitmap of fixed size,
-   and only windows with so many grams marked for their length are looked at. This loses
-   nothing.
+"""Benchmark items in documents: passages within an edit distance of an item.
+
+Texts are words, lower-cased A-Z. An item is in a text if at most ``k = share * W`` (rounded
+down; ``W`` words of the item) word insertions, deletions or replacements turn it into some
+passage of the text, of any length.
+
+1. Windows. Such a passage has at most ``W + k`` words and shares at least
+   ``W - q + 1 - q k`` of its q-word grams with the item: ``q`` is 3, or 1 where that bound
+   would be below one (short items). Grams are marked, each with its item's length, in
+   bitmaps of fixed size. Where so many marked grams for a length lie within ``W + k`` words,
+   the windows of ``W`` words that start there are looked at (at a text's end they are filled
+   up). This step loses nothing.
 2. Search. A window is embedded by CGK: a walk copies a word and goes on to the next or
    stays, as a random bit of the step and the word says, for ``3 W`` steps, so that near
    sequences come out at a small Hamming distance. ``WALKS`` walks, each sampled
    ``SAMPLES`` times at ``PLACES`` places, give the keys under which windows meet items of
-   the same length. The number of repeats follows from the recall wanted: a window of
-   ``k`` edits meets its item in one repeat with the chance measured in the tests (0.3 at
-   ``k = W / 5``), so that 32 repeats miss fewer than 1 in 1000.
-3. Each window and item that met is verified by their exact edit distance.
+   the same length. Neighbouring windows are one run, with the keys of all of them: an
+   item with words left out or put in meets some window of the run, as its ends need not be
+   the window's. The tests measure the recall against a brute force over all passages.
+3. Each run and item that met is verified exactly: the least edit distance of the item to
+   any passage of the run's words (those up to ``k`` past its windows included).
 
-Keys and windows meet by a shuffle join; items are never collected, and an item of which
+Keys and runs meet by a shuffle join; items are never collected, and an item of which
 many documents hold a copy is joined like any skewed key. Null or empty items match nothing;
 nor do null or empty texts. Rows with a null id take no part. Repeated rows count once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,23 +38,30 @@ from gridops.llm import common as c
 
 BITMAP_BITS = 24
 WALKS, SAMPLES, PLACES = 8, 4, 2
-#: Windows embedded at once.
-EMBED = 4096
+#: Windows embedded at once, and the most starts of a run in item lengths.
+EMBED, RUN = 4096, 4
 
-_WINDOWS = "id long, th long, start int, size int, words binary, keys array<long>"
+_RUNS = "id long, th long, start int, size int, words binary, keys array<long>"
 
 
-def least_grams(size: np.ndarray, share: float) -> np.ndarray:
-    """Grams that a window near an item of ``size`` words must share with it."""
-    edits = np.floor(size * share + 1e-9).astype(np.int64)
-    return np.maximum(1, np.maximum(size - 2, 1) - 3 * edits)
+def edits(size: np.ndarray | int, share: float) -> np.ndarray:
+    """Edits that an item of ``size`` words may have."""
+    return np.floor(np.asarray(size) * share + 1e-9).astype(np.int64)
 
 
-def grams(words: c.Words) -> np.ndarray:
-    """For each word the hash of the three words from it; texts of fewer words have their
-    first word's hash instead; 0 where there is none."""
+def gram_rule(size: int, share: float) -> tuple[int, int]:
+    """(q, least): a passage near an item shares at least ``least`` q-word grams with it."""
+    k = int(edits(size, share))
+    three = size - 2 - 3 * k
+    return (3, three) if three >= 1 else (1, max(1, size - k))
+
+
+def grams(words: c.Words, q: int) -> np.ndarray:
+    """For each word the hash of the ``q`` words from it; 0 where there are fewer."""
+    if q == 1:
+        return words.hash
     out = np.zeros(len(words.start), np.uint64)
-    at, h = words.windows(3)
+    at, h = words.windows(q)
     out[at] = h
     return out
 
@@ -84,32 +95,63 @@ def cgk_keys(windows: np.ndarray) -> np.ndarray:
     return np.stack(keys, axis=1)
 
 
-def edit_distance(a: list[int], b: list[int], most: int) -> int:
-    """The edit distance of two sequences, or ``most + 1`` if it is more."""
-    if abs(len(a) - len(b)) > most:
-        return most + 1
-    row = {j: j for j in range(min(len(b), most) + 1)}
-    for i, x in enumerate(a, 1):
-        now = {}
-        for j in range(max(0, i - most), min(len(b), i + most) + 1):
-            best = row.get(j, most + 1) + 1
-            if j:
-                best = min(best, row.get(j - 1, most + 1) + (x != b[j - 1]), now.get(j - 1, most + 1) + 1)
-            else:
-                best = min(best, i)
-            now[j] = min(best, most + 1)
-        row = now
-        if min(row.values()) > most:
-            return most + 1
-    return min(row[len(b)], most + 1)
-
-
-def _embedded(windows_by_size):
-    """Record batches of embedded windows; by size: (id, th, start, words)."""
-    for size, rows in windows_by_size.items():
-        for lo in range(0, len(rows), EMBED):
-            part = rows[lo : lo + EMBED]
-            keys = cgk_keys(np.stack([w for *_, w in part]))
+def distances(item: list[int], text: list[int], anchored: bool = False) -> Iterator[int]:
+    """For each end in ``text`` the least edit distance of ``item`` to a passage that ends
+    there; ``anchored``: to the passage from the text's start. Bit-parallel (Myers): a column
+    of the distance table is two integers of one bit for each word of the item."""
+    m, at = len(item), {}
+    for i, word in enumerate(item):
+        at[word] = at.get(word, 0) | 1 << i
+    full, high, score = (1 << m) - 1, 1 << (m - 1), m
+    more, less = full, 0
+    for word in text:
+        eq = at.get(word, 0)
+        vertical = eq | less
+        across = (((eq & more) + more) ^ more) | eq
+        up, down = less | ~(across | more) & full, more & across
+        score += bool(up & high) - bool(down & high)
+        up, down = up << 1 | anchored, down << 1
+        more, less = (down | ~(vertical | up)) & full, up & vertical & full
+        yield score
+
+
+def nearest(item: list[int], text: list[int], most: int) -> tuple[int, int, int] | None:
+    """(distance, start, words) of the passage of ``text`` nearest to ``item``: the least distance, then
+    the first end, then the length nearest to the item's; None if it is above ``most``."""
+    end, best = -1, most + 1
+    for j, d in enumerate(distances(item, text)):
+        if d < best:
+            end, best = j, d
+    if end < 0:
+        return None
+    back = text[max(0, end + 1 - len(item) - best) : end + 1][::-1]
+    lengths = [n for n, d in enumerate(distances(item[::-1], back, anchored=True), 1) if d == best]
+    length = min(lengths, key=lambda n: (abs(n - len(item)), n))
+    return best, end + 1 - length, length
+
+
+def _filled(own: np.ndarray, start: int, size: int) -> np.ndarray:
+    """``size`` words from ``start``, filled up with zeros past the text's end."""
+    out = np.zeros(size, np.uint64)
+    part = own[start : start + size]
+    out[: len(part)] = part
+    return out
+
+
+def _embedded(runs_by_size):
+    """Record batches of runs with the keys of their windows; by size: (id, th, first start,
+    words, windows)."""
+    for size, rows in runs_by_size.items():
+        lo = 0
+        while lo < len(rows):
+            hi, n = lo, 0
+            while hi < len(rows) and (hi == lo or n + len(rows[hi][4]) <= EMBED):
+                n += len(rows[hi][4])
+                hi += 1
+            part = rows[lo:hi]
+            keys = cgk_keys(np.concatenate([x[4] for x in part]))
+            ends = np.cumsum([len(x[4]) for x in part])
+            own = [np.unique(c.long_array(k)) for k in np.split(keys, ends[:-1])]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([x[0] for x in part], pa.int64()),
@@ -117,10 +159,11 @@ def _embedded(windows_by_size):
                     pa.array([x[2] for x in part], pa.int32()),
                     pa.array([size] * len(part), pa.int32()),
                     pa.array([x[3].tobytes() for x in part], pa.binary()),
-                    c.lists([c.long_array(k) for k in keys], pa.int64()),
+                    c.lists(own, pa.int64()),
                 ],
                 names=["id", "th", "start", "size", "words", "keys"],
             )
+            lo = hi
 
 
 def _items(batches):
@@ -132,7 +175,7 @@ def _items(batches):
             for r in range(lo, hi):
                 own = words.hash[words.first[r - lo] : words.first[r - lo + 1]]
                 if len(own):
-                    by_size.setdefault(len(own), []).append((ids[r], ths[r], 0, own))
+                    by_size.setdefault(len(own), []).append((ids[r], ths[r], 0, own, own[None, :]))
         yield from _embedded(by_size)
 
 
@@ -141,60 +184,77 @@ def _sized_marks(h: np.ndarray, size) -> np.ndarray:
     return _marks(c.mix(h + np.uint64(1) * np.asarray(size).astype(np.uint64)))
 
 
-def _item_grams(batches):
-    """Marks of all grams (kind 0), and of grams with their item's length (kind 1)."""
-    for batch in batches:
-        for _, _, data, offsets in c.chunks(batch.column(0)):
-            words = c.Words(data, offsets, lower=True)
-            n = np.diff(words.first)
-            whole = grams(words)
-            at = np.flatnonzero(whole)
-            short = np.flatnonzero((n > 0) & (n < 3))
-            h = np.concatenate([whole[at], words.hash[words.first[short]]])
-            size = np.concatenate([n[words.row[at]], n[short]])
-            for kind, marks in enumerate((_marks(h), _sized_marks(h, size))):
-                marks = np.unique(marks)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(marks), kind), pa.int32()), pa.array(marks)], names=["kind", "mark"])
+def _item_grams(share: float):
+    """Marks of all grams, by q (kinds 1 and 3), and of grams with their item's length (0)."""
+
+    def run(batches):
+        for batch in batches:
+            for _, _, data, offsets in c.chunks(batch.column(0)):
+                words = c.Words(data, offsets, lower=True)
+                n = np.diff(words.first)[words.row]
+                rule = {size: gram_rule(size, share)[0] for size in np.unique(n).tolist()}
+                q_of = np.array([rule[size] for size in n.tolist()], np.int64)
+                for q in (1, 3):
+                    h = grams(words, q)
+                    at = np.flatnonzero((q_of == q) & (h != 0))
+                    for kind, marks in ((q, _marks(h[at])), (0, _sized_marks(h[at], n[at]))):
+                        marks = np.unique(marks)
+                        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(marks), kind), pa.int32()), pa.array(marks)], names=["kind", "mark"])
+
+    return run
+
+
+def _starts(at: np.ndarray, least: int, reach: int, words: c.Words) -> np.ndarray:
+    """Words from which a window is looked at: ``least`` of the marked places ``at`` lie within
+    ``reach`` words of one text, the window starts at or before the first of them, and a
+    passage that starts there still holds the last."""
+    if len(at) < least:
+        return at[:0]
+    a, b = at[: len(at) - least + 1], at[least - 1 :]
+    close = (b - a < reach) & (words.row[a] == words.row[b])
+    a, b = a[close], b[close]
+    first = np.maximum(b - reach + 1, words.first[words.row[a]])
+    edge = np.zeros(len(words.start) + 1, np.int64)
+    np.add.at(edge, first, 1)
+    np.add.at(edge, a + 1, -1)
+    return np.flatnonzero(np.cumsum(edge)[:-1] > 0)
 
 
 def _windows(share: float, marks, sizes):
-    """Windows with enough marked grams, for each length of an item, with their keys."""
+    """Runs of windows with enough marked grams, for each length of an item, with their keys."""
 
     def run(batches):
-        bitmap, sized = (np.zeros(1 << BITMAP_BITS, bool) for _ in range(2))
-        bitmap[marks.value[0]] = True
-        sized[marks.value[1]] = True
-        lengths = np.array(sizes.value, np.int64)
-        need, reach = least_grams(lengths, share), np.maximum(lengths - 2, 1)
+        maps = {}
+        for kind, held in marks.value.items():
+            maps[kind] = np.zeros(1 << BITMAP_BITS, bool)
+            maps[kind][held] = True
+        lengths = sizes.value
         for batch in batches:
             ids, ths = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for lo, _, data, offsets in c.chunks(batch.column(2)):
                 words = c.Words(data, offsets, lower=True)
-                h = grams(words)
-                marked = bitmap[_marks(h)] & (h != 0)
-                hits = np.flatnonzero(marked)
-                single = np.flatnonzero(bitmap[_marks(words.hash)]) if (lengths < 3).any() else hits
+                hits = {}
+                for q in {gram_rule(size, share)[0] for size in lengths}:
+                    h = grams(words, q)
+                    hits[q] = (h, np.flatnonzero(maps[q][_marks(h)] & (h != 0)))
                 by_size: dict[int, list] = {}
-                for size, least, span in zip(lengths.tolist(), need.tolist(), reach.tolist(), strict=True):
-                    at = single if size < 3 else hits
-                    at = at[sized[_sized_marks(words.hash[at] if size < 3 else h[at], size)]]
-                    if len(at) < least:
-                        continue
-                    a, b = at[: len(at) - least + 1], at[least - 1 :]
-                    close = (b - a < span) & (words.row[a] == words.row[b])
-                    a, b = a[close], b[close]
-                    if not len(a):
+                for size in lengths:
+                    (q, least), k = gram_rule(size, share), int(edits(size, share))
+                    h, at = hits[q]
+                    at = at[maps[0][_sized_marks(h[at], size)]]
+                    starts = _starts(at, least, size + k - q + 1, words)
+                    if not len(starts):
                         continue
-                    r = words.row[a]
-                    first = np.maximum(b - span + 1, words.first[r])
-                    last = np.minimum(a, words.first[r + 1] - size)
-                    edge = np.zeros(len(words.start) + 1, np.int64)
-                    good = first <= last
-                    np.add.at(edge, first[good], 1)
-                    np.add.at(edge, last[good] + 1, -1)
-                    for s in np.flatnonzero(np.cumsum(edge)[:-1] > 0).tolist():
-                        q = int(words.row[s])
-                        by_size.setdefault(size, []).append((ids[lo + q], ths[lo + q], s - int(words.first[q]), words.hash[s : s + size]))
+                    row = words.row[starts]
+                    cut = np.flatnonzero((np.diff(starts) > 1) | (np.diff(row) > 0)) + 1
+                    for near in np.split(starts, cut):
+                        r = int(words.row[near[0]])
+                        base, own = int(words.first[r]), words.hash[words.first[r] : words.first[r + 1]]
+                        for i in range(0, len(near), RUN * size):
+                            part = near[i : i + RUN * size] - base
+                            first = max(0, int(part[0]) - k)
+                            windows = np.stack([_filled(own, int(s), size) for s in part])
+                            by_size.setdefault(size, []).append((ids[lo + r], ths[lo + r], first, own[first : int(part[-1]) + size + k], windows))
                 yield from _embedded(by_size)
 
     return run
@@ -203,48 +263,54 @@ def _windows(share: float, marks, sizes):
 def _verify(share: float):
     def run(batches):
         for batch in batches:
-            pairs = list(zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True))
-            known: dict[tuple[bytes, bytes], int] = {}
+            found: dict[tuple[bytes, bytes], tuple[int, int, int] | None] = {}
             out = []
-            for a, b in pairs:
-                if (a, b) not in known:
-                    x, y = np.frombuffer(a, np.uint64).tolist(), np.frombuffer(b, np.uint64).tolist()
-                    known[a, b] = edit_distance(x, y, int(len(y) * share + 1e-9))
-                out.append(known[a, b])
-            yield pa.RecordBatch.from_arrays([*[batch.column(k) for k in range(4)], pa.array([len(b) // 8 for _, b in pairs], pa.int32()), pa.array(out, pa.int32())], names=["doc_id", "th", "item_id", "start", "size", "distance"])
+            for a, b in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True):
+                if (a, b) not in found:
+                    text, item = np.frombuffer(a, np.uint64).tolist(), np.frombuffer(b, np.uint64).tolist()
+                    found[a, b] = nearest(item, text, int(edits(len(item), share)))
+                out.append(found[a, b])
+            near = pa.array([i for i, x in enumerate(out) if x], pa.int64())
+            kept = batch.take(near)
+            out = [x for x in out if x]
+            starts = [s + x[1] for s, x in zip(kept.column(3).to_pylist(), out, strict=True)]
+            sizes = [len(b) // 8 for b in kept.column(5).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*[kept.column(i) for i in range(3)], pa.array(starts, pa.int32()), pa.array(sizes, pa.int32()), pa.array([x[0] for x in out], pa.int32()), pa.array([x[2] for x in out], pa.int32())],
+                names=["doc_id", "th", "item_id", "start", "size", "distance", "words"],
+            )
 
     return run
 
 
 def find_items(docs: DataFrame, items: DataFrame, share: float = 0.2) -> DataFrame:
-    """The best window for each document (doc_id and th, the text's hash) and item near it:
-    doc_id, th, item_id, start (word), item_words, distance."""
+    """The best passage for each document (doc_id and th, the text's hash) and item near it:
+    doc_id, th, item_id, start (word), item_words, passage_words, distance."""
     spark = docs.sparkSession
     c.small_batches(spark)
     known = items.filter("item_id IS NOT NULL AND text IS NOT NULL").select(F.col("item_id").cast("long").alias("id"), F.lit(0).cast("long").alias("th"), "text").distinct()
-    embedded = c.written(known.mapInArrow(_items, _WINDOWS), "items")
+    embedded = c.written(known.mapInArrow(_items, _RUNS), "items")
     # not more marks than bits, not more lengths than the longest item's
-    marked = known.select("text").mapInArrow(_item_grams, "kind int, mark long").distinct().toPandas()
-    marks = tuple(marked.loc[marked["kind"] == kind, "mark"].to_numpy().astype(np.int32) for kind in (0, 1))
+    marked = known.select("text").mapInArrow(_item_grams(share), "kind int, mark long").distinct().toPandas()
+    marks = {kind: marked.loc[marked["kind"] == kind, "mark"].to_numpy().astype(np.int32) for kind in (0, 1, 3)}
     sizes = [r["size"] for r in embedded.select("size").distinct().orderBy("size").collect()]
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), c.row_hash(F.col("text")).alias("th"), "text").filter("id IS NOT NULL")
     held = spark.sparkContext.broadcast(marks)
-    windows = c.written(rows.mapInArrow(_windows(share, held, spark.sparkContext.broadcast(sizes)), _WINDOWS), "windows")
+    runs = c.written(rows.mapInArrow(_windows(share, held, spark.sparkContext.broadcast(sizes)), _RUNS), "windows")
     side = embedded.select(F.col("id").alias("item_id"), "size", F.explode("keys").alias("key"))
-    met = windows.select("id", "th", "start", "size", F.explode("keys").alias("key")).join(side, ["size", "key"])
+    met = runs.select("id", "th", "start", "size", F.explode("keys").alias("key")).join(side, ["size", "key"])
     met = met.select("id", "th", "start", "size", "item_id").distinct()
-    texts = met.join(windows.select("id", "th", "start", "size", "words").distinct(), ["id", "th", "start", "size"])
+    texts = met.join(runs.select("id", "th", "start", "size", "words").distinct(), ["id", "th", "start", "size"])
     texts = texts.join(embedded.select(F.col("id").alias("item_id"), "size", F.col("words").alias("item")), ["item_id", "size"])
-    checked = texts.select("id", "th", "item_id", "start", "words", "item").mapInArrow(
-        _verify(share), "doc_id long, th long, item_id long, start int, size int, distance int"
+    near = texts.select("id", "th", "item_id", "start", "words", "item").mapInArrow(
+        _verify(share), "doc_id long, th long, item_id long, start int, size int, distance int, words int"
     )
-    near = checked.filter(F.col("distance") <= F.floor(F.col("size") * share + 1e-9))
-    best = near.groupBy("doc_id", "th", "item_id").agg(F.min(F.struct("distance", "start", "size")).alias("best"))
-    return best.select("doc_id", "th", "item_id", F.col("best.start").alias("start"), F.col("best.size").alias("item_words"), F.col("best.distance").alias("distance"))
+    best = near.groupBy("doc_id", "th", "item_id").agg(F.min(F.struct("distance", "start", "size", "words")).alias("best"))
+    return best.select("doc_id", "th", "item_id", *[F.col(f"best.{x}").alias(y) for x, y in (("start", "start"), ("size", "item_words"), ("words", "passage_words"), ("distance", "distance"))])
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, share: float = 0.2) -> DataFrame:
-    """The documents in which no item is found."""
-    found = find_items(docs, items, share).select(F.col("doc_id").alias("__id"), F.col("th").alias("__th")).distinct()
-    here = (F.col("doc_id").cast("long") == F.col("__id")) & (c.row_hash(F.col("text")) == F.col("__th"))
-    return docs.join(found, here, "left_anti")
+    """The documents in which no item is found. Extra columns pass, whatever their names."""
+    found = find_items(docs, items, share).select("doc_id", "th").distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), c.row_hash(F.col("text")).alias("th"))
+    return rows.join(found, ["doc_id", "th"], "left_anti").select("row.*")

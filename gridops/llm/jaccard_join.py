@@ -293,12 +293,13 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
 
 
 def drop_near_copies(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The documents without near copies: of each component the row whose id names it (one
-    of equal rows); documents without words, or without an id, stay as they are."""
+    """The documents without near copies: of each component the row whose id names it (of rows
+    with equal id and text the one whose other columns hash lowest); documents without words,
+    or without an id, stay as they are. Extra columns pass, whatever their names."""
     found = jaccard_components(docs, words, percent)
     keep = found.filter("n_shingles > 0 AND doc_id = component_id AND th = component_th").select("doc_id", "th").distinct()
-    tagged = docs.withColumn("__th", c.row_hash(F.col("text")))
-    worded = tagged.join(keep.select(F.col("doc_id").alias("__id"), F.col("th").alias("__kth")), (F.col("doc_id") == F.col("__id")) & (F.col("__th") == F.col("__kth")))
-    one = worded.dropDuplicates(["__id", "__kth"]).select(*docs.columns)
-    wordless = docs.filter(F.col("doc_id").isNull() | F.col("text").isNull() | ~F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    return one.unionByName(wordless.select(*docs.columns))
+    rest = F.xxhash64(F.to_json(F.struct(*[x for x in docs.columns if x.lower() != "text"])))
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), c.row_hash(F.col("text")).alias("th"), rest.alias("rest"))
+    one = rows.join(keep, ["doc_id", "th"]).groupBy("doc_id", "th").agg(F.min_by("row", "rest").alias("row"))
+    wordless = rows.filter(F.col("doc_id").isNull() | F.col("row.text").isNull() | ~F.col("row.text").rlike(r"[^\x20\x09-\x0D]"))
+    return one.select("row.*").union(wordless.select("row.*"))

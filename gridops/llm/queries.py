@@ -33,7 +33,7 @@ def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), share=0.2)
-    return found.select("doc_id", "item_id", "start", "item_words", "distance")
+    return found.select("doc_id", "item_id", "start", "item_words", "passage_words", "distance")
 
 
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,8 +78,7 @@ URL_LIST = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.o
 
 
 def op12_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = spark.createDataFrame(URL_LIST, url_filter.LIST)
-    found = url_filter.judge(_table(spark, sf_dir, "pages"), listed, keep=["page_id"])
+    found = url_filter.judge(_table(spark, sf_dir, "pages"), url_filter.url_list(spark, URL_LIST), keep=["page_id"])
     return found.select("row.page_id", "host", "path", "rule", "verdict", "how")
 
 

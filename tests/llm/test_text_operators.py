@@ -95,7 +95,7 @@ def test_jaccard_components_are_exact(spark, corpus, n, percent):
 
 
 def test_one_of_each_group_stays_and_wordless_rows_stay(spark, corpus):
-    df = frame(spark, corpus)
+    df = frame(spark, corpus).withColumns({x: F.lit("x") for x in ("__id", "__th", "__kth", "rest")})
     kept = jaccard_join.drop_near_copies(df, 5, 80)
     assert kept.columns == df.columns
     parts = collections.Counter(r.doc_id for r in kept.collect())
@@ -104,6 +104,12 @@ def test_one_of_each_group_stays_and_wordless_rows_stay(spark, corpus):
     assert parts[500] == parts[501] == parts[502] == 1 and parts[3] <= 1
 
 
+def test_of_equal_rows_the_same_one_stays_on_every_run(spark):
+    rows = [(1, "one two three four five six", "en", f"s{i}", 0) for i in range(50)]
+    runs = {tuple(jaccard_join.drop_near_copies(spark.createDataFrame(rows[k:] + rows[:k], DOCS).repartition(5)).collect()[0]) for k in (0, 13, 31)}
+    assert len(runs) == 1
+
+
 def test_large_regions_join_as_blocks(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "BLOCK", 7)
     rng = random.Random(2)
@@ -158,13 +164,57 @@ def brute_edit(a, b):
     return row[-1]
 
 
-def test_edit_distance_is_exact_up_to_its_bound():
+def test_nearest_passage_is_the_one_by_hand():
     rng = random.Random(8)
-    for _ in range(300):
-        a = rng.choices("abcd", k=rng.randint(0, 12))
-        b = rng.choices("abcd", k=rng.randint(0, 12))
-        most = rng.randint(0, 6)
-        assert decontaminate.edit_distance(a, b, most) == min(brute_edit(a, b), most + 1)
+    for n in range(300):
+        item = rng.choices(range(4), k=rng.randint(1, 70 if n % 10 == 0 else 12))
+        text = rng.choices(range(4), k=rng.randint(0, 30))
+        assert list(decontaminate.distances(item, text, anchored=True)) == [brute_edit(item, text[:j]) for j in range(1, len(text) + 1)]
+        most = len(item) // 3
+        all_of_them = [(brute_edit(item, text[i:j]), j, abs(j - i - len(item)), j - i, i) for i in range(len(text)) for j in range(i + 1, len(text) + 1)]
+        best = min(all_of_them, default=(most + 1,))
+        assert decontaminate.nearest(item, text, most) == ((best[0], best[4], best[3]) if best[0] <= most else None)
+
+
+def brute_least(item, text):
+    """Least edit distance of the item to any passage."""
+    row = list(range(len(item) + 1))
+    least = row[-1]
+    for y in text:
+        now = [0]
+        for i, x in enumerate(item, 1):
+            now.append(min(row[i] + 1, now[-1] + 1, row[i - 1] + (x != y)))
+        row = now
+        least = min(least, row[-1])
+    return least
+
+
+@pytest.mark.parametrize("share", [0.2, 0.1])
+def test_recall_against_all_passages_of_all_lengths(spark, share):
+    """Words replaced, left out, put in, or all of these, in items of 1 to 60 words, inside a
+    text or as the whole document; and texts of few different words, near items by chance."""
+    rng = random.Random(12)
+    vocab = [f"v{i}" for i in range(900)]
+    items = [rng.choices(vocab, k=w) for w in [*range(1, 13), 15, 18, 20, 24, 25, 30, 36, 40, 50, 60]]
+    items += [rng.choices(vocab[:9], k=w) for w in (3, 5, 6, 9)]
+    docs = []
+    for item in items:
+        for kind in ("replace", "leave out", "put in", "mixed"):
+            for whole in (True, False, False):
+                x = list(item)
+                for _ in range(int(len(item) * share + 1e-9)):
+                    do, at = kind if kind != "mixed" else rng.choice(["replace", "leave out", "put in"]), rng.randrange(len(x))
+                    x[at : at + (do != "put in")] = [] if do == "leave out" else [f"e{rng.randrange(10**6)}"]
+                docs.append(x if whole else rng.choices(vocab, k=rng.randint(1, 60)) + x + rng.choices(vocab, k=rng.randint(1, 60)))
+    docs += [rng.choices(vocab[:9], k=40) for _ in range(30)]
+    known = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    found = decontaminate.find_items(frame(spark, [(i, " ".join(x)) for i, x in enumerate(docs)]), known, share)
+    got = {(r.doc_id, r.item_id): r.distance for r in found.collect()}
+    want = {(d, i): n for d, x in enumerate(docs) for i, item in enumerate(items) if (n := brute_least(item, x)) <= int(len(item) * share + 1e-9)}
+    assert not set(got) - set(want) and all(got[k] >= want[k] for k in got)
+    assert len(got) >= 0.99 * len(want), sorted(set(want) - set(got))
+    # all planted ones are there
+    assert len(want) >= 12 * len(items)
 
 
 def test_planted_items_are_found_and_clean_documents_are_not(spark):
@@ -193,10 +243,10 @@ def test_planted_items_are_found_and_clean_documents_are_not(spark):
     near = {(r.doc_id, r.item_id): r for r in found.collect()}
     text = dict(docs)
     for (d, k), r in near.items():
-        window = [x.lower() for x in text[d].split()[r.start : r.start + r.item_words]]
+        window = [x.lower() for x in text[d].split()[r.start : r.start + r.passage_words]]
         item = [x.lower() for x in dict(items + [(72, "single")])[k].split()]
         assert brute_edit(window, item) == r.distance <= len(item) // 5
-    df = frame(spark, docs)
+    df = frame(spark, docs).withColumns({x: F.lit("x") for x in ("__id", "__th", "found_id", "Found_TH", "found_0")})
     kept = decontaminate.drop_contaminated(df, known)
     assert kept.columns == df.columns
     assert {r.doc_id for r in kept.collect()} == {d for d, _ in docs if d is None or d not in {a for a, _ in want}}
