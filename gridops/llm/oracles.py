@@ -50,14 +50,14 @@ FROM documents d LEFT JOIN kept k USING (doc_id)
 OP10_IMPACT_INDEX = r"""
 WITH
 v AS (
-    SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+    SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
     FROM embeddings
     WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-flat AS (SELECT vec_id, unnest(range(1, len(e) + 1)) AS d, unnest(e) AS x FROM v),
-pair AS (
-    SELECT q.vec_id AS query_id, p.vec_id, CAST(sum(q.x * p.x) AS BIGINT) AS score
-    FROM flat q JOIN flat p ON q.d = p.d AND q.vec_id % 50 = 0 AND q.vec_id <> p.vec_id GROUP BY ALL)
-SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+flat AS (SELECT row, vec_id, unnest(range(1, len(e) + 1)) AS d, unnest(e) AS x FROM v),
+pair AS (  -- rows, not ids: a query's own row alone is no candidate
+    SELECT q.row, q.vec_id AS query_id, p.row AS other, p.vec_id, CAST(sum(q.x * p.x) AS BIGINT) AS score
+    FROM flat q JOIN flat p ON q.d = p.d AND q.vec_id % 50 = 0 AND q.row <> p.row GROUP BY ALL)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM pair QUALIFY rank <= 5
 """
 
@@ -112,8 +112,9 @@ token AS (
 least AS (SELECT greatest(5, (count(*) * 5000 + 999999) // 1000000) AS least FROM listed),
 common AS (
     SELECT token, list(url ORDER BY url) AS held_by FROM token JOIN listed USING (url) GROUP BY token HAVING count(*) >= (SELECT least FROM least)),
-item AS (SELECT min(token) AS token FROM common GROUP BY held_by),
-held AS (SELECT url, token, verdict FROM token JOIN item USING (token) JOIN listed USING (url)),
+item AS (SELECT token, min(token) OVER (PARTITION BY held_by) AS item FROM common),
+url_item AS (SELECT DISTINCT url, item AS token FROM token JOIN item USING (token)),
+held AS (SELECT url, token, verdict FROM url_item JOIN listed USING (url)),
 combo AS (
     SELECT url, verdict, [token] AS needed FROM held
     UNION ALL SELECT a.url, a.verdict, [a.token, b.token] FROM held a JOIN held b ON a.url = b.url AND a.token < b.token
@@ -126,7 +127,7 @@ mined AS (
 best AS (
     SELECT * FROM mined r WHERE NOT EXISTS (
         SELECT 1 FROM mined q WHERE q.verdict = r.verdict AND len(q.needed) < len(r.needed) AND list_has_all(r.needed, q.needed) AND q.confidence >= r.confidence)),
-url_tokens AS (SELECT url, list(token) AS tokens FROM token GROUP BY url),
+url_tokens AS (SELECT url, list(token) AS tokens FROM url_item GROUP BY url),
 matched AS (
     SELECT url, verdict FROM url_tokens JOIN best ON list_has_all(tokens, needed)
     QUALIFY row_number() OVER (PARTITION BY url ORDER BY confidence DESC, support DESC, verdict <> 'block', needed, verdict) = 1)

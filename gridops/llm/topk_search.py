@@ -33,7 +33,8 @@ BLOCK, BATCH, LEVELS = 4096, 512, 8
 #: Members that may still qualify, as a share of all, below which they are scored exactly.
 RESCORE = 0.02
 
-_INDEX = "block int, ids binary, members binary, amounts binary, segments binary, rest binary"
+_PARTS = ("rows", "ids", "members", "amounts", "segments", "rest")
+_INDEX = "block int, rows binary, ids binary, members binary, amounts binary, segments binary, rest binary"
 
 
 def _dense(vectors: list) -> np.ndarray:
@@ -44,7 +45,7 @@ def _dense(vectors: list) -> np.ndarray:
     return out
 
 
-def build_block(ids: np.ndarray, vectors: np.ndarray) -> dict[str, bytes]:
+def build_block(rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> dict[str, bytes]:
     """The index of one block; see the module's text."""
     size = np.abs(vectors)
     level = np.minimum(size * LEVELS // (size.max(initial=0) + 1), LEVELS - 1)
@@ -55,6 +56,7 @@ def build_block(ids: np.ndarray, vectors: np.ndarray) -> dict[str, bytes]:
     first = np.flatnonzero(np.diff(falling * vectors.shape[1] + dim, prepend=-1)) if len(dim) else np.zeros(0, np.int64)
     rest = np.stack([np.sqrt(np.where(level < LEVELS - 1 - f, vectors.astype(np.float64) ** 2, 0).sum(axis=1)) for f in range(LEVELS)])
     return {
+        "rows": rows.astype(np.int64).tobytes(),
         "ids": ids.astype(np.int64).tobytes(),
         "members": member.astype(np.int32).tobytes(),
         "amounts": vectors[member, dim].astype(np.int64).tobytes(),
@@ -63,19 +65,19 @@ def build_block(ids: np.ndarray, vectors: np.ndarray) -> dict[str, bytes]:
     }
 
 
-def search_block(index: dict[str, bytes], query_ids: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def search_block(index: dict[str, bytes], query_rows: np.ndarray, queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query row, member id, score) of each query's best ``k`` in the block."""
     ids = np.frombuffer(index["ids"], np.int64)
     member, amount = np.frombuffer(index["members"], np.int32), np.frombuffer(index["amounts"], np.int64)
     segments = np.frombuffer(index["segments"], np.int64).reshape(-1, 3)
-    n, q = len(ids), len(query_ids)
+    n, q = len(ids), len(query_rows)
     rest = np.frombuffer(index["rest"], np.float64).reshape(LEVELS, n)
     width = max(queries.shape[1], int(segments[:, 1].max(initial=-1)) + 1)
     weights = np.zeros((q, width), np.int64)
     weights[:, : queries.shape[1]] = queries
     norm = np.sqrt((weights.astype(np.float64) ** 2).sum(axis=1))
     score = np.zeros((n, q), np.int64)
-    own = ids[:, None] == query_ids[None, :]
+    own = np.frombuffer(index["rows"], np.int64)[:, None] == query_rows[None, :]
     ends = np.append(segments[1:, 2], len(member))
     at, possible = 0, ~own
     for level in range(LEVELS):
@@ -117,18 +119,19 @@ def search_block(index: dict[str, bytes], query_ids: np.ndarray, queries: np.nda
 
 def _build(batches):
     """Blocks from rows sorted by block."""
-    block, ids, vectors = None, [], []
+    block, numbers, ids, vectors = None, [], [], []
 
     def row() -> pa.RecordBatch:
-        made = build_block(np.array(ids, np.int64), _dense(vectors))
-        return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), *[pa.array([made[x]], pa.binary()) for x in ("ids", "members", "amounts", "segments", "rest")]], names=["block", "ids", "members", "amounts", "segments", "rest"])
+        made = build_block(np.array(numbers, np.int64), np.array(ids, np.int64), _dense(vectors))
+        return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), *[pa.array([made[x]], pa.binary()) for x in _PARTS]], names=["block", *_PARTS])
 
     for batch in batches:
-        for b, i, v in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+        for b, r, i, v in zip(*(batch.column(x).to_pylist() for x in range(4)), strict=True):
             if b != block:
                 if ids:
                     yield row()
-                block, ids, vectors = b, [], []
+                block, numbers, ids, vectors = b, [], [], []
+            numbers.append(r)
             ids.append(i)
             vectors.append(v)
     if ids:
@@ -139,12 +142,12 @@ def _search(k: int):
     def run(batches):
         for batch in batches:
             for r in range(batch.num_rows):
-                index = {x: batch.column(x)[r].as_buffer() for x in ("ids", "members", "amounts", "segments", "rest")}
+                index = {x: batch.column(x)[r].as_buffer() for x in _PARTS}
                 queries = batch.column("queries")[r].as_py()
                 qid = np.array([x["vec_id"] for x in queries], np.int64)
-                marks = np.array([x["mark"] for x in queries], np.int64)
-                at, found, score = search_block(index, qid, _dense([x["v"] for x in queries]), k)
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (qid[at], marks[at], found, score)], names=["query_id", "mark", "vec_id", "score"])
+                numbers = np.array([x["row"] for x in queries], np.int64)
+                at, found, score = search_block(index, numbers, _dense([x["v"] for x in queries]), k)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (qid[at], numbers[at], found, score)], names=["query_id", "row", "vec_id", "score"])
 
     return run
 
@@ -155,15 +158,16 @@ def top_k(vectors: DataFrame, every: int = 50, k: int = 5, scale: int = 256) ->
     fine = "vec_id IS NOT NULL AND embedding IS NOT NULL AND forall(embedding, x -> x IS NOT NULL AND NOT isnan(x) AND abs(x) < double('Infinity'))"
     rows = vectors.filter(fine).select(
         F.col("vec_id").cast("long").alias("vec_id"), F.transform("embedding", lambda x: F.floor(F.lit(scale) * x.cast("double"))).alias("v")
-    ).distinct()
-    rows = c.written(rows.withColumn("mark", F.xxhash64("v")), "vectors")
+    )
+    # written once, so that a row keeps its number
+    rows = c.written(rows.withColumn("row", F.monotonically_increasing_id()), "vectors")
     n, wanted = rows.agg(F.count("*"), F.count_if(F.col("vec_id") % every == 0)).first()
     blocks, lots = max(1, -(-n // BLOCK)), max(1, -(-wanted // BATCH))
-    placed = rows.select(F.pmod(F.xxhash64("vec_id", "mark"), F.lit(blocks)).cast("int").alias("block"), "vec_id", "v")
+    placed = rows.select(F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int").alias("block"), "row", "vec_id", "v")
     index = c.written(placed.repartition("block").sortWithinPartitions("block", "vec_id").mapInArrow(_build, _INDEX), "impact-index")
-    queries = rows.filter(F.col("vec_id") % every == 0).withColumn("lot", F.pmod(F.xxhash64("mark", "vec_id"), F.lit(lots)))
-    queries = queries.groupBy("lot").agg(F.collect_list(F.struct("vec_id", "mark", "v")).alias("queries"))
+    queries = rows.filter(F.col("vec_id") % every == 0).withColumn("lot", F.pmod(F.xxhash64("row"), F.lit(lots)))
+    queries = queries.groupBy("lot").agg(F.collect_list(F.struct("vec_id", "row", "v")).alias("queries"))
     sent = queries.select("queries", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    best = index.hint("shuffle_hash").join(sent, "block").mapInArrow(_search(k), "query_id long, mark long, vec_id long, score long")
-    order = Window.partitionBy("query_id", "mark").orderBy(F.desc("score"), "vec_id")
+    best = index.hint("shuffle_hash").join(sent, "block").mapInArrow(_search(k), "query_id long, row long, vec_id long, score long")
+    order = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

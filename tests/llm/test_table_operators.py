@@ -127,11 +127,12 @@ def test_top_k_is_exact(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").withColumn("block", F.lit("x"))
     import numpy as np
 
-    good = {i: [math.floor(256 * float(np.float32(x))) for x in v] for i, v, _ in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)}
+    # rows, not ids: a repeated row is a query and a candidate of its own
+    good = [(i, [math.floor(256 * float(np.float32(x))) for x in v]) for i, v, _ in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     want = []
-    for q in good:
+    for at, (q, own) in enumerate(good):
         if q % 50 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(good[q], v, strict=False)), i) for i, v in good.items() if i != q)[:5]
+            scored = sorted((-sum(a * b for a, b in zip(own, v, strict=False)), i) for n, (i, v) in enumerate(good) if n != at)[:5]
             want += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scored)]
     assert sorted(tuple(r) for r in topk_search.top_k(df).collect()) == sorted(want)
 
@@ -143,6 +144,12 @@ def test_top_k_over_many_blocks(spark, monkeypatch, block, batch):
     test_top_k_is_exact(spark)
 
 
+def test_copies_are_candidates_each(spark):
+    df = spark.createDataFrame([(0, [1.0]), (1, [2.0]), (1, [2.0]), (1, [2.0]), (2, [1.5]), (0, [0.5])], "vec_id long, embedding array<float>")
+    got = sorted(tuple(r) for r in topk_search.top_k(df, k=4).collect())
+    assert got == sorted([(0, r, 1, 256 * 512) for r in (1, 2, 3)] + [(0, 4, 2, 256 * 384)] + [(0, r, 1, 128 * 512) for r in (1, 2, 3)] + [(0, 4, 2, 128 * 384)])
+
+
 def test_top_k_of_few_and_none(spark):
     df = spark.createDataFrame([(0, [1.0, 2.0]), (1, [0.5, 0.0])], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in topk_search.top_k(df).collect()] == [(0, 1, 1, 256 * 128)]
