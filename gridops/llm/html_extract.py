@@ -4,9 +4,9 @@ For each host a few pages of different main text are picked by a hash (``sample`
 a bound of the method: a wrapper is a small template; copies count once). Their DOM trees are aligned
 with the one most like the others by simple tree matching, a dynamic program over the
 children of equally named nodes. Matched nodes are the wrapper's slots: slots that hold the
-same text in most pages, from two up, are template, the others vary; of paragraphs and the
-like that stand among varying ones, all sampled pages but one and at least ``CONSTANT`` must
-agree. Each slot is known by its path of tags and classes. Slots
+same text in most pages, from two up, are template, the others vary. Paragraphs, headings and
+the like that stand among varying ones, or in the main region, are never template: an
+article's licence line stays, however many pages have it. Each slot is known by its path of tags and classes. Slots
 under elements whose name or class says that they are not content (menus, headers, footers,
 notices, adverts, forms, comments, ...) are no content, but a class or id does not hide an
 element that holds most of a page's text. Among the remaining paths the wrapper's main
@@ -35,8 +35,6 @@ from pyspark.sql import functions as F
 
 from gridops.llm import common as c
 
-#: Pages that must agree before a paragraph among varying ones counts as template.
-CONSTANT = 5
 #: Pages that are looked at for each one sampled, as copies of one main text count once.
 CANDIDATES = 4
 #: Share of the text that an article or main element must hold to be the region, and that
@@ -343,8 +341,7 @@ def _slots(root: Node) -> set[tuple[str, str]]:
 
 def _agreed(trees: list[Node]) -> frozenset:
     """The slots of equal text in most pages, two at least. A paragraph, heading or item
-    with others at its path may be an article's own: there all pages but one must agree,
-    ``CONSTANT`` at least."""
+    with others at its path that vary is an article's own, however many pages carry it."""
     slots = [_slots(tree) for tree in trees]
     paths = [{p for p, _ in x} for x in slots]
     alike = [sum(len(a & b) / max(1, len(a | b)) for b in paths) for a in paths]
@@ -361,7 +358,7 @@ def _agreed(trees: list[Node]) -> frozenset:
             same[slot] = same.get(slot, 0) + 1
     most = {s for s, n in same.items() if n >= 2 and 2 * n > len(trees) and s[1]}
     mixed = {s[0] for x in slots for s in x - most if s[0].rpartition("/")[2].split(".")[0] in _FINE}
-    return frozenset(s for s in most if s[0] not in mixed or same[s] >= max(CONSTANT, len(trees) - 1))
+    return frozenset(s for s in most if s[0] not in mixed)
 
 
 def induce(pages: list[str], sample: int = 8) -> dict:
@@ -373,7 +370,10 @@ def induce(pages: list[str], sample: int = 8) -> dict:
     for tree in trees:
         for p, n in _masses(tree, constant).items():
             masses[p] = masses.get(p, 0) + n
-    return {"main": main_path(masses), "constant": constant}
+    main = main_path(masses)
+    # a paragraph, heading or list inside the main region is the article's, though all carry it
+    own = {s for s in constant if s[0].startswith(main + "/") and s[0].rpartition("/")[2].split(".")[0] in _FINE}
+    return {"main": main, "constant": constant - own}
 
 
 def _at(root: Node, path: str) -> list[tuple[str, Node]]:
@@ -426,10 +426,12 @@ def _extract(batches):
 def wrappers(pages: DataFrame, sample: int = 8) -> DataFrame:
     """host, main path, constant slots: a row per host."""
     hosts = pages.filter("html IS NOT NULL AND html <> ''").select(_host().alias("host"), "html", F.xxhash64("html").alias("h"))
-    # some more than ``sample`` pages of a host leave a task, as copies of one text count once
+    # copies of a page are one before pages are ranked, by hashes alone: no task gets them all
     order = Window.partitionBy("host").orderBy("h")
-    picked = hosts.withColumn("n", F.dense_rank().over(order)).filter(F.col("n") <= CANDIDATES * sample)
-    picked = picked.groupBy("host", "n").agg(F.first("html").alias("html")).groupBy("host").agg(F.sort_array(F.collect_list("html")).alias("pages"))
+    picked = hosts.select("host", "h").distinct().withColumn("n", F.row_number().over(order)).filter(F.col("n") <= CANDIDATES * sample)
+    picked = c.written(picked.select("host", "h"), "sampled-pages")
+    picked = hosts.join(picked, ["host", "h"]).groupBy("host", "h").agg(F.min("html").alias("html"))
+    picked = picked.groupBy("host").agg(F.sort_array(F.collect_list("html")).alias("pages"))
     return picked.mapInArrow(_induce(sample), "host string, main string, constant array<struct<path:string,text:string>>")
 
 

@@ -1,9 +1,8 @@
 """Mixing sources to target weights by a multivariate-hypergeometric splitting tree.
 
 Every source has a size (words) and a target: weights share the whole size out, no target
-exceeds ``max_repeats`` times its source, and what is cut off goes to the others by weight
-(closed form: targets are ``min(cap, level * weight)``, the level found by a prefix sum
-over sources in order of cap / weight). A source's documents, in a pseudo-random order and
+exceeds ``max_repeats`` times its source, and what is cut off goes to the others by weight.
+A source's documents, in a pseudo-random order and
 repeated end to end, are one stream of words cut into blocks of one common length; its
 target is a quota of blocks, the last one a part: of it the documents are taken whose middle
 lies before the target, so a source comes within half a document of its target however many
@@ -11,7 +10,8 @@ sources there are. If the target ends in the first document, that one is taken w
 chance that keeps the mean. The tree starts with the multiset of all quotas and
 deals each node's blocks to its two halves of the output shards by drawing exactly the
 left half's share without replacement, so the sources' counts in each half follow the
-multivariate hypergeometric law; every shard gets blocks in proportion, at most one apart.
+multivariate hypergeometric law; every shard gets blocks in proportion, a few apart at most.
+A document is drawn, into that shard, if the tree dealt its block.
 There are ``shards * blocks_per_shard`` blocks, and at most one more per source, at any
 input size, so the tree is small. Documents find their place in the stream by two prefix
 sums (buckets of a source, rows of a bucket), so a source that holds most rows is never in
@@ -28,42 +28,64 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridops.llm import common as c
+from gridops.operators.ids import append_ids
+
 
 def targets(sizes: DataFrame, weights: tuple[float, ...] = (5, 2, 1), max_repeats: int = 3) -> DataFrame:
-    """``sizes`` (key, source, source_size) with ``target``; a row per source."""
-    everywhere = Window.partitionBy()
-    by_name = Window.orderBy(F.col("source").isNull(), "source")
+    """``sizes`` (key, source, source_size) with total, cap and ``target``; a row per source.
+
+    Sources are numbered in order by a distributed sort. The level is found as the definition
+    says: what capped sources leave is shared by weight among the others until none of them
+    is above its cap; a round is one sum over the sources."""
+    numbered = append_ids(sizes, [F.col("source").isNull(), "source"], "place")
     cycle = F.array(*[F.lit(float(w)) for w in weights])
-    ranked = sizes.withColumn("weight", F.element_at(cycle, ((F.row_number().over(by_name) - 1) % len(weights) + 1).cast("int")))
-    ranked = ranked.withColumn("cap", max_repeats * F.col("source_size").cast("double")).withColumn("total", F.sum("source_size").over(everywhere).cast("double"))
-    filling = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").isNull(), "source")
-    before = filling.rowsBetween(Window.unboundedPreceding, -1)
-    level = (F.col("total") - F.coalesce(F.sum("cap").over(before), F.lit(0.0))) / (F.sum("weight").over(everywhere) - F.coalesce(F.sum("weight").over(before), F.lit(0.0)))
-    levels = ranked.withColumn("place", F.row_number().over(filling)).withColumn("level", level)
-    fits = F.when(F.col("level") <= F.col("cap") / F.col("weight"), F.struct("place", "level"))
-    found = levels.withColumn("found", F.min(fits).over(everywhere)["level"])
-    target = F.coalesce(F.least("cap", F.col("found") * F.col("weight")), F.col("cap"))
-    return found.select("key", "source", "source_size", "total", "cap", target.alias("target"))
+    ranked = numbered.select(
+        "key", "source", "source_size",
+        F.element_at(cycle, ((F.col("place") - 1) % len(weights) + 1).cast("int")).alias("weight"),
+        (max_repeats * F.col("source_size")).alias("cap"),
+    )
+    ranked = c.written(ranked, "mix-weights")
+    total, level, capped = ranked.agg(F.sum("source_size")).first()[0] or 0, 0.0, -1
+    while True:
+        over = F.col("weight") * F.lit(level) > F.col("cap")
+        n, full, free = ranked.agg(F.count_if(over), F.sum(F.when(over, F.col("cap"))), F.sum(F.when(~over, F.col("weight")))).first()
+        if n == capped or not free:
+            break
+        capped, level = n, (total - (full or 0)) / free
+    target = F.least(F.col("cap").cast("double"), F.lit(level) * F.col("weight"))
+    return ranked.select("key", "source", "source_size", F.lit(float(total)).alias("total"), F.col("cap").cast("double").alias("cap"), target.alias("target"))
+
+
+#: Blocks of a node that one task ranks, on average.
+RANKED = 50_000
 
 
 def splitting_tree(quotas: DataFrame, shards: int, seed: int = 0) -> DataFrame:
     """``quotas`` (key, quota) dealt to shards: (key, block, shard). Each node's blocks are
-    put in a random order and the first, in proportion to the left half's shards, go left."""
+    put in a random order and the first, in proportion to the left half's shards, go left.
+    A block's rank is the number of blocks in the buckets of random keys before its own, plus
+    its rank there, so a node is never in one task, however many sources there are."""
     blocks = quotas.filter("quota > 0").select("key", F.explode(F.sequence(F.lit(0), (F.col("quota") - 1).cast("int"))).alias("block"))
-    node = blocks.coalesce(1).withColumns({"lo": F.lit(0), "hi": F.lit(shards)})
+    node = c.written(blocks.withColumns({"lo": F.lit(0), "hi": F.lit(shards)}), "mix-node")
+    bits = max(0, (node.count() // RANKED).bit_length())
     widest, depth = shards, 0
     while widest > 1:
-        drawn = Window.partitionBy("lo", "hi").orderBy(F.xxhash64("key", "block", F.lit(seed), F.lit(depth)), "key", "block")
-        mid = F.floor((F.col("lo") + F.col("hi")) / 2).cast("int")
-        whole = F.count("*").over(Window.partitionBy("lo", "hi"))
-        node = node.withColumns({"mid": mid, "rank": F.row_number().over(drawn), "whole": whole})
+        at = F.shiftrightunsigned(F.xxhash64("key", "block", F.lit(seed), F.lit(depth)), 1)
+        node = node.withColumns({"at": at, "bucket": F.shiftright(at, 63 - bits), "mid": F.floor((F.col("lo") + F.col("hi")) / 2).cast("int")})
+        buckets = node.groupBy("lo", "hi", "bucket").agg(F.count("*").alias("n"))
+        inside = Window.partitionBy("lo", "hi")
+        earlier = inside.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        buckets = buckets.select("lo", "hi", "bucket", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"), F.sum("n").over(inside).alias("whole"))
+        drawn = Window.partitionBy("lo", "hi", "bucket").orderBy("at", "key", "block")
+        node = node.withColumn("rank", F.row_number().over(drawn)).join(buckets, ["lo", "hi", "bucket"])
         left = F.floor(F.col("whole") * (F.col("mid") - F.col("lo")) / (F.col("hi") - F.col("lo")))
-        goes = (F.col("mid") > F.col("lo")) & (F.col("rank") <= left)
+        goes = (F.col("mid") > F.col("lo")) & (F.col("before") + F.col("rank") <= left)
         node = node.select(
             "key", "block",
             F.when(goes | (F.col("mid") == F.col("lo")), F.col("lo")).otherwise(F.col("mid")).alias("lo"),
             F.when(goes, F.col("mid")).otherwise(F.col("hi")).alias("hi"),
         )
+        node = c.written(node, "mix-node")
         widest, depth = (widest + 1) // 2, depth + 1
     return node.select("key", "block", F.col("lo").alias("shard"))
 
@@ -110,14 +132,15 @@ def mix_plan(
     places = places.select("key", "bucket", "offset", "source_size", "target", "cap", "length", "quota", F.expr(part).alias("parts"))
     inner = Window.partitionBy("key", "bucket").orderBy("at", "size").rowsBetween(Window.unboundedPreceding, -1)
     rows = rows.withColumn("before", F.coalesce(F.sum("size").over(inner), F.lit(0))).join(places, ["key", "bucket"])
-    # a source taken to its cap is taken whole; else the document at the target's end is taken
-    # if its middle is before it, or, if it is the first, with the chance that keeps the mean
+    # a document is drawn with the block that the tree dealt. Of a source's last block, unless
+    # it is taken to its cap, those are drawn whose middle is before the target; if that is in
+    # the first document, it is drawn with the chance that keeps the mean
     chance = f"pmod(xxhash64(key, {seed}, 'rest'), 1048576) / 1048576D * size < target"
     block = f"""transform(sequence(0, {max_repeats - 1}), e -> struct(e as repeat, e * source_size + offset + before as start,
         cast(least(quota - 1, floor((e * source_size + offset + before + size / 2) / length)) as int) as block))"""
     taken = f"quota > 0 and case when target >= cap then true when x.start = 0 and size > target then {chance} else x.start + size / 2 < target end"
-    draws = f"""transform(filter({block}, x -> {taken}), x -> struct(x.repeat as repeat, x.block as block,
-        try_element_at(parts[x.repeat].shards, x.block - parts[x.repeat].first + 1) as shard, xxhash64(at, x.repeat, {seed}) as place))"""
+    draws = f"""filter(transform(filter({block}, x -> {taken}), x -> struct(x.repeat as repeat, x.block as block,
+        try_element_at(parts[x.repeat].shards, x.block - parts[x.repeat].first + 1) as shard, xxhash64(at, x.repeat, {seed}) as place)), x -> x.shard is not null)"""
     return rows.select("row", "size", "source_size", "target", F.expr(draws).alias("draws"))
 
 

@@ -62,7 +62,8 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = mixing.mix_plan(_table(spark, sf_dir, "documents"), weights=(5, 2, 1), max_repeats=3, shards=40, keep=["doc_id"])
-    return plan.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"))
+    shards = F.array_join(F.array_sort(F.col("draws.shard")), ",")
+    return plan.select("row.doc_id", "size", "source_size", "target", (F.col("size") * F.size("draws")).alias("taken"), shards.alias("shards"))
 
 
 def op10_impact_index(spark: SparkSession, sf_dir: str) -> DataFrame:

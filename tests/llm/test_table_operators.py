@@ -114,6 +114,43 @@ def test_tree_deals_each_quota_exactly_and_evenly(spark):
     assert max(spread.values()) < 3 * min(spread.values())  # 540 draws over 13 shards, 41 each
 
 
+def test_the_tree_decides_what_is_drawn_and_where(spark, docs, monkeypatch):
+    plan = mixing.mix_plan(docs, shards=8, blocks_per_shard=64).select("row.doc_id", "size", "draws").collect()
+    words, blocks = collections.Counter(), collections.defaultdict(set)
+    for r in plan:
+        for d in r.draws:
+            words[d["shard"]] += r.size
+            blocks[d["shard"]].add(d["block"])
+    assert set(words) == set(range(8))  # every shard gets its share of the words
+    assert max(words.values()) < 1.5 * min(words.values()) + 2 * max(r.size for r in plan)
+    tree = mixing.splitting_tree
+    monkeypatch.setattr(mixing, "splitting_tree", lambda q, shards, seed=0: tree(q, shards, seed).filter("false"))
+    assert all(not r.draws for r in mixing.mix_plan(docs, shards=8, blocks_per_shard=64).collect())
+    # dealt the other way round, every document goes to the other end
+    monkeypatch.setattr(mixing, "splitting_tree", lambda q, shards, seed=0: tree(q, shards, seed).withColumn("shard", F.lit(shards - 1) - F.col("shard")))
+    other = mixing.mix_plan(docs, shards=8, blocks_per_shard=64).select("row.doc_id", "size", "draws").collect()
+    placed = lambda rows, turn: sorted(str((r.doc_id, r["size"], [(d["repeat"], 7 - d["shard"] if turn else d["shard"]) for d in r.draws])) for r in rows)
+    assert placed(other, True) == placed(plan, False)
+
+
+def test_the_tree_ranks_in_buckets_as_in_one_group(spark, monkeypatch):
+    q = spark.createDataFrame([(f"s{i}", 1 + i % 7) for i in range(200)], "key string, quota long")
+    whole = multiset(mixing.splitting_tree(q, 5), "key", "block", "shard")
+    monkeypatch.setattr(mixing, "RANKED", 20)
+    assert multiset(mixing.splitting_tree(q, 5), "key", "block", "shard") == whole
+
+
+def test_targets_of_many_sources(spark):
+    rng = random.Random(2)
+    sizes = {f"h{i}": int(rng.paretovariate(0.7)) for i in range(3000)} | {None: 7, "zero": 0}
+    df = spark.createDataFrame([(str(s), s, n) for s, n in sizes.items()], "key string, source string, source_size long").repartition(7)
+    want = brute_targets(sizes)
+    got = {r.source: r.target for r in mixing.targets(df).collect()}
+    assert set(got) == set(want) and all(math.isclose(got[s], want[s], rel_tol=1e-9, abs_tol=1e-9) for s in want)
+    plan = mixing.targets(df)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
 def test_mixed_rows_are_documents(spark, docs):
     out = mixing.mixed(docs, shards=4)
     assert set(multiset(out.select("row.*"), *docs.columns)) <= set(multiset(docs, *docs.columns))
@@ -229,14 +266,39 @@ def test_main_text_of_pages(spark):
     got = [(r.page_id, r.url, r.text, r.n_chars) for r in out.collect()]
     assert len(got) == len(rows) and all(n == len(t) for _, _, t, n in got)
     text = {i: t for i, _, t, _ in got}
-    # "Read on" stands in all eight sampled pages of a.example: template; the lone page keeps it
-    assert text[3] == "Title 3 First bold é& text 3 Second one 3"
+    # "Read on" stands in all sampled pages of a.example, but in the article: it stays
+    assert text[3] == "Title 3 First bold é& text 3 Second one 3 Read on"
     assert text[50] == "Title 7 First bold é& text 7 Second one 7 Read on"
     assert (text[51], text[52], text[53]) == ("", "", "plain <words> only")
     assert text[54] == "deep" and text[55] == "cut off he"
     assert html_extract.main_text(df.filter("false")).count() == 0
 
 
+@pytest.mark.parametrize("shape", ["article", "div"])
+def test_an_article_is_whole_whatever_the_number_of_pages(spark, shape):
+    """Paragraphs that all pages of a host carry stay in the article; what is around it goes."""
+    top, end = ("<article>", "</article>") if shape == "article" else ("<div class='story'>", "</div>")
+
+    def page(host, i):
+        body = "".join(f"<p>words {host} {i} of paragraph {k} that no other page has {i * 31 + k}</p>" for k in range(4))
+        return (
+            f"<html><body><header>{host} news</header><div class='x1'>The house of {host} since 1901</div>{top}<h1>Title {i} of {host}</h1>{body}"
+            f"<h2>License</h2><p>This text may be shared under the same terms.</p>{end}<div class='x2'>Imprint and contact of {host}</div><footer>End</footer></body></html>"
+        )
+
+    counts = (1, 2, 4, 5, 8, 50)
+    rows = [(100 * n + i, f"http://h{n}.example/{i}", page(f"h{n}", i)) for n in counts for i in range(n)]
+    rows += [(9000 + i, "http://h8.example/copy", page("h8", 0)) for i in range(200)]  # copies of one page
+    out = {r.page_id: r.text for r in html_extract.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for n in counts:
+        for i in range(n):
+            want = f"Title {i} of h{n} " + " ".join(f"words h{n} {i} of paragraph {k} that no other page has {i * 31 + k}" for k in range(4)) + " License This text may be shared under the same terms."
+            if n > 1 or shape == "article":  # a lone page without an article element has no template
+                assert out[100 * n + i] == want, (n, i)
+            else:
+                assert want in out[100 * n + i]
+
+
 def test_simple_tree_matching_is_maximal():
     a = html_extract.parse("<div><p>1</p><ul><li>x</li></ul><p>2</p></div>")
     b = html_extract.parse("<div><ul><li>y</li><li>z</li></ul><p>2</p></div>")
