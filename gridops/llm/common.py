@@ -169,20 +169,21 @@ def lists(parts: list[np.ndarray], kind: pa.DataType) -> pa.Array:
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected ``edges`` (a, b): (node, component), component
     the smallest node. Alternating large-star and small-star steps until nothing changes;
-    a node's smallest neighbour is found by a pre-aggregated minimum, so a hub's edges are
-    never gathered. Each round is written to the shared folder."""
+    a node's smallest neighbour is found by a pre-aggregated minimum, written before it is
+    joined, so that the join of a hub's edges is one of two plain shuffles, which can be split.
+    Each round is written to the shared folder."""
 
     def both(e: DataFrame) -> DataFrame:
         return e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(e.select("b", "a"))
 
     def large(e: DataFrame) -> DataFrame:
         n = both(e)
-        least = n.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+        least = written(n.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m")), "cc-least")
         return n.filter("v > u").join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b")).filter("a <> b").distinct()
 
     def small(e: DataFrame) -> DataFrame:
         n = e.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v")
-        least = n.groupBy("u").agg(F.min("v").alias("m"))
+        least = written(n.groupBy("u").agg(F.min("v").alias("m")), "cc-least")
         hung = n.join(least, "u").select(F.col("v").alias("a"), F.col("m").alias("b"))
         return hung.union(least.select("u", "m")).filter("a <> b").distinct()
 
@@ -193,7 +194,7 @@ def components(edges: DataFrame) -> DataFrame:
     now = written(small(edges.filter("a <> b").select("a", "b")), "cc")
     seen = mark(now)
     while seen[0]:
-        now = written(small(large(now)), "cc")
+        now = written(small(written(large(now), "cc-large")), "cc")
         last, seen = seen, mark(now)
         if last == seen:
             break

@@ -193,9 +193,12 @@ def _join_regions(words: int, percent: int):
 def _placed(members: DataFrame, carried: DataFrame, on: list[str], columns: list[str]) -> DataFrame:
     """Rows (p, i, j, rep, columns) sorted by region and block pair: each member of a region
     goes to every pair of blocks that its own block is in."""
-    blocks = members.groupBy("p").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    # only regions of several blocks, written before they are joined: mostly few, and else a
+    # join of two plain shuffles, which can be split where one region has many members
+    blocks = members.groupBy("p").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")).filter("blocks > 1")
+    blocks = c.written(blocks, "blocks")
     mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    homes = members.join(blocks, "p").withColumn("mine", mine)
+    homes = members.join(blocks, "p", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1))).withColumn("mine", mine)
     sent = homes.join(carried, on).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     sent = sent.select("p", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "rep", *columns)
     return sent.repartition("p", "i", "j").sortWithinPartitions("p", "i", "j", "rep")
@@ -272,6 +275,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80) -> Da
     reps = own.join(heads, ["k1", "k2", "n", "doc_id", "th"]).select("rep", "doc_id", "th", "n", "prefix", "bits")
     cell = reps.select("rep", F.explode("prefix").alias("key"))
     pivots = cell.groupBy("key").agg(F.min("rep").alias("p"), F.max("rep").alias("last")).filter("p < last").select("key", "p")
+    pivots = c.written(pivots, "pivots")  # as above: the join of a frequent key can be split
     pairs = c.written(cell.join(pivots, "key").select("p", "rep").distinct(), "regions")
     met = _placed(pairs, reps.select("rep", "n", "bits").distinct(), ["rep"], ["n", "bits"])
     hopeful = c.written(met.mapInArrow(_hopeful(percent), "p long, rep long").distinct(), "hopeful")
