@@ -6,8 +6,7 @@ very staging rows and the hour dimension holds every hour, so those inner joins
 can only drop rows whose timestamp is null, which a filter does for free. Only
 the grid-point join filters for real. Air quality is the exception: its dates
 are checked against the weather-derived date dimension with a semi-join on the
-date; the caller decides whether that date set is broadcast (see
-``plans.graph``: only with a proven size).
+date, without a hint: Spark decides by its size.
 """
 
 from __future__ import annotations
