@@ -39,7 +39,7 @@ from gridops.llm import common as c
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 #: Distinct (group, term) counters a task holds before it sends them on.
-HELD = 400_000
+HELD = 1_000_000
 SCALE = 1_000_000_000
 
 COUNTS = "lang string, source string, term string, n long, docs long"
@@ -122,7 +122,7 @@ def _cell(key: tuple, cell: pa.Table) -> pa.Table:
     return pa.table({"lang": pa.array([lang] * len(items), pa.string()), "source": pa.array(sources, pa.string()), "item": pa.array(items, pa.string()), "part": pa.array(values, pa.int64())})
 
 
-def divergences(docs: DataFrame, min_docs: int = 3, top_terms: int = 200, group_block: int = 8, term_block: int = 2048) -> DataFrame:
+def divergences(docs: DataFrame, min_docs: int = 3, top_terms: int = 200, group_block: int = 16, term_block: int = 2048) -> DataFrame:
     """(lang, source, part, item, value, rank): part ``pair`` holds the cost of a source
     against each other source of its language, part ``term`` the ``top_terms`` terms that it
     has oftener than the language, by their cost against the language."""
@@ -134,13 +134,13 @@ def divergences(docs: DataFrame, min_docs: int = 3, top_terms: int = 200, group_
 
     langs = counts.filter("term = ''").groupBy("lang").agg(F.count("*").alias("n_groups"))
     sizes = vocabulary.groupBy("lang").agg(F.count("*").alias("v"), F.sum("lang_n").alias("lang_total"))
-    langs = langs.join(sizes, "lang", "left").select(
+    langs = c.written(langs.join(sizes, "lang", "left").select(
         "lang",
         F.coalesce("v", F.lit(0)).alias("v"),
         F.coalesce("lang_total", F.lit(0)).alias("lang_total"),
         F.ceil(F.col("n_groups") / group_block).alias("group_blocks"),
         F.greatest(F.lit(1), F.ceil(F.coalesce("v", F.lit(0)) / term_block)).alias("term_blocks"),
-    )
+    ), "divergence-langs")
     totals = kept.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     groups = counts.filter("term = ''").select("lang", "source").join(totals, ["lang", "source"], "left").join(langs, "lang")
     groups = c.written(groups.withColumn("total", F.coalesce("total", F.lit(0))), "divergence-groups")
