@@ -285,6 +285,7 @@ def sequences(conversations: DataFrame) -> DataFrame:
     turns = c.written(turns, "trie-turns")
     # the order of different turns at one place takes their texts
     shared = turns.groupBy("conv_id", "turn").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).filter("a <> b").select("conv_id", F.col("turn").alias("at"))
+    shared = c.written(shared, "trie-shared")  # its size is known then, and mostly small
     tied = conversations.select(F.col("conv_id"), F.col("turn"), role.alias("role"), text.alias("text"), digest.alias("digest"))
     tied = tied.join(shared, (tied.conv_id == shared.conv_id) & tied.turn.eqNullSafe(shared.at)).select(tied.conv_id, "turn", "digest", "role", "text").distinct()
     place = F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy("role", "text"))
