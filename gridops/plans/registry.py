@@ -53,6 +53,19 @@ def _grid_points(g: ModelGraph) -> DataFrame:
     return _coords(g.grid_points)
 
 
+@query("grid_points_seeded")
+def _grid_points_seeded(g: ModelGraph) -> DataFrame:
+    """The grid from both seed files: regions and lattice coefficients, written and scanned."""
+    from gridops.session import scratch_path
+    from gridops.sources import seeds
+
+    regions, coefficients = scratch_path(g.spark, "region-seed"), scratch_path(g.spark, "coefficient-seed")
+    seeds.write_region_seed(g.regions, regions)
+    seeds.write_coefficients(g.spark, g.params.grid_coefficients, coefficients)
+    seeded = {"regions": seeds.read_region_seed(g.spark, regions), "coefficients": seeds.read_coefficients(g.spark, coefficients)}
+    return _coords(ModelGraph(g.spark, params=g.params, sources=seeded).grid_points)
+
+
 @query("dim_grid_point")
 def _dim_grid_point(g: ModelGraph) -> DataFrame:
     return _coords(g.dim_grid_point)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,6 +44,12 @@ def read_coefficients(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(COEF_SEED_SCHEMA).option("header", True).csv(path)
 
 
+def write_coefficients(spark: SparkSession, coefficients: Sequence[float], path: str) -> None:
+    """Write the lattice's coefficients in the seed layout."""
+    rows = spark.range(1).select(F.explode(F.array(*[F.lit(float(x)) for x in coefficients])).alias("coef"))
+    rows.write.mode("overwrite").option("header", True).csv(path)
+
+
 def write_region_seed(regions: DataFrame, path: str) -> None:
     """Write regions in the seed layout (fields the model does not use left empty)."""
     point = F.format_string("POINT (%s, %s)", F.col("longitude").cast("string"), F.col("latitude").cast("string"))
