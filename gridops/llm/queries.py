@@ -28,7 +28,7 @@ def op1_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_spans(_table(spark, sf_dir, "documents"), keep=["doc_id"])
     counts = [F.expr(f"cast(size(filter(base, x -> x.kind = {i})) as long)").alias(f"n_{k}") for i, k in enumerate(pii.KINDS)]
-    return found.select("row.doc_id", *counts, F.sha2(pii.listed("base"), 256).alias("base_sha256"), pii.listed("spans").alias("spans"))
+    return found.select("row.doc_id", *counts, F.sha2(pii.listed("base"), 256).alias("base_sha256"), pii.listed("spans").alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
