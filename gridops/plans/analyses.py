@@ -19,11 +19,13 @@ ANALYSES = {
         UNION ALL SELECT 'raw_daily', count(*), count(DISTINCT point_no), count(DISTINCT region_name) FROM {v}raw_daily
         UNION ALL SELECT 'grid_points', count(*), count(DISTINCT point_no), count(DISTINCT region_name) FROM {v}grid_points
         UNION ALL SELECT 'regions', count(*), 0L, count(DISTINCT region_name) FROM {v}regions""",
-    # regions of the seed that no hourly reading is from
+    # regions of the seed that no hourly reading is from; a seed row without a name only if no
+    # reading has one (as NOT IN reads, which is always a broadcast of all readings' names)
     "sql_missing_regions": """
-        SELECT region_name, count(region_name) AS total FROM {v}regions
-        WHERE region_name NOT IN (SELECT region_name FROM {v}raw_hourly WHERE region_name IS NOT NULL)
-        GROUP BY region_name""",
+        SELECT r.region_name, count(r.region_name) AS total FROM {v}regions r
+        LEFT ANTI JOIN (SELECT DISTINCT region_name FROM {v}raw_hourly) h ON r.region_name = h.region_name
+        WHERE r.region_name IS NOT NULL OR NOT EXISTS (SELECT 1 FROM {v}raw_hourly WHERE region_name IS NOT NULL)
+        GROUP BY r.region_name""",
     # one point's indicators by hour
     "sql_point_generation": """
         SELECT grid_point_id, region_id, date_id, hour_id, solar_score, wind_score, kpi_potential_score
