@@ -6,7 +6,8 @@ very staging rows and the hour dimension holds every hour, so those inner joins
 can only drop rows whose timestamp is null, which a filter does for free. Only
 the grid-point join filters for real. Air quality is the exception: its dates
 are checked against the weather-derived date dimension with a semi-join on the
-date, without a hint: Spark decides by its size.
+date. Its rows are calendar dates, few however large the readings are, so it is broadcast:
+a shuffle by date would put all readings into a task per date.
 """
 
 from __future__ import annotations
@@ -67,5 +68,5 @@ def fact_hourly_air_quality(stg_air: DataFrame, dim_gp: DataFrame, dim_date: Dat
     f = f.join(_points(dim_gp), ["region_id", "point_no"], "inner")
     f = _hour_keys(f)
     # a reading on a date the weather never saw is dropped, as the date join does
-    f = f.join(dim_date.select("date"), "date", "left_semi")
+    f = f.join(F.broadcast(dim_date.select("date")), "date", "left_semi")
     return f.select("grid_point_id", "region_id", "point_no", "region_name", "date", "date_id", "hour_id", *AIR_MEASURES)

@@ -30,3 +30,22 @@ def test_missing_regions_without_a_broadcast_of_all_readings(spark, no_small_tab
     assert sorted(map(tuple, df.collect()), key=str) == sorted(expected, key=str)
     old = spark.sql("SELECT region_name, count(region_name) AS total FROM sizes_regions WHERE region_name NOT IN (SELECT region_name FROM sizes_raw_hourly WHERE region_name IS NOT NULL) GROUP BY region_name")
     assert "BroadcastExchange" in plan_of(old) and sorted(map(tuple, old.collect()), key=str) == sorted(expected, key=str)
+
+
+def test_dates_of_air_quality_are_not_shuffled(spark, no_small_tables):
+    from gridops.operators.facts import fact_hourly_air_quality
+
+    air = spark.createDataFrame([], "ts timestamp_ntz, region_name string, point_no long, pm10 double, pm2_5 double, dust double, region_id long, date date, hour_id long")
+    points = spark.createDataFrame([], "grid_point_id string, region_id long, point_no long, region_name string")
+    plan = plan_of(fact_hourly_air_quality(air, points, spark.createDataFrame([], "date date")))
+    assert "hashpartitioning(date" not in plan
+
+
+def test_newest_copies_are_aggregated_by_shuffle_partition(spark):
+    from gridops.operators.dedup import latest_reading
+
+    df = spark.createDataFrame([(1, 1, "old"), (1, 2, "new"), (2, 1, "one"), (None, 3, "none")], "k long, load long, v string")
+    found = latest_reading(df, ["k"], "load")
+    plan = plan_of(found)
+    assert plan.count("Exchange hashpartitioning(k") == 1 and plan.rindex("Aggregate") < plan.index("Exchange hashpartitioning(k")
+    assert sorted(map(tuple, found.collect()), key=str) == [(1, 2, "new"), (2, 1, "one"), (None, 3, "none")]
