@@ -1,11 +1,13 @@
 """Latest reading per key (overlapping refreshes land the same reading twice).
 
-Implemented as a keyed aggregate, one ``max_by(column, load order)`` per column,
-rather than a ``row_number`` window:
-
-* the aggregate combines map-side, so a key holding a huge share of all copies is
-  reduced to one row per map task before the shuffle, and no task ever sorts or
-  holds one whole group;
+Implemented as a keyed aggregate, one ``max_by(column, load order)`` per column, on rows
+shuffled by their key, rather than a ``row_number`` window:
+
+* a task aggregates one shuffle partition, whose size the shuffle bounds. A combine before
+  the shuffle would hold the keys of a whole input split in memory, each column with a copy
+  of the load order beside it, and shuffle those; readings rarely have many copies in one
+  split, so it would save few rows;
+* copies are folded as they come, so no task ever holds one whole group;
 * one aggregate per column (instead of one struct of the row) lets Catalyst drop
   the columns no consumer reads, so a KPI that needs three measures only
   shuffles three measures.
@@ -29,4 +31,4 @@ def latest_reading(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFr
         for c in df.columns
         if c not in keys
     ]
-    return df.groupBy(*keys).agg(*aggs).select(*df.columns)
+    return df.repartition(*keys).groupBy(*keys).agg(*aggs).select(*df.columns)
