@@ -6,12 +6,13 @@ version 6 addresses, cards and national phone numbers with other separators), wh
 may overlap others. A base match that passes its check (address parts up to 255, Luhn and 13
 to 19 digits, 9 to 15 digits) is always a span; one that fails is never tried again.
 
-Gradient-boosted trees learn from the base matches of all documents (passed or failed; at
-most ``max_rows`` on average, picked by a hash) on format features (digits, groups, signs,
-checks) and context features (neighbouring characters, key words before). The trees become
-one SQL expression, so all texts are judged in one pass without a shuffle. On a quarter of
-the learning rows, kept from the trees, each kind's threshold is calibrated: the lowest
-grid score above which the share of true ones is at least ``precision``. Loose candidates
+Gradient-boosted trees learn from the base matches of all documents (passed or failed), none
+left out, on format features (digits, groups, signs, checks) and context features
+(neighbouring characters, key words before); matches of equal features are one row that
+weighs as many. The trees become one SQL expression, so all texts are judged in one pass
+without a shuffle. Each kind's threshold is calibrated on all base matches too, each half
+scored by trees that learned from the other: the lowest grid score above which the share of
+true ones is at least ``precision``. Loose candidates
 that reach it and overlap no base span are added; of overlapping additions the best stays.
 Without both outcomes to learn from, or without such a threshold, nothing is added.
 
@@ -21,6 +22,8 @@ Every input row gives one output row; repeated rows each get theirs.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
@@ -127,32 +130,43 @@ def _feature_sql() -> str:
     return "struct(" + ", ".join(f"coalesce(cast({sql} as double), 0d) as {name}" for name, sql in FEATURES.items()) + ")"
 
 
-def learn(docs: DataFrame, max_rows: int = 20000, precision: float = 0.98) -> tuple[str | None, dict[str, float]]:
+def _fit(cells: DataFrame, names: list[str], bins: int) -> str:
+    vectors = VectorAssembler(inputCols=names, outputCol="features").transform(cells).select("features", "label", "weight")
+    trees = GBTClassifier(maxIter=8, maxDepth=3, maxBins=bins, seed=7, labelCol="label", featuresCol="features", weightCol="weight", cacheNodeIds=False)
+    return ensemble_sql(trees.fit(vectors), names)
+
+
+def learn(docs: DataFrame, precision: float = 0.98) -> tuple[str | None, dict[str, float]]:
     """The score's SQL and each kind's threshold, for the kinds that have one."""
+    names = list(FEATURES)
     found = _candidates(docs, ["text"]).select(F.explode("base").alias("x")).select("x.kind", "x.passed", F.xxhash64("x.match", "x.before").alias("h"), F.expr(_feature_sql()).alias("f"))
-    found = c.written(found, "pii-candidates")
-    total = found.count()
-    share = min(1.0, max_rows / max(total, 1))
-    picked = found.filter(F.pmod("h", F.lit(1 << 20)) < share * (1 << 20)).withColumn("fold", F.pmod(F.shiftright("h", 24), F.lit(4)))
-    picked = picked.select("kind", F.col("passed").cast("double").alias("label"), "fold", "f.*")
-    fit = picked.filter("fold > 0")
-    if fit.select("label").distinct().count() < 2:
+    found = found.select("kind", F.col("passed").cast("double").alias("label"), F.pmod(F.shiftright("h", 24), F.lit(2)).alias("half"), "f.*")
+    # candidates of equal features are one row of their number: no more than the trees tell apart
+    cells = c.written(found.groupBy("kind", "label", "half", *names).agg(F.count(F.lit(1)).cast("double").alias("weight")), "pii-candidates")
+    sides = cells.groupBy("half", "label").agg(F.count(F.lit(1)).alias("n")).collect()
+    if len({r["label"] for r in sides}) < 2:
+        return None, {}
+    # Spark looks for split points in 10,000 rows, or the square of the bins: in all of these
+    rows = sum(r["n"] for r in sides)
+    bins = 32 if rows <= 10000 else math.isqrt(rows) + 1
+    judged = None
+    for half in (0, 1):
+        if len({r["label"] for r in sides if r["half"] == 1 - half}) == 2:
+            score = _fit(cells.filter(F.col("half") == 1 - half), names, bins)
+            part = cells.filter(F.col("half") == half).select("kind", "label", "weight", F.struct(*names).alias("f")).select("kind", "label", "weight", F.expr(score).alias("score"))
+            judged = part if judged is None else judged.unionByName(part)
+    if judged is None:
         return None, {}
-    names = list(FEATURES)
-    vectors = VectorAssembler(inputCols=names, outputCol="features").transform(fit).select("features", "label")
-    model = GBTClassifier(maxIter=8, maxDepth=3, maxBins=32, seed=7, labelCol="label", featuresCol="features", cacheNodeIds=False).fit(vectors.coalesce(4))
-    score = ensemble_sql(model, names)
-    judged = picked.filter("fold = 0").withColumn("f", F.struct(*names)).withColumn("score", F.expr(score))
     grid = judged.withColumn("t", F.explode(F.array(*[F.lit(k / 20) for k in range(10, 20)]))).filter("score >= t")
-    rates = grid.groupBy("kind", "t").agg(F.count("*").alias("n"), F.avg("label").alias("true"))
+    rates = grid.groupBy("kind", "t").agg(F.sum("weight").alias("n"), (F.sum(F.col("label") * F.col("weight")) / F.sum("weight")).alias("true"))
     best = rates.filter((F.col("true") >= precision) & (F.col("n") >= 10)).groupBy("kind").agg(F.min("t").alias("t")).collect()
-    return score, {KINDS[r["kind"]]: r["t"] for r in best}
+    return _fit(cells, names, bins), {KINDS[r["kind"]]: r["t"] for r in best}
 
 
-def find_spans(docs: DataFrame, keep: list[str] | None = None, max_rows: int = 20000, precision: float = 0.98) -> DataFrame:
+def find_spans(docs: DataFrame, keep: list[str] | None = None, precision: float = 0.98) -> DataFrame:
     """``row`` (a struct of the columns in ``keep``, by default all), text, ``base`` and
     ``spans`` (base and added), arrays of (kind, start, end) in order of kind and start."""
-    score, thresholds = learn(docs, max_rows, precision)
+    score, thresholds = learn(docs, precision)
     rows = _candidates(docs, keep or docs.columns)
     flat = "array_sort(transform(filter(base, x -> x.passed), x -> struct(x.kind as kind, x.start as start, x.end as end)))"
     rows = rows.withColumn("base", F.expr(flat))

@@ -243,6 +243,17 @@ def test_trees_add_look_alikes_and_leave_clean_texts(spark):
     assert red[1] == "please call [PHONE] today" and red[1001] == rows[-1][1]
 
 
+def test_trees_and_thresholds_come_from_all_matches(spark, monkeypatch):
+    text = "concat('please call +1 (415) 555-', 1000 + id % 9000, if(id % 3 = 0, concat(', number 4111 1111 1111 ', 1000 + id % 9000), ''), ' and x', id, '@b.c today')"
+    docs = spark.range(30_000).selectExpr("id as doc_id", f"{text} as text")
+    fitted, fit = [], pii._fit
+    monkeypatch.setattr(pii, "_fit", lambda cells, *rest: fitted.append(cells.agg(F.sum("weight")).first()[0]) or fit(cells, *rest))
+    score, least = pii.learn(docs)
+    assert score and {"email", "phone"} <= set(least)
+    # two halves, then all: an address and a phone number in each text, a card in a third
+    assert fitted[0] + fitted[1] == fitted[2] >= 70_000
+
+
 def test_pii_plan_is_native(spark):
     df = spark.createDataFrame([(1, "a@b.c")], "doc_id long, text string")
     for out in (pii.find_spans(df), mixing.mix_plan(df.withColumn("source", F.lit("s")))):
