@@ -47,6 +47,6 @@ def start_ingest(stream: DataFrame, sink_dir: str, checkpoint_dir: str, once: bo
 
 
 def current_readings(table: DataFrame) -> DataFrame:
-    """The newest copy of each reading in the ingested table."""
-    newest = latest_reading(table.withColumn(LOAD, F.struct("load", LOAD)), KEY, LOAD)
-    return newest.drop(LOAD, "load")
+    """The newest copy of each reading in the ingested table: a micro-batch holds one copy of
+    a reading, so the number of its folder tells the newest."""
+    return latest_reading(table.drop(LOAD), KEY, "load").drop("load")
