@@ -59,7 +59,8 @@ class ModelGraph:
     if wanted the ``coefficients`` seed of the lattice (``seeds.read_coefficients``).
 
     ``materialize`` writes every model once. With ``buckets`` the two hourly facts become
-    tables of so many buckets of their join key, which join without an exchange.
+    tables of so many buckets of their join key, which join without an exchange. ``unique``
+    names raw tables (raw_hourly, raw_daily) that hold each reading once already.
     """
 
     RAW = ("regions", "raw_hourly", "raw_daily", "raw_air_quality")
@@ -72,12 +73,14 @@ class ModelGraph:
         materialize: bool = False,
         sources: dict[str, DataFrame] | None = None,
         buckets: int = 0,
+        unique: tuple[str, ...] = (),
     ):
         if sf_dir is None and not sources:
             raise ValueError("give sf_dir or sources")
         self.spark, self.sf_dir, self.params = spark, sf_dir, params
         self.materialize, self.buckets = materialize, buckets
         self.sources = dict(sources or {})
+        self.unique = tuple(unique)
 
     def _raw(self, name: str) -> DataFrame:
         if name in self.sources:
@@ -116,11 +119,11 @@ class ModelGraph:
 
     @model
     def stg_hourly(self) -> DataFrame:
-        return staging.stg_hourly(self.raw_hourly, self.params)
+        return staging.stg_hourly(self.raw_hourly, self.params, dedupe=False if "raw_hourly" in self.unique else None)
 
     @model
     def stg_daily(self) -> DataFrame:
-        return staging.stg_daily(self.raw_daily, self.params)
+        return staging.stg_daily(self.raw_daily, self.params, dedupe=False if "raw_daily" in self.unique else None)
 
     @model
     def stg_air_quality(self) -> DataFrame:

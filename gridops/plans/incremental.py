@@ -85,10 +85,13 @@ class Marts:
 
     def _rebuild(self, days: set[date | None]) -> None:
         sources = {n: self.state(n).filter(_on(DAY, days)).drop(DAY) for n in STATE}
-        g = ModelGraph(self.spark, params=self.params, sources={"regions": self.regions, **sources}, materialize=True)
+        # models are written only where more than one mart reads them; the state of the weather
+        # holds each reading once (that of air quality has its names untrimmed)
+        shared = sum(name != "fact_daily_weather" for name in self.marts) > 1
+        g = ModelGraph(self.spark, params=self.params, sources={"regions": self.regions, **sources}, materialize=shared, unique=("raw_hourly", "raw_daily"))
         dated = {d for d in days if d is not None}  # facts have no rows without a date
         for name in self.marts:
-            sinks.replace_dates(self.spark, getattr(g, name), f"{self.root}/marts/{name}", "date", dated)
+            sinks.replace_dates(self.spark, getattr(g, name), f"{self.root}/marts/{name}", "date", dated, written=shared)
 
 
 def _on(column: str, days: set[date | None]) -> Column:

@@ -34,14 +34,18 @@ def write_mart(df: DataFrame, path: str, partition_by: str = "date", cluster_by:
 
 
 def replace_dates(
-    spark: SparkSession, df: DataFrame, path: str, column: str, days: Iterable[date | None], cluster_by: str | None = None, files: int = 8
+    spark: SparkSession, df: DataFrame, path: str, column: str, days: Iterable[date | None], cluster_by: str | None = None, files: int = 8,
+    written: bool = False,
 ) -> None:
     """Replaces the folders of ``days`` by the rows of ``df``, which has rows of these dates
-    only, and leaves all others alone. A date left without rows gets an empty file."""
+    only, and leaves all others alone. A date left without rows gets an empty file. Rows are
+    staged as they come and dealt once; ``written`` ones, read from other files, need not be."""
     cluster_by = cluster_by or next(x for x in ("grid_point_id", "region_id", "region_name") if x in df.columns)
-    staged = scratch_path(spark, "replaced")
-    _dealt(df, column, cluster_by, files).parquet(staged)
-    rows = spark.read.schema(df.schema).parquet(staged)
+    rows = df
+    if not written:
+        staged = scratch_path(spark, "replaced")
+        df.write.parquet(staged)
+        rows = spark.read.schema(df.schema).parquet(staged)
     here = {r[0] for r in rows.select(column).distinct().collect()}
     _dealt(rows, column, cluster_by, files).option("partitionOverwriteMode", "dynamic").parquet(path)
     for day in set(days) - here:
