@@ -49,3 +49,40 @@ def test_newest_copies_are_aggregated_by_shuffle_partition(spark):
     plan = plan_of(found)
     assert plan.count("Exchange hashpartitioning(k") == 1 and plan.rindex("Aggregate") < plan.index("Exchange hashpartitioning(k")
     assert sorted(map(tuple, found.collect()), key=str) == [(1, 2, "new"), (2, 1, "one"), (None, 3, "none")]
+
+
+def test_ingested_readings_are_shuffled_without_their_load(spark):
+    from gridops.sources.payloads import HOURLY_VARIABLES
+    from gridops.streaming import ingest
+
+    columns = "ts timestamp_ntz, region_id long, region_name string, point_no long, latitude double, longitude double, " + ", ".join(f"{c} double" for _, c in HOURLY_VARIABLES)
+    table = spark.createDataFrame([], f"{columns}, {ingest.LOAD} struct<time:timestamp,file:string>, load int")
+    plan = plan_of(ingest.current_readings(table))
+    assert plan.rindex("Aggregate") < plan.index("Exchange hashpartitioning(region_id") and f"{ingest.LOAD}#" not in plan[plan.index("Exchange"):].split("Scan")[0]
+
+
+def test_marts_that_share_no_model_write_none(spark, tmp_path, monkeypatch):
+    from datetime import datetime
+
+    from gridops.plans import graph
+    from gridops.plans.incremental import Marts
+    from gridops.sources.schemas import RAW_SCHEMAS
+
+    regions = spark.createDataFrame([(1, "R", 14.0, -15.0, 400.0)], RAW_SCHEMAS["regions"])
+    reading = [(i, datetime(2026, 8, 20, i), 1, "R", 1, 14.0, -15.0, 25.0, 0.0, 1.0, 1.0, 10.0, 0.0, 0.0, 9000.0, 1.0) for i in (1, 2)]
+    made = []
+    monkeypatch.setattr(graph, "scratch_path", lambda s, name: made.append(name) or str(tmp_path / f"{name}-{len(made)}"))
+    for marts, count in ((("fact_daily_weather", "kpi_maintenance"), 0), (("fact_hourly_weather", "kpi_maintenance"), 1)):
+        built = Marts(spark, str(tmp_path / str(count)), regions, marts=marts)
+        built.apply({"raw_hourly": spark.createDataFrame(reading, RAW_SCHEMAS["raw_hourly"])})
+        assert built.mart("kpi_maintenance").count() == 2 and bool(made) == bool(count)
+
+
+def test_rejects_are_read_without_parsing_payloads_again(spark, tmp_path):
+    from gridops.sources import payloads as pl
+
+    pl.land(spark.createDataFrame([], pl.HOURLY_SCHEMA), str(tmp_path / "landed"))
+    landed = pl.read_landed(spark, str(tmp_path / "landed"), pl.HOURLY_SCHEMA)
+    grid = spark.createDataFrame([(1, "R", 1)], "region_id long, region_name string, point_no long")
+    accepted, rejects = pl.split_complete(landed, "hourly", pl.HOURLY_VARIABLES, grid, "region_id")
+    assert "FileScan json" not in plan_of(rejects) and plan_of(accepted).count("FileScan json") == 1
