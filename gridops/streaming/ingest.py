@@ -4,7 +4,7 @@ Refreshes overlap (each one re-lands the last days and replaces forecasts by
 observations), so the same reading arrives more than once and the newest load must win.
 The stream explodes each new payload file inside the executors and appends every reading
 with its load (the file's time and name): no watermark, no state, nothing is dropped as
-late. ``current_readings`` reads the newest copy of each key, by the same pre-aggregated
+late. ``current_readings`` reads the newest copy of each key, by the same keyed
 maximum as staging; a micro-batch's own repeats are reduced before they are written.
 """
 
