@@ -2,8 +2,8 @@
 
 Each property is a lazy DataFrame. With ``sources`` building the graph runs no job;
 with ``sf_dir`` the tables that a model reads are landed first (see
-``sources.landing``). Join sides carry no hints: Spark's byte threshold and AQE
-decide. Consumers select the columns they need and Catalyst prunes everything else
+``sources.landing``). Join sides carry no hints but for hours and dates:
+Spark's byte threshold and AQE decide. Consumers select the columns they need and Catalyst prunes everything else
 down to the parquet scan.
 """
 
