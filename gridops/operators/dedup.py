@@ -3,7 +3,8 @@
 Implemented as a keyed aggregate, one ``max_by(column, load order)`` per column, on rows
 shuffled by their key, rather than a ``row_number`` window:
 
-* a task aggregates one shuffle partition, whose size the shuffle bounds. A combine before
+* a task aggregates one shuffle partition; their number follows the size of the input
+  (``operators.spread``), so what a task holds does not grow with it. A combine before
   the shuffle would hold the keys of a whole input split in memory, each column with a copy
   of the load order beside it, and shuffle those; readings rarely have many copies in one
   split, so it would save few rows;
@@ -22,13 +23,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridops.operators.spread import by_key
 
-def latest_reading(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
-    """Keep, per ``keys``, the row with the greatest ``order_col`` (newest load)."""
+
+def latest_reading(df: DataFrame, keys: Sequence[str], order_col: str, by: Sequence[str] = ()) -> DataFrame:
+    """Keep, per ``keys``, the row with the greatest ``order_col`` (newest load).
+
+    Rows are shuffled by ``keys``, or by those of them in ``by`` if a join or grouping on
+    these follows, which then needs no shuffle of its own."""
     order = F.col(order_col)
     aggs = [
         (F.max(order) if c == order_col else F.max_by(F.col(c), order)).alias(c)
         for c in df.columns
         if c not in keys
     ]
-    return df.repartition(*keys).groupBy(*keys).agg(*aggs).select(*df.columns)
+    return by_key(df, *(by or keys)).groupBy(*keys).agg(*aggs).select(*df.columns)

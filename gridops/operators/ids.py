@@ -1,6 +1,6 @@
 """Dense, monotone row ids in load order, continuing after an existing table's max.
 
-The batch is range-sorted and written once to the shared folder, each row with its
+The batch is range-sorted (by partitions of bounded size) and written once to the shared folder, each row with its
 partition and its position there (from ``monotonically_increasing_id``), so a lost
 executor cannot renumber it. Per-partition counts (one row per partition) are
 prefix-summed in a window over that small table alone, and every row adds its
@@ -9,11 +9,12 @@ partition's offset when the written table is read.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridops.operators.spread import in_order
 from gridops.session import scratch_path
 
 
@@ -30,17 +31,22 @@ def append_ids(
     id_col: str,
     existing: DataFrame | None = None,
     keep: Sequence[str] | None = None,
+    derive: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """``batch`` (its columns in ``keep``, by default all) plus ``id_col`` = max(existing
     ids, or 0) + 1, 2, ... in ``order``. The batch is written here and now.
 
     ``order`` must be a total order over the batch for the ids to be reproducible.
+    ``derive``, a projection row by row, is applied to the sorted rows, so that the sort moves
+    what they are derived from; ``keep`` then names derived columns.
     """
     spark = batch.sparkSession
     base = max_id(existing, id_col)
-    columns = list(keep or batch.columns)
+    rows = in_order(batch, *order)
+    rows = derive(rows) if derive else rows
+    columns = list(keep or rows.columns)
     located = (
-        batch.orderBy(*order)
+        rows
         .withColumn("_pid", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id() - F.shiftleft(F.col("_pid").cast("long"), 33))
         .select(*columns, "_pid", "_pos")

@@ -16,6 +16,10 @@ HOURLY_KEY = ("region_id", "point_no", "ts")
 HOURLY_GROUP = (*HOURLY_KEY, "region_name")
 DAILY_KEY = ("region_id", "point_no", "date")
 DAILY_GROUP = (*DAILY_KEY, "region_name")
+# What they are shuffled by: facts are joined to points and payloads grouped by them. A point
+# has at most one reading per timestamp, so the largest is bounded by the period covered.
+POINT = ("region_id", "point_no")
+AIR_POINT = ("region_name", "point_no")
 AIR_KEY = ("region_name", "point_no", "ts")
 
 
@@ -25,7 +29,7 @@ def with_grain(df: DataFrame) -> DataFrame:
 
 def stg_hourly(raw: DataFrame, params: Params = DEFAULT, dedupe: bool | None = None) -> DataFrame:
     dedupe = params.dedupe_readings if dedupe is None else dedupe
-    df = with_grain(latest_reading(raw, HOURLY_GROUP, "id_hourly") if dedupe else raw)
+    df = with_grain(latest_reading(raw, HOURLY_GROUP, "id_hourly", by=POINT) if dedupe else raw)
     vis_km = F.col("visibility_m") / F.lit(1000.0)
     return df.select(
         "id_hourly", "ts", "region_id", "region_name", "point_no", "latitude", "longitude",
@@ -43,7 +47,7 @@ def stg_hourly(raw: DataFrame, params: Params = DEFAULT, dedupe: bool | None = N
 
 def stg_daily(raw: DataFrame, params: Params = DEFAULT, dedupe: bool | None = None) -> DataFrame:
     dedupe = params.dedupe_readings if dedupe is None else dedupe
-    df = latest_reading(raw, DAILY_GROUP, "id_daily") if dedupe else raw
+    df = latest_reading(raw, DAILY_GROUP, "id_daily", by=POINT) if dedupe else raw
     sunny = params.daily_sunny_threshold if params.daily_sunny_threshold is not None else params.radiation_sunny_threshold
     cloudy = params.daily_cloudy_threshold if params.daily_cloudy_threshold is not None else params.radiation_cloudy_threshold
     return df.select(
@@ -64,6 +68,6 @@ def stg_air_quality(
     g = grid.select("region_name", "point_no", "region_id")
     df = df.join(g, ["region_name", "point_no"], "inner")
     if dedupe:
-        df = latest_reading(df, HOURLY_GROUP, "load_seq")
+        df = latest_reading(df, HOURLY_GROUP, "load_seq", by=POINT)
     df = with_grain(df)
     return df.select("ts", "region_name", "point_no", "pm10", "pm2_5", "dust", "region_id", "date", "hour_id")

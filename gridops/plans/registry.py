@@ -282,7 +282,7 @@ def _hourly_landing(g: ModelGraph):
     from gridops.sources import payloads as pl
 
     pl.require_grid(g.grid_points)
-    latest = staging.latest_reading(g.raw_hourly, staging.HOURLY_GROUP, "id_hourly").drop("id_hourly")
+    latest = staging.latest_reading(g.raw_hourly, staging.HOURLY_GROUP, "id_hourly", by=staging.POINT).drop("id_hourly")
     landed = _landed(g, fp.hourly_payloads(latest, g.params.timezone), pl.HOURLY_SCHEMA, "landed-hourly")
     return pl.split_complete(landed, "hourly", pl.HOURLY_VARIABLES, _expected(g, "region_id"), "region_id")
 
@@ -292,7 +292,7 @@ def _air_landing(g: ModelGraph):
     from gridops.sources import payloads as pl
 
     trimmed = g.raw_air_quality.withColumn("region_name", F.trim("region_name"))
-    latest = staging.latest_reading(trimmed, staging.AIR_KEY, "load_seq").drop("load_seq")
+    latest = staging.latest_reading(trimmed, staging.AIR_KEY, "load_seq", by=staging.AIR_POINT).drop("load_seq")
     p = fp.hourly_payloads(latest, g.params.timezone, pl.AIR_VARIABLES, keyed_by_id=False)
     landed = _landed(g, p, pl.AIR_SCHEMA, "landed-air")
     return pl.split_complete(landed, "hourly", pl.AIR_VARIABLES, _expected(g, "region_name"), "region_name")
@@ -319,7 +319,7 @@ def _payload_daily(g: ModelGraph) -> DataFrame:
     from gridops.sources import fixture_payloads as fp
     from gridops.sources import payloads as pl
 
-    latest = staging.latest_reading(g.raw_daily, staging.DAILY_KEY, "id_daily").drop("id_daily")
+    latest = staging.latest_reading(g.raw_daily, staging.DAILY_KEY, "id_daily", by=staging.POINT).drop("id_daily")
     landed = _landed(g, fp.daily_payloads(latest, g.params.timezone), pl.DAILY_SCHEMA, "landed-daily")
     accepted, _ = pl.split_complete(
         landed, "daily", pl.DAILY_VARIABLES, _expected(g, "region_id"), "region_id", per_day=False
@@ -365,9 +365,9 @@ def _newest(g: ModelGraph) -> dict[str, DataFrame]:
     """The newest copy of each reading, by feed."""
     trimmed = g.raw_air_quality.withColumn("region_name", F.trim("region_name"))
     return {
-        "hourly": staging.latest_reading(g.raw_hourly, staging.HOURLY_GROUP, "id_hourly").drop("id_hourly"),
-        "daily": staging.latest_reading(g.raw_daily, staging.DAILY_KEY, "id_daily").drop("id_daily"),
-        "air_quality": staging.latest_reading(trimmed, staging.AIR_KEY, "load_seq").drop("load_seq"),
+        "hourly": staging.latest_reading(g.raw_hourly, staging.HOURLY_GROUP, "id_hourly", by=staging.POINT).drop("id_hourly"),
+        "daily": staging.latest_reading(g.raw_daily, staging.DAILY_KEY, "id_daily", by=staging.POINT).drop("id_daily"),
+        "air_quality": staging.latest_reading(trimmed, staging.AIR_KEY, "load_seq", by=staging.AIR_POINT).drop("load_seq"),
     }
 
 
@@ -481,7 +481,7 @@ def _stream_hourly(g: ModelGraph) -> DataFrame:
     from gridops.sources import payloads as pl
     from gridops.streaming import ingest
 
-    latest = staging.latest_reading(g.raw_hourly, staging.HOURLY_GROUP, "id_hourly").drop("id_hourly")
+    latest = staging.latest_reading(g.raw_hourly, staging.HOURLY_GROUP, "id_hourly", by=staging.POINT).drop("id_hourly")
     # both refreshes land the same payloads: they are derived once
     made = scratch_path(g.spark, "stream-payloads")
     fp.hourly_payloads(latest, g.params.timezone).write.parquet(made)

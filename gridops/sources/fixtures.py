@@ -24,6 +24,11 @@ from gridops.functions.columns import idiv
 BASE_TS = "2026-08-20 00:00:00"
 BASE_DATE = "2026-08-20"
 REGION_NAME_PREFIX = "Supplier#"
+# what orders the loads of hourly readings
+LOAD_ORDER = (
+    "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity",
+    "l_discount", "l_tax", "l_shipdate", "l_returnflag", "l_linestatus",
+)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,7 +80,11 @@ def regions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def raw_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw hourly weather readings; duplicates per (region, point, ts) are intended
     (overlapping refreshes). ``load_seq`` orders loads: a larger value is newer."""
-    li = read_table(spark, sf_dir, "lineitem")
+    return hourly_readings(read_table(spark, sf_dir, "lineitem"), F.struct(*LOAD_ORDER).alias("load_seq"))
+
+
+def hourly_readings(li: DataFrame, *more: Column) -> DataFrame:
+    """A reading of each row, with the columns ``more``."""
     k = F.col("l_suppkey")
     p = cents(F.col("l_extendedprice"))
     d = cents(F.col("l_discount"))
@@ -97,10 +106,7 @@ def raw_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(d >= 9, (d - 8) * F.lit(0.5)).otherwise(F.lit(0.0)).alias("precipitation_mm"),
         ((p % 101) * 250).cast("double").alias("visibility_m"),
         F.col("l_linenumber").cast("double").alias("weather_code_wmo"),
-        F.struct(
-            "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", "l_quantity",
-            "l_discount", "l_tax", "l_shipdate", "l_returnflag", "l_linestatus",
-        ).alias("load_seq"),
+        *more,
     )
 
 

@@ -37,9 +37,10 @@ def _written(spark: SparkSession, rows: DataFrame, name: str) -> DataFrame:
 
 def _land(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name == "raw_hourly":
-        raw = fixtures.raw_hourly(spark, sf_dir)
-        kept = [c for c in raw.columns if c != "load_seq"]
-        return append_ids(raw, ["load_seq"], "id_hourly", keep=kept).select("id_hourly", *kept)
+        # the source rows are sorted, and readings derived from them where they then are
+        source = fixtures.read_table(spark, sf_dir, "lineitem").select(*fixtures.LOAD_ORDER, "l_suppkey")
+        numbered = append_ids(source, fixtures.LOAD_ORDER, "id_hourly", derive=fixtures.hourly_readings)
+        return numbered.select("id_hourly", *[c for c in numbered.columns if c != "id_hourly"])
     derive = {"regions": fixtures.regions, "raw_daily": fixtures.raw_daily, "raw_air_quality": fixtures.raw_air_quality}
     return _written(spark, derive[name](spark, sf_dir), name)
 
