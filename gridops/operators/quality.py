@@ -131,9 +131,11 @@ def key_groups(df: DataFrame, checks: Sequence[Check]) -> tuple[DataFrame, list[
     def gid(columns) -> int:
         return sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in columns)
 
-    groups = df.groupingSets([list(s) for s in sets], *cols).agg(
-        F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_gid")
-    )
+    n = F.count(F.lit(1)).alias("_n")
+    if len(sets) == 1:  # a plain grouping: rows are shuffled without the number of their set
+        groups = df.groupBy(*cols).agg(n).withColumn("_gid", F.lit(0))
+    else:
+        groups = df.groupingSets([list(s) for s in sets], *cols).agg(n, F.grouping_id().alias("_gid"))
     hits = []
     for ch in checks:
         hit = (F.col("_gid") == gid(ch.columns)) & (F.col("_n") > 1)

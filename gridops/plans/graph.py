@@ -9,6 +9,8 @@ down to the parquet scan.
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Collection, Iterable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -23,10 +25,38 @@ from gridops.sources.schemas import conform
 #: What the weather and air facts are joined on, and bucketed by where they are built.
 JOIN_KEY = ("region_id", "point_no", "date", "hour_id")
 MODELS: list[str] = []
+#: The models that each model reads. ``VIEWS`` are computed row by row from one of them.
+READS = {
+    "grid_points": (), "stg_hourly": (), "stg_daily": (), "dim_date": (), "dim_hour": (),
+    "stg_air_quality": ("grid_points",),
+    "dim_grid_point": ("grid_points",),
+    "fact_hourly_weather": ("stg_hourly", "dim_grid_point"),
+    "fact_daily_weather": ("stg_daily", "dim_grid_point"),
+    "fact_hourly_air_quality": ("stg_air_quality", "dim_grid_point", "dim_date"),
+    "kpi_generation_potential": ("fact_hourly_weather",),
+    "kpi_grid_stability": ("fact_hourly_weather", "dim_hour"),
+    "kpi_dust_risk": ("fact_hourly_air_quality",),
+    "kpi_maintenance": ("fact_hourly_weather", "fact_hourly_air_quality", "dim_hour"),
+    "maintenance_windows": ("kpi_maintenance",),
+    "capacity_sizing": (),
+    "solar_coverage": ("fact_hourly_weather",),
+}
+VIEWS = ("kpi_generation_potential", "kpi_dust_risk")
+
+
+def shared_models(scans: Iterable[str]) -> frozenset[str]:
+    """The models to write for a job that scans the models ``scans`` (named once per scan):
+    those read more than once, but for views, each of which reads its model as often."""
+    times = Counter(scans)
+    for name in reversed(list(READS)):
+        # one that is written reads its models once, whatever reads it
+        n = times[name] if name in VIEWS else min(times[name], 1)
+        times.update({x: n for x in READS[name]})
+    return frozenset(n for n in READS if times[n] > 1 and n not in VIEWS)
 
 
 def model(fn=None, *, bucket_by: tuple[str, ...] = ()):
-    """A model of the graph: lazy by default; with ``materialize=True`` it is written
+    """A model of the graph: lazy by default; with ``materialize`` it is written
     once as parquet under the checkpoint root and read back (like a table
     materialisation), so later models and checks scan it instead of recomputing.
     With ``bucket_by`` it is then a table bucketed by these columns."""
@@ -36,7 +66,7 @@ def model(fn=None, *, bucket_by: tuple[str, ...] = ()):
 
     def build(self):
         df = fn(self)
-        if self.materialize:
+        if self.materialize is True or self.materialize and fn.__name__ in self.materialize:
             path = scratch_path(self.spark, f"model-{fn.__name__}")
             if bucket_by and self.buckets:
                 return sinks.write_bucketed(df, path.rsplit("/", 1)[1].replace("-", "_"), path, bucket_by, self.buckets)
@@ -58,7 +88,7 @@ class ModelGraph:
     ``raw_daily`` and ``raw_air_quality`` tables, e.g. ``spark.read.parquet(...)``, and
     if wanted the ``coefficients`` seed of the lattice (``seeds.read_coefficients``).
 
-    ``materialize`` writes every model once. With ``buckets`` the two hourly facts become
+    ``materialize`` writes every model once, or only those it names. With ``buckets`` the two hourly facts become
     tables of so many buckets of their join key, which join without an exchange. ``unique``
     names raw tables (raw_hourly, raw_daily) that hold each reading once already.
     """
@@ -70,7 +100,7 @@ class ModelGraph:
         spark: SparkSession,
         sf_dir: str | None = None,
         params: Params = DEFAULT,
-        materialize: bool = False,
+        materialize: bool | Collection[str] = False,
         sources: dict[str, DataFrame] | None = None,
         buckets: int = 0,
         unique: tuple[str, ...] = (),

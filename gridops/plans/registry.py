@@ -6,7 +6,7 @@ column set of its oracle (``gridops.plans.oracles``), aliased identically.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,13 +15,14 @@ from gridops.functions.columns import round_half_away, surrogate_key
 from gridops.operators import facts as facts_mod
 from gridops.operators import kpis, profile, staging
 from gridops.operators.quality import union_all
+from gridops.plans import suite
 from gridops.plans.graph import ModelGraph
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 
-def query(name: str, materialize: bool = False):
+def query(name: str, materialize: bool | Collection[str] = False):
     def deco(fn: Callable[[ModelGraph], DataFrame]) -> Callable[[ModelGraph], DataFrame]:
         QUERIES[name] = lambda spark, sf_dir: fn(ModelGraph(spark, sf_dir, materialize=materialize))
         return fn
@@ -220,7 +221,6 @@ def _drilldown_point(g: ModelGraph) -> DataFrame:
 def _dq(kind: str):
     def run(g: ModelGraph) -> DataFrame:
         from gridops.operators.quality import run_checks
-        from gridops.plans import suite
 
         checks = suite.checks_of(kind)
         return run_checks(suite.tables(g, suite.tables_used(checks)), checks)
@@ -228,16 +228,16 @@ def _dq(kind: str):
     return run
 
 
-# over built models: each model that the checks of a kind read is written once and scanned
+# over built models: each that the checks of a kind or its other models read more than once is
+# written once and scanned; one with a single reader is read as it is computed
 for _kind in ("not_null", "unique", "range", "value_set", "accepted", "relationship", "unique_combo"):
-    query(f"dq_{_kind}", materialize=True)(_dq(_kind))
+    query(f"dq_{_kind}", materialize=suite.shared(suite.checks_of(_kind)))(_dq(_kind))
 
 
-@query("dq_failures", materialize=True)
+@query("dq_failures", materialize=suite.shared(suite.CHECKS))
 def _dq_failures(g: ModelGraph) -> DataFrame:
     """The rows, values and keys behind every summary of the suite."""
     from gridops.operators.failures import failing_rows
-    from gridops.plans import suite
 
     return failing_rows(suite.tables(g, suite.tables_used(suite.CHECKS)), suite.CHECKS, suite.KEYS)
 
@@ -245,7 +245,6 @@ def _dq_failures(g: ModelGraph) -> DataFrame:
 def _quarantined(g: ModelGraph) -> tuple[DataFrame, DataFrame]:
     from gridops.operators.failures import quarantine
     from gridops.operators.quality import ROW_LOCAL
-    from gridops.plans import suite
 
     return quarantine(g.stg_hourly, [c for c in suite.CHECKS if c.table == "stg_hourly" and c.kind in ROW_LOCAL])
 

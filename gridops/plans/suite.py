@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from gridops.functions.columns import NIGHT, PERIODS, SUNSHINE_LABELS
 from gridops.operators.quality import (
+    ROW_LOCAL,
     Check,
     accepted,
     in_range,
@@ -19,7 +20,7 @@ from gridops.operators.quality import (
     unique_combo,
     value_set,
 )
-from gridops.plans.graph import ModelGraph
+from gridops.plans.graph import ModelGraph, shared_models
 
 GP, DD, DH = "dim_grid_point", "dim_date", "dim_hour"
 FHW, FDW, FAQ = "fact_hourly_weather", "fact_daily_weather", "fact_hourly_air_quality"
@@ -160,5 +161,14 @@ def tables(g: ModelGraph, names=None) -> dict[str, DataFrame]:
     return {k: f(g) for k, f in TABLES.items() if names is None or k in names}
 
 
+def shared(checks) -> frozenset[str]:
+    """The models that a run of ``checks`` reads more than once. A table is scanned once for
+    its row-local checks, once for its key checks, and for each relationship."""
+    scans = {(c.table, "row" if c.kind in ROW_LOCAL else "key") for c in checks if c.kind != "relationship"}
+    names = [t for t, _ in scans]
+    names += [t for c in checks if c.kind == "relationship" for t in (c.table, c.to_table)]
+    return shared_models(names)
+
+
 def checks_of(kind: str | None = None) -> list[Check]:
     return [c for c in CHECKS if kind is None or c.kind == kind]

@@ -64,3 +64,45 @@ def test_payloads_are_grouped_where_their_copies_were_folded(spark):
     raw = spark.createDataFrame([], RAW_SCHEMAS["raw_hourly"])
     latest = staging.latest_reading(raw, staging.HOURLY_GROUP, "id_hourly", by=staging.POINT).drop("id_hourly")
     assert plan_of(fp.hourly_payloads(latest, "UTC")).count("Exchange hashpartitioning(") == 1
+
+
+def test_one_set_of_keys_is_a_plain_grouping(spark):
+    from gridops.operators import quality as q
+
+    df = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (2, None), (3, "c")], "k long, s string")
+    one = q.run_checks({"t": df}, [q.unique_combo("t", "k", "s")])
+    assert "Expand" not in plan_of(one) and one.first()["failures"] == 2
+    two = q.run_checks({"t": df}, [q.unique("t", "s"), q.unique_combo("t", "k", "s")])
+    assert {r["check_name"]: r["failures"] for r in two.collect()} == {"unique:t.s": 1, "unique_combo:t.k+s": 2}
+
+
+def test_models_with_one_reader_are_not_written(spark, tmp_path, monkeypatch):
+    from gridops.plans import graph, suite
+
+    assert set(graph.READS) == set(graph.MODELS)
+    made = []
+    monkeypatch.setattr(graph, "scratch_path", lambda s, name: made.append(name) or str(tmp_path / name))
+    checks = suite.checks_of("unique_combo")
+    g = graph.ModelGraph(spark, "/root/testdata/sf0.001", materialize=suite.shared(checks))
+    tables = suite.tables(g, suite.tables_used(checks))
+    assert "model-fact_hourly_weather" in made and not {"model-stg_hourly", "model-kpi_generation_potential"} & set(made)
+    lazy = suite.tables(graph.ModelGraph(spark, "/root/testdata/sf0.001"), suite.tables_used(checks))
+    assert {n: t.count() for n, t in tables.items()} == {n: t.count() for n, t in lazy.items()}
+
+
+def test_models_read_are_those_declared(spark):
+    from gridops.plans import graph
+
+    for name in graph.MODELS:
+        g, read = graph.ModelGraph(spark, "/root/testdata/sf0.001"), []
+
+        class Seen(graph.ModelGraph):
+            def __getattribute__(self, x):
+                if x in graph.READS:
+                    read.append(x)
+                return getattr(g, x) if x in graph.READS else object.__getattribute__(self, x)
+
+        # the property wraps the model's own function
+        fn = next(c.cell_contents for c in getattr(type(g), name).func.__closure__ if callable(c.cell_contents))
+        fn(Seen(spark, "/root/testdata/sf0.001"))
+        assert set(read) == set(graph.READS[name]), name
