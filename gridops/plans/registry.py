@@ -15,6 +15,7 @@ from gridops.functions.columns import round_half_away, surrogate_key
 from gridops.operators import facts as facts_mod
 from gridops.operators import kpis, profile, staging
 from gridops.operators.quality import union_all
+from gridops.operators.spread import partitions
 from gridops.plans import suite
 from gridops.plans.graph import ModelGraph
 
@@ -521,11 +522,14 @@ def _incremental_marts(g: ModelGraph) -> DataFrame:
     return hours.union(days)
 
 
+#: Staging has one reader: the fact, which is joined to points as its copies were shuffled.
+BUILT = ("grid_points", "dim_grid_point", "fact_hourly_weather", "fact_hourly_air_quality")
+
+
 @query("kpi_maintenance_built")
 def _kpi_maintenance_built(g: ModelGraph) -> DataFrame:
     """The maintenance indicator from built facts, bucketed by their join key."""
-    buckets = int(g.spark.conf.get("spark.sql.shuffle.partitions"))
-    built = ModelGraph(g.spark, g.sf_dir, params=g.params, materialize=True, buckets=buckets)
+    built = ModelGraph(g.spark, g.sf_dir, params=g.params, materialize=BUILT, buckets=partitions(g.raw_hourly))
     return kpis.kpi_maintenance(built.fact_hourly_weather, built.fact_hourly_air_quality, built.dim_hour, g.params).drop("date")
 
 
