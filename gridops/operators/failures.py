@@ -74,8 +74,15 @@ def _repeated(df: DataFrame, table: str, checks: Sequence[q.Check]) -> DataFrame
 def _orphans(tables: Mapping[str, DataFrame], c: q.Check, key: Sequence[str]) -> DataFrame:
     parent = tables[c.to_table].select(F.col(c.to_column).alias("_parent")).distinct()
     child = tables[c.table].filter(F.col(c.column).isNotNull())
+    # keys meet their parents, not rows; what has none is a table, mostly small enough for
+    # Spark to broadcast, so that the rows are scanned for it and not shuffled
+    orphans = child.select(F.col(c.column).alias("_key")).distinct()
+    orphans = orphans.join(parent, F.col("_key") == F.col("_parent"), "left_anti")
+    path = scratch_path(child.sparkSession, "orphans")
+    orphans.write.parquet(path)
+    orphans = child.sparkSession.read.schema(orphans.schema).parquet(path)
     child = child.select(F.col(c.column).alias("_child"), key_text(key).alias("row_key"))
-    lost = child.join(parent, F.col("_child") == F.col("_parent"), "left_anti")
+    lost = child.join(orphans, F.col("_child") == F.col("_key"), "left_semi")
     return lost.select(F.lit(c.name).alias("check_name"), F.lit(c.table).alias("table_name"), "row_key", F.col("_child").cast("string").alias("value"))
 
 

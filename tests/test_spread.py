@@ -76,6 +76,22 @@ def test_one_set_of_keys_is_a_plain_grouping(spark):
     assert {r["check_name"]: r["failures"] for r in two.collect()} == {"unique:t.s": 1, "unique_combo:t.k+s": 2}
 
 
+def test_rows_without_a_parent_are_found_without_a_shuffle_of_all(spark):
+    from gridops.operators import quality as q
+    from gridops.operators.failures import failing_rows
+
+    child = spark.range(3000).selectExpr("id", "if(id < 2990, id % 7, if(id < 2998, 7 + id % 2, null)) as parent")
+    parent = spark.range(7).selectExpr("id as key")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4k")
+    try:
+        lost = failing_rows({"c": child, "p": parent.union(spark.range(1000, 9000))}, [q.relationship("c", "parent", "p", "key")], {"c": ("id",), "p": ("key",)})
+        assert "Exchange hashpartitioning" not in plan_of(lost)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    expected = [("relationship:c.parent->p.key", "c", str(i), str(7 + i % 2)) for i in range(2990, 2998)]
+    assert sorted(tuple(r)[1:] for r in lost.collect()) == sorted(e[1:] for e in expected)
+
+
 def test_models_with_one_reader_are_not_written(spark, tmp_path, monkeypatch):
     from gridops.plans import graph, suite
 
