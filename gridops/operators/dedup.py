@@ -31,10 +31,15 @@ def latest_reading(df: DataFrame, keys: Sequence[str], order_col: str, by: Seque
 
     Rows are shuffled by ``keys``, or by those of them in ``by`` if a join or grouping on
     these follows, which then needs no shuffle of its own."""
+    return folded(by_key(df, *(by or keys)), keys, order_col)
+
+
+def folded(df: DataFrame, keys: Sequence[str], order_col: str) -> DataFrame:
+    """The same of rows that were shuffled by some of ``keys`` already."""
     order = F.col(order_col)
     aggs = [
         (F.max(order) if c == order_col else F.max_by(F.col(c), order)).alias(c)
         for c in df.columns
         if c not in keys
     ]
-    return by_key(df, *(by or keys)).groupBy(*keys).agg(*aggs).select(*df.columns)
+    return df.groupBy(*keys).agg(*aggs).select(*df.columns)

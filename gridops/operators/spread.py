@@ -8,11 +8,20 @@ that a frame is read from, known without a job: a partition gets about ``BYTES``
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from datetime import date
 from math import ceil
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 BYTES = 16 << 20
+#: Rows of a bucket of ``by_day``, about.
+ROWS = 500_000
+#: Column that tells a row's partition.
+BUCKET = "_bucket"
+#: Number of no day.
+NO_DAY = -(1 << 40)
 
 
 def input_bytes(df: DataFrame) -> int:
@@ -45,3 +54,19 @@ def by_key(df: DataFrame, *keys: str) -> DataFrame:
 def in_order(df: DataFrame, *order: str | Column) -> DataFrame:
     """``df.orderBy(*order)``."""
     return df.repartitionByRange(*_more(df), *order).sortWithinPartitions(*order)
+
+
+def by_day(df: DataFrame, rows: Mapping[date | None, int], day: str, key: str) -> DataFrame:
+    """``df`` dealt by ``day`` and by buckets of ``key``, with its partition in ``BUCKET``: a
+    partition holds rows of one day, and a day has one for about every ``ROWS`` of its rows, of
+    which there are ``rows``. Grouped on ``BUCKET`` and more, rows stay where they are."""
+    at, first = [], 0
+    for d, n in rows.items():
+        buckets = max(1, ceil(n / ROWS))
+        at.append((NO_DAY if d is None else (d - date(1970, 1, 1)).days, first, buckets))
+        first += buckets
+    # by number: a table of numbers is broadcast in as many bytes as it has, one of dates in pages
+    days = df.sparkSession.createDataFrame(at, "_of long, _first int, _n int")
+    located = df.join(F.broadcast(days), F.coalesce(F.unix_date(day).cast("long"), F.lit(NO_DAY)) == F.col("_of"))
+    bucket = F.col("_first") + F.pmod(F.xxhash64(key), F.col("_n")).cast("int")
+    return located.select(*df.columns, bucket.alias(BUCKET)).repartitionById(max(first, 1), BUCKET)

@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -53,3 +55,23 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path in the application's own folder under the checkpoint root."""
     return f"{checkpoint_root(spark)}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+#: The shuffle files of a query are removed when it ends, and not when the driver comes to
+#: collect its garbage: for steps that write what the next ones read.
+DROP_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
+#: Tables that lie by some of the keys of a join are joined as they lie.
+JOIN_IN_PLACE = {"spark.sql.requireAllClusterKeysForCoPartition": "false"}
+
+
+@contextmanager
+def configured(spark: SparkSession, conf: Mapping[str, str]) -> Iterator[None]:
+    """The session with other settings, for what is run inside."""
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -1,5 +1,7 @@
 """Plans that stay within a task's and the driver's memory as the tables grow."""
 
+import re
+
 import pytest
 
 from gridops.plans.analyses import ANALYSES
@@ -86,3 +88,46 @@ def test_rejects_are_read_without_parsing_payloads_again(spark, tmp_path):
     grid = spark.createDataFrame([(1, "R", 1)], "region_id long, region_name string, point_no long")
     accepted, rejects = pl.split_complete(landed, "hourly", pl.HOURLY_VARIABLES, grid, "region_id")
     assert "FileScan json" not in plan_of(rejects) and plan_of(accepted).count("FileScan json") == 1
+
+
+def test_the_grid_of_the_marts_is_not_broadcast(spark, tmp_path, monkeypatch):
+    from datetime import date, datetime
+
+    from gridops.plans.incremental import Marts
+    from gridops.sources import sinks
+    from gridops.sources.schemas import RAW_SCHEMAS
+
+    regions = spark.createDataFrame([(1, "R", 14.0, -15.0, 400.0)], RAW_SCHEMAS["regions"])
+    load = {
+        "raw_hourly": [(1, datetime(2026, 8, 20, 1), 1, "R", 1, 14.0, -15.0, 25.0, 0.0, 1.0, 1.0, 10.0, 0.0, 0.0, 9000.0, 1.0)],
+        "raw_daily": [(1, date(2026, 8, 20), 1, "R", 1, 14.0, -15.0, *[1.0] * 11)],
+        "raw_air_quality": [(datetime(2026, 8, 20, 1), " R ", 1, 14.0, -15.0, 1, 9.0, 1.0, 1.0)],
+    }
+    plans, replace = {}, sinks.replace_dates
+    monkeypatch.setattr(sinks, "replace_dates", lambda s, df, path, *a, **b: plans.update({path.rsplit("/", 1)[1]: plan_of(df)}) or replace(s, df, path, *a, **b))
+    built = Marts(spark, str(tmp_path), regions, marts=("fact_daily_weather", "kpi_maintenance"))
+    built.apply({n: spark.createDataFrame(rows, RAW_SCHEMAS[n]) for n, rows in load.items()})
+    assert built.mart("kpi_maintenance").first().avg_pm10 == 9.0 and built.mart("fact_daily_weather").count() == 1
+    for name, joins in (("fact_daily_weather", 1), ("kpi_maintenance", 3)):
+        assert plans[name].count("ShuffledHashJoin [region") == joins and "BroadcastHashJoin [region" not in plans[name]
+    # readings and air quality, both by point, are joined as they lie
+    by = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", re.sub(r"#\d+L?", "", plans["kpi_maintenance"]))
+    assert "region_id, point_no" in by and not any(x.startswith("region_id, point_no, date") for x in by)
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition", None) in (None, "true")
+
+
+def test_dates_are_replaced_by_one_write(spark, tmp_path, monkeypatch):
+    from datetime import date
+
+    from gridops.sources import sinks
+
+    days = [date(2026, 8, 20), date(2026, 8, 21), None]
+    df = spark.createDataFrame([(d, "a", i) for i, d in enumerate(days)], "date date, grid_point_id string, v int")
+    written = []
+    write = type(df.write).parquet
+    monkeypatch.setattr(type(df.write), "parquet", lambda self, path, *a, **b: written.append(path) or write(self, path, *a, **b))
+    path = str(tmp_path / "m")
+    sinks.replace_dates(spark, df, path, "date", days)
+    assert written == [path]
+    sinks.replace_dates(spark, df.filter("v = 1"), path, "date", days[1:])
+    assert sorted(r.v for r in spark.read.schema(df.schema).parquet(path).collect()) == [0, 1]

@@ -122,3 +122,24 @@ def test_models_read_are_those_declared(spark):
         fn = next(c.cell_contents for c in getattr(type(g), name).func.__closure__ if callable(c.cell_contents))
         fn(Seen(spark, "/root/testdata/sf0.001"))
         assert set(read) == set(graph.READS[name]), name
+
+
+def test_rows_are_dealt_by_day_and_folded_there(spark, monkeypatch):
+    from datetime import date
+
+    from gridops.operators.dedup import folded
+
+    days = [date(2026, 8, 20), date(1969, 12, 31), None]
+    rows = [(d, k, load, float(load)) for d in days for k in range(40 if d else 4) for load in (2, 1, 3)]
+    df = spark.createDataFrame(rows, "day date, k long, load long, v double").repartition(4)
+    monkeypatch.setattr(spread, "ROWS", 30)
+    dealt = spread.by_day(df, {r[0]: r[1] for r in df.groupBy("day").count().collect()}, "day", "k")
+    found = folded(dealt, ["day", "k", spread.BUCKET], "load")
+    assert plan_of(found).count("Exchange ") - plan_of(df).count("Exchange ") - plan_of(found).count("BroadcastExchange ") == 1
+    in_bucket = {}
+    for r in dealt.collect():
+        in_bucket.setdefault(r[spread.BUCKET], set()).add(r.day)
+    assert sorted(map(len, in_bucket.values())) == [1] * 9 and set(in_bucket) == set(range(9))
+    assert sorted(tuple(r)[:4] for r in found.filter("day is not null").collect()) == sorted((d, k, 3, 3.0) for d in days[:2] for k in range(40))
+    assert found.filter("day is null").count() == 4
+    assert spread.by_day(df.filter("false"), {}, "day", "k").count() == 0
