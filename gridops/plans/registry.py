@@ -476,22 +476,24 @@ def _sink_roundtrip(g: ModelGraph) -> DataFrame:
 def _stream_hourly(g: ModelGraph) -> DataFrame:
     """Two overlapping refreshes of the hourly payloads, each taken in by a trigger of its
     own: the table then holds every copy, and its newest per (region, point, hour) is read."""
-    from gridops.session import scratch_path
+    from gridops.session import DROP_SHUFFLES, configured, scratch_path
     from gridops.sources import fixture_payloads as fp
     from gridops.sources import payloads as pl
     from gridops.streaming import ingest
 
-    latest = staging.latest_reading(g.raw_hourly, staging.HOURLY_GROUP, "id_hourly", by=staging.POINT).drop("id_hourly")
-    # both refreshes land the same payloads: they are derived once
-    made = scratch_path(g.spark, "stream-payloads")
-    fp.hourly_payloads(latest, g.params.timezone).write.parquet(made)
-    payloads = g.spark.read.schema(pl.HOURLY_SCHEMA).parquet(made)
-    src = scratch_path(g.spark, "stream-src")
-    out, ckpt = scratch_path(g.spark, "stream-out"), scratch_path(g.spark, "stream-ckpt")
-    for _ in range(2):
-        payloads.write.mode("append").json(src)
-        stream = ingest.hourly_readings_stream(g.spark, src, g.params.timezone)
-        ingest.start_ingest(stream, out, ckpt).awaitTermination()
+    # every step is written: its shuffle files go when it is, or all would lie beside each other
+    with configured(g.spark, DROP_SHUFFLES):
+        latest = staging.latest_reading(g.raw_hourly, staging.HOURLY_GROUP, "id_hourly", by=staging.POINT).drop("id_hourly")
+        # both refreshes land the same payloads: they are derived once
+        made = scratch_path(g.spark, "stream-payloads")
+        fp.hourly_payloads(latest, g.params.timezone).write.parquet(made)
+        payloads = g.spark.read.schema(pl.HOURLY_SCHEMA).parquet(made)
+        src = scratch_path(g.spark, "stream-src")
+        out, ckpt = scratch_path(g.spark, "stream-out"), scratch_path(g.spark, "stream-ckpt")
+        for _ in range(2):
+            pl.land_more(payloads, src)
+            stream = ingest.hourly_readings_stream(g.spark, src, g.params.timezone)
+            ingest.start_ingest(stream, out, ckpt).awaitTermination()
     return ingest.current_readings(g.spark.read.parquet(out))
 
 

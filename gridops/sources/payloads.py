@@ -96,6 +96,16 @@ def land(payloads: DataFrame, path: str) -> None:
     payloads.write.mode("overwrite").json(path)
 
 
+#: Payloads of a compressed file, at most: it is read by one task.
+FILE_PAYLOADS = 10_000
+
+
+def land_more(payloads: DataFrame, path: str) -> None:
+    """Adds a refresh's files to a landing folder, compressed (at the least effort)."""
+    files = payloads.write.mode("append").option("maxRecordsPerFile", FILE_PAYLOADS)
+    files.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").json(path)
+
+
 def read_landed(spark, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.schema(schema).json(path)
 

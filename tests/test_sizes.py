@@ -131,3 +131,63 @@ def test_dates_are_replaced_by_one_write(spark, tmp_path, monkeypatch):
     assert written == [path]
     sinks.replace_dates(spark, df.filter("v = 1"), path, "date", days[1:])
     assert sorted(r.v for r in spark.read.schema(df.schema).parquet(path).collect()) == [0, 1]
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {x for x in (files.apply(i).getName() for i in range(files.size())) if x.startswith("shuffle_")}
+
+
+def test_shuffle_files_go_with_their_step(spark, tmp_path):
+    import time
+
+    from gridops.session import DROP_SHUFFLES, configured
+
+    (key,) = DROP_SHUFFLES
+    before = shuffle_files(spark)
+    with configured(spark, DROP_SHUFFLES):
+        spark.range(1000).repartition(3, "id").write.parquet(str(tmp_path / "step"))
+        assert spark.read.parquet(str(tmp_path / "step")).groupBy("id").count().count() == 1000
+    until = time.time() + 20
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left and spark.conf.get(key, None) in (None, "false")
+    with pytest.raises(ValueError), configured(spark, DROP_SHUFFLES):
+        raise ValueError
+    assert spark.conf.get(key, None) in (None, "false")
+
+
+def test_landed_refreshes_are_compressed_in_bounded_files(spark, tmp_path, monkeypatch):
+    import os
+
+    from gridops.sources import payloads as pl
+
+    monkeypatch.setattr(pl, "FILE_PAYLOADS", 3)
+    series = (0, 7200, 3600, *[[1.5, None]] * len(pl.HOURLY_VARIABLES))
+    payloads = spark.createDataFrame([(1, "R", i, 14.0, -15.0, series) for i in range(8)], pl.HOURLY_SCHEMA).coalesce(1)
+    src = str(tmp_path / "src")
+    for n in (1, 2):
+        pl.land_more(payloads, src)
+        files = [f for f in os.listdir(src) if f.startswith("part-")]
+        assert len(files) == 3 * n and all(f.endswith(".json.gz") for f in files)
+        back = pl.read_landed(spark, src, pl.HOURLY_SCHEMA)
+        assert sorted(map(tuple, back.collect())) == sorted(map(tuple, payloads.collect() * n))
+
+
+def test_ingested_readings_stay_by_point(spark):
+    from datetime import datetime
+
+    from gridops.streaming import ingest
+
+    t = [datetime(2026, 8, 20, h) for h in range(3)]
+    loads = [(t[1], "b"), (t[1], "c"), (t[2], "a")]
+    rows = [(t[h], (at, f), 1, p, f"R{i}", float(i) if i else None) for h in (0, 1) for p in (1, None) for i, (at, f) in enumerate(loads[: 2 + h])]
+    batch = spark.createDataFrame(rows[::-1], f"ts timestamp_ntz, {ingest.LOAD} struct<time:timestamp,file:string>, region_id long, point_no long, region_name string, v double")
+    kept = ingest.latest_wins_batch(batch)
+    assert kept.columns == batch.columns and kept.schema == batch.schema
+    assert sorted((r.ts.hour, r.region_name, r.v, r[ingest.LOAD].file) for r in kept.collect()) == [(0, "R1", 1.0, "c")] * 2 + [(1, "R2", 2.0, "a")] * 2
+    first = batch.filter("region_name = 'R2'").withColumn("v", spark.range(1).selectExpr("cast(null as double)").scalar())
+    assert [(r.v, r.region_name) for r in ingest.latest_wins_batch(first).collect()] == [(None, "R2")] * 2
+    for df in (kept, ingest.current_readings(batch.selectExpr("*", "1 as load"))):
+        by = re.findall(r"Exchange hashpartitioning\((.*?), \d+\)", re.sub(r"#\d+L?", "", plan_of(df)))
+        assert set(by) == {"region_id, point_no"}
